@@ -8,8 +8,21 @@ disks, because they go through the cluster's own Hadoop configuration.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import SparkSession
 
+# Renames are metadata calls; a few threads hide their latency (object
+# stores take tens of milliseconds per call).
+MOVE_THREADS = 16
+
+
+def canon(path: str) -> str:
+    """One spelling per local path: ``file:///x`` and ``file:/x`` -> ``file:/x``."""
+    if path.startswith("file://"):
+        return "file:/" + path[len("file://"):].lstrip("/")
+    return path
+
 
 class HadoopFS:
     def __init__(self, spark: SparkSession, path: str):
@@ -22,7 +35,7 @@ class HadoopFS:
         return self._jvm.org.apache.hadoop.fs.Path(path)
 
     def qualify(self, path: str) -> str:
-        return self._fs.makeQualified(self._p(path)).toString()
+        return canon(self._fs.makeQualified(self._p(path)).toString())
 
     def exists(self, path: str) -> bool:
         return bool(self._fs.exists(self._p(path)))
@@ -36,14 +49,14 @@ class HadoopFS:
         for st in found:
             name = st.getPath().getName()
             if st.isFile() and not name.startswith(("_", ".")):
-                out.append(st.getPath().toString())
+                out.append(canon(st.getPath().toString()))
         return sorted(out)
 
     def glob_dirs(self, pattern: str) -> list[str]:
         found = self._fs.globStatus(self._p(pattern))
         if found is None:
             return []
-        return sorted(st.getPath().toString() for st in found if st.isDirectory())
+        return sorted(canon(st.getPath().toString()) for st in found if st.isDirectory())
 
     def list_files_recursive(self, path: str) -> list[str]:
         if not self.exists(path):
@@ -54,7 +67,7 @@ class HadoopFS:
             st = it.next()
             name = st.getPath().getName()
             if not name.startswith(("_", ".")):
-                out.append(st.getPath().toString())
+                out.append(canon(st.getPath().toString()))
         return sorted(out)
 
     def mkdirs(self, path: str) -> None:
@@ -74,6 +87,28 @@ class HadoopFS:
             raise OSError(f"rename failed: {src} -> {dst}")
         return True
 
+    def move_many(self, pairs, threads: int = MOVE_THREADS) -> int:
+        """Move many files: parents created once each, renames in parallel.
+
+        Idempotent like :meth:`move` (a pair whose source is gone and whose
+        target exists counts as done), so an interrupted swap can be re-run.
+        """
+        pairs = list(pairs)
+        if not pairs:
+            return 0
+        parents = sorted({dst.rsplit("/", 1)[0] for _, dst in pairs})
+        with ThreadPoolExecutor(max_workers=threads) as pool:
+            list(pool.map(self.mkdirs, parents))
+            list(pool.map(lambda p: self._rename(*p), pairs))
+        return len(pairs)
+
+    def _rename(self, src: str, dst: str) -> None:
+        if self._fs.rename(self._p(src), self._p(dst)):
+            return
+        if not self._fs.exists(self._p(src)) and self._fs.exists(self._p(dst)):
+            return
+        raise OSError(f"rename failed: {src} -> {dst}")
+
     def delete(self, path: str, recursive: bool = True) -> None:
         self._fs.delete(self._p(path), recursive)
 
@@ -101,4 +136,4 @@ class HadoopFS:
     def list_dir(self, path: str) -> list[str]:
         if not self.exists(path):
             return []
-        return sorted(st.getPath().toString() for st in self._fs.listStatus(self._p(path)))
+        return sorted(canon(st.getPath().toString()) for st in self._fs.listStatus(self._p(path)))

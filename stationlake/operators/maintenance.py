@@ -14,14 +14,14 @@ import uuid
 from collections.abc import Iterable, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stationlake.fs import HadoopFS
 from stationlake.functions.paths import trash_path_py
 from stationlake.schemas import PART_COLS, STATUS_TABLE_SCHEMA
-from stationlake.sources.tables import read_files, read_table
+from stationlake.sources.tables import data_files, read_table
 
 # Object stores keep the reference's ``bucket/trash/...`` convention; other
 # file systems get a ``_trash`` folder inside the table root (ignored by readers).
@@ -59,8 +59,8 @@ def _relative(path: str, root: str) -> str:
 
 # --------------------------------------------------------------------------- K3
 
-def _day_patterns(root: str, days: Iterable[dt.date]) -> list[str]:
-    return [f"{root}/year={d.year:04d}/month={d.month:02d}/day={d.day:02d}/hour=*/*" for d in days]
+def _day_dir(root: str, d: dt.date) -> str:
+    return f"{root}/year={d.year:04d}/month={d.month:02d}/day={d.day:02d}"
 
 
 def list_days(spark: SparkSession, root: str) -> list[dt.date]:
@@ -74,14 +74,20 @@ def list_days(spark: SparkSession, root: str) -> list[dt.date]:
     return days
 
 
-def list_hour_files(spark: SparkSession, root: str, days: Iterable[dt.date]) -> dict[str, list[str]]:
-    """Files per hour folder for the given days (driver-side listing)."""
+def read_days(spark: SparkSession, root: str, days: Iterable[dt.date],
+              schema: T.StructType = STATUS_TABLE_SCHEMA) -> DataFrame | None:
+    """The given days of a table.  Only those day folders are listed (not
+    the whole table), by Spark's file index (in parallel when there are
+    many); the listing is fixed when the DataFrame is created."""
     fs = HadoopFS(spark, root)
-    by_hour: dict[str, list[str]] = {}
-    for pattern in _day_patterns(root, days):
-        for f in fs.glob_files(pattern):
-            by_hour.setdefault(f.rsplit("/", 1)[0], []).append(f)
-    return by_hour
+    dirs = [p for p in (_day_dir(root, d) for d in sorted(set(days))) if fs.exists(p)]
+    if not dirs:
+        return None
+    return spark.read.schema(schema).option("basePath", root).parquet(*dirs)
+
+
+def _hour_key() -> Column:
+    return F.concat_ws("/", *[F.col(c) for c in PART_COLS])
 
 
 def compact_days(spark: SparkSession, root: str, days: Iterable[dt.date],
@@ -93,11 +99,12 @@ def compact_days(spark: SparkSession, root: str, days: Iterable[dt.date],
     Safe order (the reference writes the new file next to the old ones and
     then moves those, so a crash in between leaves duplicates):
 
-    1. list the files of the selected hours *before* reading; files that
-       arrive later are not touched;
-    2. read exactly those files and write them to ``_staging/<run>`` in one
-       job (``REBALANCE`` on the partition columns; AQE splits a hot hour);
-    3. compare row counts of the old files and the staged files;
+    1. list the files of the selected days *once*; the read below uses that
+       same listing, so files that arrive later are not touched;
+    2. read the hours that have several files and write them to
+       ``_staging/<run>`` in one job (``REBALANCE`` on the partition columns;
+       AQE splits a hot hour), counting rows on the way (``observe``);
+    3. compare that count with the staged files' row count;
     4. write a journal, move the old files to trash, move the staged files
        in, delete the journal.  A crash during 4 is finished by
        :func:`recover_compactions`; readers see a short gap for an hour,
@@ -108,41 +115,48 @@ def compact_days(spark: SparkSession, root: str, days: Iterable[dt.date],
     fs = HadoopFS(spark, root)
     root = fs.qualify(root).rstrip("/")
     recover_compactions(spark, root)
-    by_hour = {h: fs_ for h, fs_ in list_hour_files(spark, root, days).items() if len(fs_) > 1}
-    old = sorted(f for files in by_hour.values() for f in files)
-    report = {"hours": len(by_hour), "files_before": len(old), "files_after": 0, "rows": 0}
+    report = {"hours": 0, "files_before": 0, "files_after": 0, "rows": 0}
+    listed = read_days(spark, root, days, schema)
+    if listed is None:
+        return report
+    by_hour: dict[str, list[str]] = {}
+    for f in data_files(listed):
+        by_hour.setdefault(f.rsplit("/", 1)[0], []).append(f)
+    by_hour = {h: v for h, v in by_hour.items() if len(v) > 1}
+    old = sorted(f for v in by_hour.values() for f in v)
     if not old:
         return report
+    keys = sorted({"/".join(seg.split("=", 1)[1] for seg in h.split("/")[-4:]) for h in by_hour})
 
     run = uuid.uuid4().hex
     staging = f"{root}/_staging/compact-{run}"
-    src = read_files(spark, root, old, schema)
-    n_src = src.count()
+    obs = Observation(f"compact_{run}")
+    src = listed.where(_hour_key().isin(keys)).observe(obs, F.count(F.lit(1)).alias("rows"))
     w = (src.hint("rebalance", *PART_COLS).write.mode("errorifexists")
          .partitionBy(*PART_COLS).option("compression", "snappy"))
     if max_records_per_file:
         w = w.option("maxRecordsPerFile", int(max_records_per_file))
     w.parquet(staging)
-    n_new = read_table(spark, staging, schema).count()
+    n_src = obs.get["rows"]
+    staged_df = read_table(spark, staging, schema)
+    n_new = staged_df.count()
     if n_new != n_src:
         fs.delete(staging)
         raise RuntimeError(f"compaction row count mismatch: {n_src} read, {n_new} staged")
 
-    staged = fs.list_files_recursive(staging)
+    staged = data_files(staged_df)
     moves_new = [(f, f"{root}/{_relative(f, staging)}") for f in staged]
     moves_old = [(f, trash_location(f, root, trash_root)) for f in old]
     journal = f"{root}/_compaction/{run}.json"
     fs.write_text(journal, json.dumps({"staging": staging, "old": moves_old, "new": moves_new}))
     _finish(fs, journal, staging, moves_old, moves_new)
-    report.update(files_after=len(staged), rows=n_src)
+    report.update(hours=len(by_hour), files_before=len(old), files_after=len(staged), rows=n_src)
     return report
 
 
 def _finish(fs: HadoopFS, journal: str, staging: str, moves_old, moves_new) -> None:
-    for src, dst in moves_old:
-        fs.move(src, dst)
-    for src, dst in moves_new:
-        fs.move(src, dst)
+    fs.move_many(moves_old)
+    fs.move_many(moves_new)
     fs.delete(staging)
     fs.delete(journal, recursive=False)
 

@@ -24,6 +24,7 @@ from stationlake.fs import HadoopFS
 from stationlake.functions.time import epoch_seconds
 from stationlake.operators.writer import write_hourly
 from stationlake.schemas import STATUS_KEYS
+from stationlake.sources.tables import data_files, read_table
 
 # Fixed values for the derivation.
 SNAPSHOT_SECONDS = 120           # the reference's 2-minute status cadence
@@ -131,9 +132,10 @@ def write_legacy_tree(df: DataFrame, root: str, ts_col: str) -> None:
     root = fs.qualify(root).rstrip("/")
     staging = f"{root}/_staging-legacy"
     write_hourly(df, staging, ts_col)
-    for f in fs.list_files_recursive(staging):
-        rel = f[len(staging) + 1:]
-        parts = rel.split("/")
+    moves = []
+    for f in data_files(read_table(df.sparkSession, staging)):
+        parts = f[len(staging) + 1:].split("/")
         bare = "/".join(p.split("=", 1)[1] for p in parts[:4])
-        fs.move(f, f"{root}/{bare}/{parts[-1]}")
+        moves.append((f, f"{root}/{bare}/{parts[-1]}"))
+    fs.move_many(moves)
     fs.delete(staging)

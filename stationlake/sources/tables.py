@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from stationlake.fs import canon
 from stationlake.schemas import CACHE_SCHEMA, PART_COLS, STATUS_SCHEMA, STATUS_TABLE_SCHEMA
 
 # Legacy bare layout ``.../YYYY/MM/DD/HH/<file>``.
@@ -51,3 +52,9 @@ def read_cache(spark: SparkSession, path: str, schema: T.StructType = CACHE_SCHE
     return (spark.read.schema(schema).option("header", True)
             .option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss")
             .option("mode", "FAILFAST").csv(path))
+
+
+def data_files(df: DataFrame) -> list[str]:
+    """Files behind a file-based DataFrame, from Spark's own listing (one
+    call into the JVM, parallel listing for many folders)."""
+    return sorted(canon(f) for f in df.inputFiles())

@@ -16,7 +16,6 @@ from __future__ import annotations
 import hashlib
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from stationlake.fs import HadoopFS
@@ -24,6 +23,7 @@ from stationlake.functions.time import from_epoch_seconds, utc_now
 from stationlake.operators.writer import write_hourly
 from stationlake.schemas import FEED_SCHEMA, STATUS_KEYS
 from stationlake.sources.feeds import status_rows
+from stationlake.sources.tables import data_files, read_table
 
 
 def status_stream(spark: SparkSession, landing: str, multi_line: bool = False,
@@ -72,8 +72,8 @@ class HourlyBatchSink:
             fs.write_text(staged, "")
         prefix = fs.qualify(staging).rstrip("/") + "/"
         root = fs.qualify(self.root).rstrip("/")
-        for f in fs.list_files_recursive(staging):
-            fs.move(f, f"{root}/{f[len(prefix):]}")
+        files = data_files(read_table(batch.sparkSession, staging))
+        fs.move_many((f, f"{root}/{f[len(prefix):]}") for f in files)
         fs.write_text(done, "")
         fs.delete(staging)
         fs.delete(staged, recursive=False)
