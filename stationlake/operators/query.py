@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stationlake.fs import HadoopFS
+from stationlake.session import ship_package
 from stationlake.functions.time import as_of_column, days_interval, from_epoch_seconds, partition_date
 
 # Fixed value: the trailing window of the fan-out query, in days.
@@ -113,6 +114,7 @@ def per_station_apply(df: DataFrame, fn: Callable, schema: T.StructType | str,
     hot station is spread over that many tasks; ``combine`` (a DataFrame
     function, e.g. a ``groupBy(key).agg``) then merges the partial results.
     """
+    ship_package(df.sparkSession)
     if split_buckets:
         bucket = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(int(split_buckets)))
         out = df.withColumn("_bucket", bucket).groupBy(key, "_bucket").applyInPandas(fn, schema)
@@ -128,6 +130,7 @@ def fan_out(df: DataFrame, call: Callable[[list], list], key: str = "station_id"
     tasks, never on the driver) and returns one result per key.
     """
     schema = f"{key} string, result {result_type}"
+    ship_package(df.sparkSession)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:

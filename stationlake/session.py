@@ -71,6 +71,35 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
     return f"{checkpoint_root(spark)}/stationlake/{label}-{uuid.uuid4().hex[:12]}"
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``stationlake`` importable in Python workers (``addPyFile``).
+
+    Needed where a Python function of the library runs in tasks (pandas
+    UDFs).  The zip goes to the shared checkpoint root, once per
+    application; with ``--py-files`` set by the submitter this is a cheap
+    no-op repeat.
+    """
+    app = spark.sparkContext.applicationId
+    if app in _SHIPPED:
+        return
+    import shutil
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    tmp = tempfile.mkdtemp(prefix="stationlake-zip-")
+    archive = shutil.make_archive(os.path.join(tmp, "stationlake"), "zip",
+                                  os.path.dirname(pkg), os.path.basename(pkg))
+    target = f"{checkpoint_root(spark)}/stationlake/pkg-{uuid.uuid4().hex[:8]}/stationlake.zip"
+    from stationlake.fs import HadoopFS
+    fs = HadoopFS(spark, target)
+    fs.mkdirs(target.rsplit("/", 1)[0])
+    jvm = spark.sparkContext._jvm
+    fs._fs.copyFromLocalFile(False, True, jvm.org.apache.hadoop.fs.Path(archive), fs._p(target))
+    spark.sparkContext.addPyFile(target)
+    _SHIPPED.add(app)
+
+
 def local_path(path: str) -> str:
     """Strip a ``file:`` scheme (for tests that inspect local folders)."""
     if path.startswith("file:"):

@@ -1,0 +1,101 @@
+"""Feed documents (FIXTURES §1, §2): presence vs NULL, dropped keys, errors."""
+
+from __future__ import annotations
+
+import json
+
+import pytest
+from conftest import write_text
+from pyspark.errors import PySparkException
+from py4j.protocol import Py4JJavaError
+
+from stationlake.schemas import STATUS_KEYS
+from stationlake.sources.feeds import info_rows, missing_keys, read_feed, status_rows
+
+FULL = {"station_id": "72", "num_bikes_available": 3, "num_ebikes_available": 0,
+        "num_bikes_disabled": 1, "num_docks_available": 50, "num_docks_disabled": 0,
+        "is_installed": 1, "is_renting": 1, "is_returning": 1, "last_reported": 1564684900,
+        "extra": {"a": 1}}
+
+ERRORS = (PySparkException, Py4JJavaError)
+
+
+def doc(stations, last_updated=1564685000):
+    return {"last_updated": last_updated, "data": {"stations": stations}}
+
+
+def test_complete_document_pretty_printed(spark, tmp):
+    write_text(f"{tmp}/feed/a.json", json.dumps(doc([FULL]), indent=2))
+    rows = status_rows(read_feed(spark, f"{tmp}/feed", multi_line=True)).collect()
+    assert len(rows) == 1
+    r = rows[0].asDict()
+    assert list(r) == list(STATUS_KEYS) + ["last_updated"]
+    assert r["station_id"] == "72" and r["num_docks_available"] == 50
+    assert r["last_reported"] == 1564684900 and r["last_updated"] == 1564685000
+
+
+def test_key_missing_from_one_station_is_null(spark, tmp):
+    other = dict(FULL, station_id="73")
+    del other["num_ebikes_available"]
+    lines = "\n".join(json.dumps(doc(s)) for s in ([FULL, other],))
+    write_text(f"{tmp}/feed/a.json", lines)
+    rows = {r.station_id: r for r in status_rows(read_feed(spark, f"{tmp}/feed")).collect()}
+    assert rows["73"].num_ebikes_available is None
+    assert rows["72"].num_ebikes_available == 0
+
+
+def test_key_missing_from_all_stations_raises(spark, tmp):
+    a = dict(FULL)
+    del a["is_renting"]
+    write_text(f"{tmp}/feed/a.json", json.dumps(doc([a, dict(a, station_id="9")])))
+    with pytest.raises(ERRORS, match="is_renting"):
+        status_rows(read_feed(spark, f"{tmp}/feed")).collect()
+
+
+def test_missing_keys_report(spark, tmp):
+    a = dict(FULL)
+    del a["is_renting"]
+    write_text(f"{tmp}/feed/a.json", "\n".join([
+        json.dumps(doc([a], 1)), json.dumps(doc([FULL], 2)), json.dumps(doc([], 3))]))
+    got = missing_keys(read_feed(spark, f"{tmp}/feed"), STATUS_KEYS).collect()
+    assert [(r.last_updated, r.missing_key) for r in got] == [(1, "is_renting")]
+
+
+def test_extra_and_nested_keys_dropped(spark, tmp):
+    write_text(f"{tmp}/feed/a.json", json.dumps(doc([dict(FULL, more={"x": [1, 2]})])))
+    df = status_rows(read_feed(spark, f"{tmp}/feed"))
+    assert df.columns == list(STATUS_KEYS) + ["last_updated"]
+    assert df.count() == 1
+
+
+def test_empty_station_list_gives_no_rows(spark, tmp):
+    write_text(f"{tmp}/feed/a.json", json.dumps(doc([])))
+    assert status_rows(read_feed(spark, f"{tmp}/feed")).count() == 0
+
+
+def test_truncated_document_raises(spark, tmp):
+    write_text(f"{tmp}/feed/a.json", json.dumps(doc([FULL]))[:-7])
+    with pytest.raises(ERRORS):
+        status_rows(read_feed(spark, f"{tmp}/feed", multi_line=True)).collect()
+
+
+def test_document_without_stations_raises(spark, tmp):
+    write_text(f"{tmp}/feed/a.json", json.dumps({"last_updated": 5, "data": {}}))
+    with pytest.raises(ERRORS, match="data.stations"):
+        status_rows(read_feed(spark, f"{tmp}/feed")).collect()
+
+
+def test_non_numeric_count_raises(spark, tmp):
+    write_text(f"{tmp}/feed/a.json", json.dumps(doc([dict(FULL, num_bikes_available="x")])))
+    with pytest.raises(ERRORS):
+        status_rows(read_feed(spark, f"{tmp}/feed")).collect()
+
+
+def test_info_document_stamps_last_updated(spark, tmp):
+    st = {"station_id": "72", "name": "W 52 St", "lat": 40.76727216, "lon": -73.99392888,
+          "region_id": "71", "capacity": 55, "has_kiosk": True, "rental_methods": ["KEY"]}
+    write_text(f"{tmp}/info/a.json", json.dumps(doc([st, dict(st, station_id="79")], 42)))
+    rows = info_rows(read_feed(spark, f"{tmp}/info")).orderBy("station_id").collect()
+    assert [r.station_id for r in rows] == ["72", "79"]
+    assert all(r.last_updated == 42 for r in rows)
+    assert rows[0].lat == 40.76727216 and rows[0].has_kiosk is True and rows[0].capacity == 55

@@ -1,0 +1,113 @@
+"""Trailing window (FIXTURES §4), plan shape, cache, distinct, per-station apply."""
+
+from __future__ import annotations
+
+import datetime as dt
+from typing import Any, Iterator, Tuple
+
+import pandas as pd
+from pyspark.sql import functions as F
+
+from stationlake.operators.query import (
+    distinct_keys,
+    fan_out,
+    per_station_apply,
+    publish_cache,
+    recent_status,
+    recent_status_sql,
+)
+from stationlake.operators.writer import write_hourly
+from stationlake.schemas import STATUS_KEYS
+from stationlake.sources.tables import read_cache, read_table
+
+
+def _table(spark, root):
+    """One station row per day 2026-07-31 .. 2026-08-10, at 23:00 UTC."""
+    rows = []
+    for i, day in enumerate(range(31, 42)):
+        t = dt.datetime(2026, 7, 31, 23) + dt.timedelta(days=i)
+        rows.append((str(day), i, int(t.replace(tzinfo=dt.timezone.utc).timestamp()),
+                     t.strftime("%Y-%m-%d %H:%M:%S")))
+    df = spark.createDataFrame(rows, "station_id string, num_bikes_available long, "
+                                     "last_reported long, ts string")
+    df = df.select(*[F.col(k) if k in df.columns else F.lit(None).cast("bigint").alias(k)
+                     for k in STATUS_KEYS], F.col("ts").cast("timestamp_ntz").alias("ingest_time"))
+    write_hourly(df, root, "ingest_time")
+    return read_table(spark, root)
+
+
+def _days(df):
+    return sorted(r.last_reported.date().isoformat() for r in df.collect())
+
+
+def test_window_boundary_strict(spark, tmp):
+    t = _table(spark, f"{tmp}/t")
+    got = _days(recent_status(t, dt.datetime(2026, 8, 9, 0, 0, 0)))
+    assert got[0] == "2026-08-02" and "2026-08-01" not in got
+    assert got[-1] == "2026-08-10"  # later-dated partitions pass
+    got = _days(recent_status(t, dt.datetime(2026, 8, 8, 23, 59, 59)))
+    assert got[0] == "2026-08-01"
+
+
+def test_window_tz_aware_as_of(spark, tmp):
+    t = _table(spark, f"{tmp}/t")
+    ny = dt.timezone(dt.timedelta(hours=-4))
+    got = _days(recent_status(t, dt.datetime(2026, 8, 8, 20, 0, 0, tzinfo=ny)))  # = 08-09 00:00 UTC
+    assert got[0] == "2026-08-02"
+
+
+def test_plan_prunes_partitions_and_columns(spark, tmp):
+    t = _table(spark, f"{tmp}/t")
+    q = recent_status(t, dt.datetime(2026, 8, 9))
+    plan = q._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in plan and "make_date" in plan
+    assert "ReadSchema: struct<station_id:string,num_bikes_available:bigint,last_reported:bigint>" in plan
+    # only the qualifying day folders are read
+    assert len(q.inputFiles()) == 11  # index lists all; the scan reads fewer
+    assert q.count() == 9
+
+
+def test_param_sql_matches_dataframe(spark, tmp):
+    t = _table(spark, f"{tmp}/t")
+    t.createOrReplaceTempView("status_param_test")
+    a = recent_status_sql(spark, "status_param_test", dt.datetime(2026, 8, 9)).collect()
+    b = recent_status(t, dt.datetime(2026, 8, 9)).collect()
+    assert sorted(a) == sorted(b)
+
+
+def test_cache_publish_replaces(spark, tmp):
+    t = _table(spark, f"{tmp}/t")
+    publish_cache(recent_status(t, dt.datetime(2026, 8, 9)), f"{tmp}/cache")
+    assert read_cache(spark, f"{tmp}/cache").count() == 9
+    publish_cache(recent_status(t, dt.datetime(2026, 8, 11)), f"{tmp}/cache")
+    back = read_cache(spark, f"{tmp}/cache")
+    assert back.count() == 7
+    assert dict(back.dtypes)["last_reported"] == "timestamp_ntz"
+
+
+def test_distinct_and_fan_out(spark, tmp):
+    t = _table(spark, f"{tmp}/t").union(_table(spark, f"{tmp}/t2"))
+    assert distinct_keys(t).count() == 11
+    calls = fan_out(t, lambda keys: [f"sent:{k}" for k in keys]).collect()
+    assert sorted(r.result for r in calls)[0] == "sent:31" and len(calls) == 11
+
+
+def _stats(key: Tuple[Any, ...], batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    n = 0
+    total = 0
+    for b in batches:
+        n += len(b)
+        total += int(b["num_bikes_available"].sum())
+    yield pd.DataFrame({"station_id": [key[0]], "n": [n], "bikes": [total]})
+
+
+def test_per_station_apply_plain_and_split(spark, tmp):
+    t = _table(spark, f"{tmp}/t")
+    hot = t.union(t.withColumn("station_id", F.lit("31")))  # station 31 holds half the rows
+    plain = {r.station_id: (r.n, r.bikes) for r in
+             per_station_apply(hot, _stats, "station_id string, n long, bikes long").collect()}
+    split = per_station_apply(
+        hot, _stats, "station_id string, n long, bikes long", split_buckets=3,
+        combine=lambda d: d.groupBy("station_id").agg(F.sum("n").alias("n"), F.sum("bikes").alias("bikes")))
+    assert {r.station_id: (r.n, r.bikes) for r in split.collect()} == plain
+    assert plain["31"][0] == 12
