@@ -102,6 +102,10 @@ class HadoopFS:
             list(pool.map(lambda p: self._rename(*p), pairs))
         return len(pairs)
 
+    def rename(self, src: str, dst: str) -> bool:
+        """Plain Hadoop rename (no checks): into ``dst`` if it is an existing folder."""
+        return bool(self._fs.rename(self._p(src), self._p(dst)))
+
     def _rename(self, src: str, dst: str) -> None:
         if self._fs.rename(self._p(src), self._p(dst)):
             return

@@ -12,13 +12,14 @@ import json
 import re
 import uuid
 from collections.abc import Iterable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stationlake.fs import HadoopFS
+from stationlake.fs import MOVE_THREADS, HadoopFS
 from stationlake.functions.paths import trash_path_py
 from stationlake.schemas import PART_COLS, STATUS_TABLE_SCHEMA
 from stationlake.sources.tables import data_files, read_table
@@ -50,6 +51,18 @@ def trash_location(path: str, root: str, trash_root: str | None = None) -> str:
     return f"{root.rstrip('/')}/_trash/{_relative(path, root)}"
 
 
+def trash_dir(root: str, trash_root: str | None = None) -> str:
+    """Trash folder of a table: ``trash_root``, else ``bucket/trash/<table
+    key>`` on object stores, else ``<root>/_trash``."""
+    if trash_root:
+        return trash_root.rstrip("/")
+    root = root.rstrip("/")
+    scheme = root.split(":", 1)[0].lower() if "://" in root else ""
+    if scheme in _BUCKET_SCHEMES:
+        return trash_path_py(root)
+    return f"{root}/_trash"
+
+
 def _relative(path: str, root: str) -> str:
     root = root.rstrip("/") + "/"
     if not path.startswith(root):
@@ -105,10 +118,10 @@ def compact_days(spark: SparkSession, root: str, days: Iterable[dt.date],
        ``_staging/<run>`` in one job (``REBALANCE`` on the partition columns;
        AQE splits a hot hour), counting rows on the way (``observe``);
     3. compare that count with the staged files' row count;
-    4. write a journal, move the old files to trash, move the staged files
-       in, delete the journal.  A crash during 4 is finished by
-       :func:`recover_compactions`; readers see a short gap for an hour,
-       never duplicates.
+    4. write a journal, swap each hour folder (old folder to trash, staged
+       folder in; see :func:`_swap`), delete the journal.  A crash during 4
+       is finished by :func:`recover_compactions`; readers see a short gap
+       for an hour, never duplicates.
 
     Hours with one file are left alone, so a second run is a no-op.
     """
@@ -140,36 +153,94 @@ def compact_days(spark: SparkSession, root: str, days: Iterable[dt.date],
     n_src = obs.get["rows"]
     staged_df = read_table(spark, staging, schema)
     n_new = staged_df.count()
+    n_files_new = len(data_files(staged_df))
     if n_new != n_src:
         fs.delete(staging)
         raise RuntimeError(f"compaction row count mismatch: {n_src} read, {n_new} staged")
 
-    staged = data_files(staged_df)
-    moves_new = [(f, f"{root}/{_relative(f, staging)}") for f in staged]
-    moves_old = [(f, trash_location(f, root, trash_root)) for f in old]
+    trash_base = f"{trash_dir(root, trash_root)}/compact-{run}"
+    plan = {"staging": staging, "trash_base": trash_base,
+            "days": sorted({h.rsplit("/", 1)[0] for h in by_hour}),
+            "hours": [{"dir": h, "staged": f"{staging}/{_relative(h, root)}",
+                       "trash": f"{trash_base}/{_relative(h, root)}",
+                       "old": sorted(f.rsplit("/", 1)[1] for f in files)}
+                      for h, files in sorted(by_hour.items())]}
     journal = f"{root}/_compaction/{run}.json"
-    fs.write_text(journal, json.dumps({"staging": staging, "old": moves_old, "new": moves_new}))
-    _finish(fs, journal, staging, moves_old, moves_new)
-    report.update(hours=len(by_hour), files_before=len(old), files_after=len(staged), rows=n_src)
+    fs.write_text(journal, json.dumps(plan))
+    _swap(spark, fs, journal, plan)
+    report.update(hours=len(by_hour), files_before=len(old), files_after=n_files_new, rows=n_src)
     return report
 
 
-def _finish(fs: HadoopFS, journal: str, staging: str, moves_old, moves_new) -> None:
-    fs.move_many(moves_old)
-    fs.move_many(moves_new)
-    fs.delete(staging)
+def _swap(spark: SparkSession, fs: HadoopFS, journal: str, plan: dict,
+          recovering: bool = False) -> None:
+    """Swap each compacted hour folder; every step can be repeated.
+
+    A. the hour folder (the old files) is renamed into
+       ``<trash>/compact-<run>/year=../hour=..`` - one rename per hour, not
+       per file (S3A copies a folder's objects server-side);
+    B. the staged hour folder is renamed into its place;
+    C. one listing of the touched day folders and of the run's trash: a file
+       that arrived after the listing is moved back from trash, an old file
+       left by an interrupted non-atomic folder rename goes to trash, and a
+       staged folder nested by a concurrently re-created hour is flattened.
+
+    ``recovering`` checks each step's state first (the run may have stopped
+    anywhere); a fresh run knows the targets do not exist yet.
+    """
+    hours = plan["hours"]
+    for parent in sorted({h["trash"].rsplit("/", 1)[0] for h in hours}):
+        fs.mkdirs(parent)
+
+    def swap_hour(h):
+        d, s, t = h["dir"], h["staged"], h["trash"]
+        if not recovering or (not fs.exists(t) and fs.exists(d)):
+            fs.rename(d, t)
+        if recovering and not fs.exists(s):
+            return
+        if recovering and fs.exists(d):
+            fs.move_many((f, f"{d}/{f.rsplit('/', 1)[1]}") for f in fs.list_files_recursive(s))
+        else:
+            fs.rename(s, d)
+
+    with ThreadPoolExecutor(max_workers=MOVE_THREADS) as pool:
+        list(pool.map(swap_hour, hours))
+
+    by_dir: dict[str, list[str]] = {}
+    for f in _files_under(spark, fs, [plan["trash_base"], *plan["days"]]):
+        parent, name = f.rsplit("/", 1)
+        by_dir.setdefault(parent, []).append(name)
+    fixes = []
+    for h in hours:
+        d, t, old = h["dir"], h["trash"], set(h["old"])
+        nested = f"{d}/{d.rsplit('/', 1)[1]}"
+        fixes += [(f"{d}/{n}", f"{t}/{n}") for n in by_dir.get(d, []) if n in old]
+        fixes += [(f"{t}/{n}", f"{d}/{n}") for n in by_dir.get(t, []) if n not in old]
+        fixes += [(f"{nested}/{n}", f"{d}/{n}") for n in by_dir.get(nested, [])]
+    fs.move_many(fixes)
+    fs.delete(plan["staging"])
     fs.delete(journal, recursive=False)
 
 
+def _files_under(spark: SparkSession, fs: HadoopFS, roots: list[str]) -> list[str]:
+    """Data files below ``roots``, through Spark's file index: one call into
+    the JVM; up to 32 roots are listed on the driver without a job."""
+    existing = [r for r in roots if fs.exists(r)]
+    if not existing:
+        return []
+    df = (spark.read.schema("x int").option("recursiveFileLookup", True)
+          .format("parquet").load(existing))
+    return data_files(df)
+
+
 def recover_compactions(spark: SparkSession, root: str) -> int:
-    """Finish compactions interrupted during the file swap (idempotent)."""
+    """Finish compactions interrupted during the folder swap (idempotent)."""
     fs = HadoopFS(spark, root)
     n = 0
     for journal in fs.list_dir(f"{root.rstrip('/')}/_compaction"):
         if not journal.endswith(".json"):
             continue
-        plan = json.loads(fs.read_text(journal))
-        _finish(fs, journal, plan["staging"], plan["old"], plan["new"])
+        _swap(spark, fs, journal, json.loads(fs.read_text(journal)), recovering=True)
         n += 1
     return n
 

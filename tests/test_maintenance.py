@@ -21,6 +21,7 @@ from stationlake.operators.maintenance import (
     recover_compactions,
     register_hour_partitions,
     show_partitions,
+    trash_dir,
     trash_location,
     union_by_name,
 )
@@ -68,7 +69,7 @@ def test_compact_one_day_keeps_rows_and_other_days(spark, tmp):
     for h in glob.glob(f"{root}/year=2024/month=01/day=05/hour=*"):
         assert len(glob.glob(f"{h}/*.parquet")) == 1
     assert sorted(_files(root, "year=2024/month=01/day=06/hour=*/*.parquet")) == other_before
-    trashed = glob.glob(f"{root}/_trash/year=2024/month=01/day=05/hour=*/*.parquet")
+    trashed = glob.glob(f"{root}/_trash/compact-*/year=2024/month=01/day=05/hour=*/*.parquet")
     assert len(trashed) == rep["files_before"]
     # narrow files kept their absent columns as NULL, wide values survived
     t = read_table(spark, root).where("day = '05'")
@@ -91,26 +92,52 @@ def test_recover_interrupted_swap(spark, tmp):
     root = f"{tmp}/t"
     _fixture(spark, root)
     before = _rows(spark, root)
-    fs = HadoopFS(spark, root)
-    real = fs.move_many.__func__
+    real = HadoopFS.rename
     calls = {"n": 0}
 
-    def crash_after_trash(self, pairs, threads=16):
+    def crash_midway(self, src, dst):
         calls["n"] += 1
-        if calls["n"] == 2:
+        if calls["n"] > 4:  # some hours trashed, some staged folders moved in
             raise RuntimeError("driver lost")
-        return real(self, pairs, threads)
+        return real(self, src, dst)
 
-    HadoopFS.move_many = crash_after_trash
+    HadoopFS.rename = crash_midway
     try:
         with pytest.raises(RuntimeError):
-            compact_days(spark, root, [dt.date(2024, 1, 3)])
+            compact_days(spark, root, [dt.date(2024, 1, 3), dt.date(2024, 1, 4)])
     finally:
-        HadoopFS.move_many = real
+        HadoopFS.rename = real
     assert glob.glob(f"{root}/_compaction/*.json")
     assert recover_compactions(spark, root) == 1
     assert _rows(spark, root) == before
     assert not glob.glob(f"{root}/_compaction/*.json")
+    for h in glob.glob(f"{root}/year=2024/month=01/day=0[34]/hour=*"):
+        assert len(glob.glob(f"{h}/*.parquet")) == 1
+
+
+def test_late_file_is_kept(spark, tmp):
+    """A file that lands in an hour after the listing is not lost."""
+    import shutil
+    root = f"{tmp}/t"
+    _fixture(spark, root)
+    hour = sorted(glob.glob(f"{root}/year=2024/month=01/day=03/hour=*"))[0]
+    late = glob.glob(f"{hour}/*.parquet")[0]
+    real = HadoopFS.write_text
+
+    def add_late_file(self, path, text):  # runs right before the swap
+        if "/_compaction/" in path:
+            shutil.copy(late, f"{hour}/late-arrival.parquet")
+        return real(self, path, text)
+
+    before = len(_rows(spark, root))
+    HadoopFS.write_text = add_late_file
+    try:
+        compact_days(spark, root, [dt.date(2024, 1, 3)])
+    finally:
+        HadoopFS.write_text = real
+    assert os.path.exists(f"{hour}/late-arrival.parquet")
+    late_rows = spark.read.parquet(late).count()
+    assert len(_rows(spark, root)) == before + late_rows
 
 
 def test_trash_paths():
@@ -119,6 +146,9 @@ def test_trash_paths():
     assert trash_path_py("s3://bucket/station_status/x.parquet") == "s3://bucket/trash/station_status/x.parquet"
     assert trash_location("s3a://b/t/year=2024/f.parquet", "s3a://b/t") == "s3a://b/trash/t/year=2024/f.parquet"
     assert trash_location("file:/x/t/year=2024/f.parquet", "file:/x/t") == "file:/x/t/_trash/year=2024/f.parquet"
+    assert trash_dir("s3a://b/station_status") == "s3a://b/trash/station_status"
+    assert trash_dir("file:/x/t") == "file:/x/t/_trash"
+    assert trash_dir("file:/x/t", "file:/y/bin") == "file:/y/bin"
 
 
 def test_trash_path_columns(spark):
