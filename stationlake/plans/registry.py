@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from stationlake.fs import HadoopFS
 from stationlake.functions.paths import last_segment, legacy_hour_path, trash_path
-from stationlake.functions.time import partition_values
+from stationlake.functions.time import from_epoch_seconds, partition_values
 from stationlake.operators.calendar import hour_calendar
 from stationlake.operators.maintenance import (
     compact_days,
@@ -47,7 +47,7 @@ from stationlake.plans.derive import (
     write_history_csv,
     write_legacy_tree,
 )
-from stationlake.schemas import HISTORY_KEEP, PART_COLS, STATUS_KEYS
+from stationlake.schemas import HISTORY_KEEP, INFO_SCHEMA, INFO_TABLE_SCHEMA, PART_COLS, STATUS_KEYS
 from stationlake.session import scratch_dir
 from stationlake.sources.feeds import info_rows, missing_keys, read_feed, status_rows
 from stationlake.sources.history import normalize_history, read_history
@@ -99,6 +99,17 @@ def q_station_info(spark, sf_dir):
     return info_rows(read_feed(spark, landing))
 
 
+def q_station_info_table(spark, sf_dir):
+    """S2 + K1 for info: documents -> rows -> hour folders of the document time."""
+    landing = scratch_dir(spark, "info")
+    root = scratch_dir(spark, "info-table")
+    info_documents(_read(spark, sf_dir, "supplier")).write.text(landing)
+    rows = info_rows(read_feed(spark, landing)).withColumn(
+        "ingest_time", from_epoch_seconds("last_updated"))
+    write_hourly(rows, root, "ingest_time", columns=[f.name for f in INFO_SCHEMA.fields])
+    return read_table(spark, root, INFO_TABLE_SCHEMA)
+
+
 def q_missing_keys(spark, sf_dir):
     landing = scratch_dir(spark, "feed")
     status_documents(_events(spark, sf_dir)).write.text(landing)
@@ -252,6 +263,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "recent_status": q_recent_status,
     "snapshot_explode": q_snapshot_explode,
     "station_info": q_station_info,
+    "station_info_table": q_station_info_table,
     "missing_keys": q_missing_keys,
     "backfill_normalize": q_backfill_normalize,
     "backfill_write": q_backfill_write,
@@ -305,6 +317,13 @@ ORACLE_SQL: dict[str, str] = {
         "CAST(s_nationkey AS BIGINT) AS capacity, s_acctbal > 0 AS has_kiosk, "
         "CAST(1704067200 AS BIGINT) AS last_updated FROM supplier"
     ),
+    "station_info_table": (
+        "SELECT CAST(s_suppkey AS VARCHAR) AS station_id, s_name AS name, s_acctbal AS lat, "
+        "CAST(s_nationkey AS DOUBLE) AS lon, CAST(s_nationkey AS VARCHAR) AS region_id, "
+        "CAST(s_nationkey AS BIGINT) AS capacity, s_acctbal > 0 AS has_kiosk, "
+        "CAST(1704067200 AS BIGINT) AS last_updated, '2024' AS year, '01' AS month, "
+        "'01' AS day, '00' AS hour FROM supplier"
+    ),
     "missing_keys": (
         f"SELECT {_SLOT} AS last_updated, 'legacy_id' AS missing_key FROM events "
         f"GROUP BY {_SLOT}, event_id // 500 "

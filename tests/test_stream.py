@@ -68,3 +68,15 @@ def test_replayed_batch_is_not_written_twice(spark, tmp):
     assert state["n"] == 1
     sink2(static, 1)
     assert read_table(spark, root).count() == 2 * n
+
+
+def test_processing_time_partitions_use_now(spark, tmp):
+    import datetime as dt
+    land, root, ckpt = f"{tmp}/landing", f"{tmp}/table", f"{tmp}/ckpt"
+    write_text(f"{land}/a.json", _doc(1564685000, "72", 3) + "\n")
+    before = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+    run_available(spark, land, root, ckpt, partition_time="processing")
+    after = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+    r = read_table(spark, root).collect()[0]
+    stamp = dt.datetime(int(r.year), int(r.month), int(r.day), int(r.hour))
+    assert before.replace(minute=0, second=0, microsecond=0) <= stamp <= after
