@@ -28,11 +28,14 @@ class HadoopFS:
     def __init__(self, spark: SparkSession, path: str):
         jvm = spark.sparkContext._jvm
         self._jvm = jvm
+        # Resolve the class once: each ``jvm.org.apache...`` lookup walks the
+        # package path with several Py4J round trips.
+        self._path_class = jvm.org.apache.hadoop.fs.Path
         self._conf = spark.sparkContext._jsc.hadoopConfiguration()
-        self._fs = jvm.org.apache.hadoop.fs.Path(path).getFileSystem(self._conf)
+        self._fs = self._path_class(path).getFileSystem(self._conf)
 
     def _p(self, path: str):
-        return self._jvm.org.apache.hadoop.fs.Path(path)
+        return self._path_class(path)
 
     def qualify(self, path: str) -> str:
         return canon(self._fs.makeQualified(self._p(path)).toString())
@@ -87,7 +90,15 @@ class HadoopFS:
             raise OSError(f"rename failed: {src} -> {dst}")
         return True
 
-    def move_many(self, pairs, threads: int = MOVE_THREADS) -> int:
+    def rename_many(self, pairs, threads: int = MOVE_THREADS) -> int:
+        """Plain renames in parallel (folders or files); no checks."""
+        pairs = list(pairs)
+        if pairs:
+            with ThreadPoolExecutor(max_workers=threads) as pool:
+                list(pool.map(lambda p: self.rename(*p), pairs))
+        return len(pairs)
+
+    def move_many(self, pairs, threads: int = MOVE_THREADS, make_parents: bool = True) -> int:
         """Move many files: parents created once each, renames in parallel.
 
         Idempotent like :meth:`move` (a pair whose source is gone and whose
@@ -96,7 +107,7 @@ class HadoopFS:
         pairs = list(pairs)
         if not pairs:
             return 0
-        parents = sorted({dst.rsplit("/", 1)[0] for _, dst in pairs})
+        parents = sorted({dst.rsplit("/", 1)[0] for _, dst in pairs}) if make_parents else []
         with ThreadPoolExecutor(max_workers=threads) as pool:
             list(pool.map(self.mkdirs, parents))
             list(pool.map(lambda p: self._rename(*p), pairs))
@@ -126,8 +137,8 @@ class HadoopFS:
     def read_text(self, path: str) -> str:
         stream = self._fs.open(self._p(path))
         try:
-            reader = self._jvm.java.io.BufferedReader(
-                self._jvm.java.io.InputStreamReader(stream, "UTF-8"))
+            io = self._jvm.java.io
+            reader = io.BufferedReader(io.InputStreamReader(stream, "UTF-8"))
             lines = []
             line = reader.readLine()
             while line is not None:

@@ -22,7 +22,7 @@ from pyspark.sql import types as T
 from stationlake.fs import MOVE_THREADS, HadoopFS
 from stationlake.functions.paths import trash_path_py
 from stationlake.schemas import PART_COLS, STATUS_TABLE_SCHEMA
-from stationlake.sources.tables import data_files, read_table
+from stationlake.sources.tables import data_files, files_under, read_table
 
 # Object stores keep the reference's ``bucket/trash/...`` convention; other
 # file systems get a ``_trash`` folder inside the table root (ignored by readers).
@@ -207,7 +207,7 @@ def _swap(spark: SparkSession, fs: HadoopFS, journal: str, plan: dict,
         list(pool.map(swap_hour, hours))
 
     by_dir: dict[str, list[str]] = {}
-    for f in _files_under(spark, fs, [plan["trash_base"], *plan["days"]]):
+    for f in files_under(spark, [plan["trash_base"], *plan["days"]]):
         parent, name = f.rsplit("/", 1)
         by_dir.setdefault(parent, []).append(name)
     fixes = []
@@ -222,17 +222,6 @@ def _swap(spark: SparkSession, fs: HadoopFS, journal: str, plan: dict,
     fs.delete(journal, recursive=False)
 
 
-def _files_under(spark: SparkSession, fs: HadoopFS, roots: list[str]) -> list[str]:
-    """Data files below ``roots``, through Spark's file index: one call into
-    the JVM; up to 32 roots are listed on the driver without a job."""
-    existing = [r for r in roots if fs.exists(r)]
-    if not existing:
-        return []
-    df = (spark.read.schema("x int").option("recursiveFileLookup", True)
-          .format("parquet").load(existing))
-    return data_files(df)
-
-
 def recover_compactions(spark: SparkSession, root: str) -> int:
     """Finish compactions interrupted during the folder swap (idempotent)."""
     fs = HadoopFS(spark, root)

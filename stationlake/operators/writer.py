@@ -47,3 +47,48 @@ def write_history(normalized: DataFrame, root: str,
     """
     write_hourly(normalized.where(F.col("execution_time").isNotNull()), root,
                  "execution_time", HISTORY_KEEP, max_records_per_file=max_records_per_file)
+
+
+def publish_staged(spark, staging: str, root: str) -> int:
+    """Move the files of a staged hourly write into the table at ``root``.
+
+    Hours the table does not have yet get the whole staged hour folder
+    renamed in (one rename per hour); hours it has get their files renamed
+    one by one.  Both are repeatable: what was moved is gone from staging.
+    A folder nested because an hour appeared concurrently is flattened.
+    Returns the number of files published.
+    """
+    from stationlake.fs import HadoopFS
+    from stationlake.sources.tables import data_files, files_under, read_table
+
+    fs = HadoopFS(spark, root)
+    root = fs.qualify(root).rstrip("/")
+    staging = fs.qualify(staging).rstrip("/")
+    if not fs.exists(staging):
+        return 0
+    staged: dict[str, list[str]] = {}
+    for f in data_files(read_table(spark, staging)):
+        rel_hour, name = f[len(staging) + 1:].rsplit("/", 1)
+        staged.setdefault(rel_hour, []).append(name)
+    if not staged:
+        return 0
+    days = sorted({h.rsplit("/", 1)[0] for h in staged})
+    present = {f[len(root) + 1:].rsplit("/", 1)[0] for f in files_under(spark, [f"{root}/{d}" for d in days])}
+    for d in days:
+        fs.mkdirs(f"{root}/{d}")
+    file_moves, dir_moves = [], []
+    for h, names in staged.items():
+        if h in present:
+            file_moves += [(f"{staging}/{h}/{n}", f"{root}/{h}/{n}") for n in names]
+        else:
+            dir_moves.append((f"{staging}/{h}", f"{root}/{h}"))
+    fs.move_many(file_moves, make_parents=False)
+    fs.rename_many(dir_moves)
+    nested = []
+    for f in files_under(spark, [f"{root}/{d}" for d in days]):
+        parent, name = f.rsplit("/", 1)
+        hour_dir, last = parent.rsplit("/", 1)
+        if last.startswith("hour=") and hour_dir.rsplit("/", 1)[1].startswith("hour="):
+            nested.append((f, f"{hour_dir}/{name}"))
+    fs.move_many(nested)
+    return sum(len(v) for v in staged.values())

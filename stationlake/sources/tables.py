@@ -58,3 +58,19 @@ def data_files(df: DataFrame) -> list[str]:
     """Files behind a file-based DataFrame, from Spark's own listing (one
     call into the JVM, parallel listing for many folders)."""
     return sorted(canon(f) for f in df.inputFiles())
+
+
+def files_under(spark: SparkSession, roots: list[str]) -> list[str]:
+    """Data files below ``roots`` (recursive), through Spark's file index:
+    one call into the JVM; up to 32 roots are listed on the driver without
+    a job, more in a parallel listing job.  Missing roots are skipped."""
+    from stationlake.fs import HadoopFS
+    if not roots:
+        return []
+    fs = HadoopFS(spark, roots[0])
+    existing = [r for r in roots if fs.exists(r)]
+    if not existing:
+        return []
+    df = (spark.read.schema("x int").option("recursiveFileLookup", True)
+          .format("parquet").load(existing))
+    return data_files(df)

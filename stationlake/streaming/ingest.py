@@ -20,10 +20,9 @@ from pyspark.sql.streaming import StreamingQuery
 
 from stationlake.fs import HadoopFS
 from stationlake.functions.time import from_epoch_seconds, utc_now
-from stationlake.operators.writer import write_hourly
+from stationlake.operators.writer import publish_staged, write_hourly
 from stationlake.schemas import FEED_SCHEMA, STATUS_KEYS
 from stationlake.sources.feeds import status_rows
-from stationlake.sources.tables import data_files, read_table
 
 
 def status_stream(spark: SparkSession, landing: str, multi_line: bool = False,
@@ -70,10 +69,7 @@ class HourlyBatchSink:
             fs.delete(staging)
             write_hourly(batch, staging, self.ts_col, self.columns, mode="errorifexists")
             fs.write_text(staged, "")
-        prefix = fs.qualify(staging).rstrip("/") + "/"
-        root = fs.qualify(self.root).rstrip("/")
-        files = data_files(read_table(batch.sparkSession, staging))
-        fs.move_many((f, f"{root}/{f[len(prefix):]}") for f in files)
+        publish_staged(batch.sparkSession, staging, self.root)
         fs.write_text(done, "")
         fs.delete(staging)
         fs.delete(staged, recursive=False)

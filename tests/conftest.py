@@ -36,3 +36,9 @@ def write_text(path: str, text: str) -> str:
     with open(path, "w") as f:
         f.write(text)
     return path
+
+
+def plan_text(df) -> str:
+    """The formatted physical plan (what ``df.explain("formatted")`` prints)."""
+    jvm = df.sparkSession.sparkContext._jvm
+    return jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")

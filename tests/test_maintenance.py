@@ -30,7 +30,7 @@ from stationlake.plans.derive import station_rows, write_legacy_tree
 from stationlake.schemas import HISTORY_KEEP, PART_COLS, STATUS_KEYS
 from stationlake.sources.tables import read_legacy_tree, read_table
 
-from conftest import SF_SMALL
+from conftest import SF_SMALL, plan_text
 
 
 def _events(spark):
@@ -183,7 +183,7 @@ def test_register_legacy_tree_and_query_through_catalog(spark, tmp):
     register_hour_partitions(spark, name, hours)  # idempotent
     assert show_partitions(spark, name).count() == n
     q = recent_status(spark.table(name), dt.datetime(2024, 1, 30, 12))
-    plan = q._jdf.queryExecution().executedPlan().toString()
+    plan = plan_text(q)
     assert "PartitionFilters" in plan
     expected = station_rows(_events(spark)).where(
         F.to_date("ingest_time") > F.lit("2024-01-22").cast("date")).count()
@@ -228,7 +228,7 @@ def test_reference_style_concat_predicate_also_prunes(spark, tmp):
         SELECT station_id, num_bikes_available FROM status_concat_test
         WHERE to_date(CAST(year AS STRING) || '-' || CAST(month AS STRING) || '-' || CAST(day AS STRING),
                       'yyyy-MM-dd') > TIMESTAMP_NTZ'2024-01-30 12:00:00' - INTERVAL 8 DAYS""")
-    plan = q._jdf.queryExecution().executedPlan().toString()
+    plan = plan_text(q)
     assert "PartitionFilters: [" in plan and "to_date" in plan
     same = recent_status(read_table(spark, root), dt.datetime(2024, 1, 30, 12)).count()
     assert q.count() == same

@@ -6,6 +6,7 @@ import datetime as dt
 from typing import Any, Iterator, Tuple
 
 import pandas as pd
+from conftest import plan_text
 from pyspark.sql import functions as F
 
 from stationlake.operators.query import (
@@ -59,7 +60,7 @@ def test_window_tz_aware_as_of(spark, tmp):
 def test_plan_prunes_partitions_and_columns(spark, tmp):
     t = _table(spark, f"{tmp}/t")
     q = recent_status(t, dt.datetime(2026, 8, 9))
-    plan = q._jdf.queryExecution().executedPlan().toString()
+    plan = plan_text(q)
     assert "PartitionFilters: [" in plan and "make_date" in plan
     assert "ReadSchema: struct<station_id:string,num_bikes_available:bigint,last_reported:bigint>" in plan
     # only the qualifying day folders are read
