@@ -144,8 +144,12 @@ def compact_days(spark: SparkSession, root: str, days: Iterable[dt.date],
     run = uuid.uuid4().hex
     staging = f"{root}/_staging/compact-{run}"
     obs = Observation(f"compact_{run}")
-    src = listed.where(_hour_key().isin(keys)).observe(obs, F.count(F.lit(1)).alias("rows"))
-    w = (src.hint("rebalance", *PART_COLS).write.mode("errorifexists")
+    # Counted after the shuffle, in the writing (result) tasks: a result
+    # partition's metrics are applied once even when tasks are retried or
+    # map output is recomputed after an executor loss.
+    src = (listed.where(_hour_key().isin(keys)).hint("rebalance", *PART_COLS)
+           .observe(obs, F.count(F.lit(1)).alias("rows")))
+    w = (src.write.mode("errorifexists")
          .partitionBy(*PART_COLS).option("compression", "snappy"))
     if max_records_per_file:
         w = w.option("maxRecordsPerFile", int(max_records_per_file))
