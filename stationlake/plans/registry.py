@@ -33,6 +33,7 @@ from stationlake.operators.maintenance import (
 )
 from stationlake.operators.query import (
     distinct_keys,
+    fan_out,
     per_station_apply,
     publish_cache,
     recent_status,
@@ -243,6 +244,15 @@ def q_per_station_apply(spark, sf_dir):
     )
 
 
+def _queue_calls(keys: list) -> list:
+    """Stand-in for the per-station call: returns what it would send."""
+    return [f"queued:{k}" for k in keys]
+
+
+def q_fan_out_calls(spark, sf_dir):
+    return fan_out(station_rows(_events(spark, sf_dir)), _queue_calls)
+
+
 def q_stream_ingest(spark, sf_dir):
     landing = scratch_dir(spark, "landing")
     root = scratch_dir(spark, "ingested")
@@ -277,6 +287,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "distinct_keys": q_distinct_keys,
     "param_sql": q_param_sql,
     "per_station_apply": q_per_station_apply,
+    "fan_out_calls": q_fan_out_calls,
     "stream_ingest": q_stream_ingest,
     "legacy_layout": q_legacy_layout,
 }
@@ -379,6 +390,9 @@ ORACLE_SQL: dict[str, str] = {
         f"SELECT {_SID} AS station_id, count(*) AS n_rows, max({_SECS}) AS max_last_reported "
         "FROM events GROUP BY 1"
     ),
+    "fan_out_calls": (
+        f"SELECT DISTINCT {_SID} AS station_id, 'queued:' || {_SID} AS result FROM events"
+    ),
     "stream_ingest": f"SELECT {_CORE}, {_PARTS} FROM events",
     "legacy_layout": f"SELECT {_CORE}, {_PARTS} FROM events",
 }
