@@ -52,7 +52,7 @@ from stationlake.schemas import HISTORY_KEEP, INFO_SCHEMA, INFO_TABLE_SCHEMA, PA
 from stationlake.session import scratch_dir
 from stationlake.sources.feeds import info_rows, missing_keys, read_feed, status_rows
 from stationlake.sources.history import normalize_history, read_history
-from stationlake.sources.tables import read_cache, read_legacy_tree, read_table
+from stationlake.sources.tables import read_cache, read_legacy_tree, read_recent, read_table
 from stationlake.streaming.ingest import run_available
 
 # Fixed value: the backfill cutoff used by the registered history queries.
@@ -83,9 +83,13 @@ def _max_ts(events: DataFrame):
 # ----------------------------------------------------------------- queries
 
 def q_recent_status(spark, sf_dir):
+    """Flagship: the trailing 8 days as of the newest event.  Only the day
+    folders of the window are listed (``read_recent``); the partition
+    predicate then prunes to the exact window."""
     events = _events(spark, sf_dir)
     root = status_table(spark, sf_dir, "recent")
-    return recent_status(read_table(spark, root), _max_ts(events))
+    as_of = events.agg(F.max("ts")).first()[0]
+    return recent_status(read_recent(spark, root, as_of), as_of)
 
 
 def q_snapshot_explode(spark, sf_dir):
@@ -218,8 +222,8 @@ def q_param_sql(spark, sf_dir):
     events = _events(spark, sf_dir)
     root = status_table(spark, sf_dir, "param")
     view = f"status_{uuid.uuid4().hex[:10]}"
-    read_table(spark, root).createOrReplaceTempView(view)
     as_of = events.agg(F.max("ts")).first()[0]
+    read_recent(spark, root, as_of).createOrReplaceTempView(view)
     return recent_status_sql(spark, view, as_of)
 
 

@@ -7,11 +7,13 @@ NULL, and stray columns some writers add are dropped.
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stationlake.fs import canon
+from stationlake.fs import HadoopFS, canon
 from stationlake.schemas import CACHE_SCHEMA, PART_COLS, STATUS_SCHEMA, STATUS_TABLE_SCHEMA
 
 # Legacy bare layout ``.../YYYY/MM/DD/HH/<file>``.
@@ -25,6 +27,59 @@ def read_table(spark: SparkSession, root: str,
     return spark.read.schema(schema).parquet(root)
 
 
+def window_day_dirs(spark: SparkSession, root: str, start: dt.date) -> list[str]:
+    """Day folders of a ``year=/month=/day=`` table dated on or after ``start``.
+
+    Lists folder names level by level (years, then months of the remaining
+    years, then days of the remaining months), never the files of other days:
+    the cost follows the window, not the age of the table.
+    """
+    fs = HadoopFS(spark, root)
+    root = fs.qualify(root).rstrip("/")
+
+    def values(parent: str, key: str) -> list[tuple[int, str]]:
+        out = []
+        for d in fs.glob_dirs(f"{parent}/{key}=*"):
+            v = d.rsplit("=", 1)[1]
+            if v.isdigit():
+                out.append((int(v), d))
+        return out
+
+    days = []
+    for y, ydir in values(root, "year"):
+        if y < start.year:
+            continue
+        for m, mdir in values(ydir, "month"):
+            if (y, m) < (start.year, start.month):
+                continue
+            for d, ddir in values(mdir, "day"):
+                if (y, m, d) >= (start.year, start.month, start.day):
+                    days.append(ddir)
+    return sorted(days)
+
+
+def read_recent(spark: SparkSession, root: str, as_of=None, days: int = 8,
+                schema: T.StructType = STATUS_TABLE_SCHEMA) -> DataFrame:
+    """S5 for a path-based table: read only the day folders a trailing
+    window can need (dated after ``as_of - days``, later dates included).
+
+    ``as_of`` must be known on the driver here (None = now, UTC).  The
+    window predicate itself is applied by the caller (``recent_status``),
+    so the result is the same as over the whole table.
+    """
+    if as_of is None:
+        as_of = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+    if isinstance(as_of, str):
+        as_of = dt.datetime.fromisoformat(as_of)
+    if as_of.tzinfo is not None:
+        as_of = as_of.astimezone(dt.timezone.utc).replace(tzinfo=None)
+    start = (as_of - dt.timedelta(days=days)).date()
+    dirs = window_day_dirs(spark, root, start)
+    if not dirs:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).option("basePath", root).parquet(*dirs)
+
+
 def read_files(spark: SparkSession, root: str, files: list[str],
                schema: T.StructType = STATUS_TABLE_SCHEMA) -> DataFrame:
     """S4 + U1: an explicit list of files of one table, concatenated by
@@ -64,7 +119,6 @@ def files_under(spark: SparkSession, roots: list[str]) -> list[str]:
     """Data files below ``roots`` (recursive), through Spark's file index:
     one call into the JVM; up to 32 roots are listed on the driver without
     a job, more in a parallel listing job.  Missing roots are skipped."""
-    from stationlake.fs import HadoopFS
     if not roots:
         return []
     fs = HadoopFS(spark, roots[0])

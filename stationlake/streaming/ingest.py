@@ -27,7 +27,7 @@ from stationlake.sources.feeds import status_rows
 
 def status_stream(spark: SparkSession, landing: str, multi_line: bool = False,
                   max_files_per_trigger: int | None = None,
-                  partition_time: str = "document") -> DataFrame:
+                  partition_time: str = "document", archive_dir: str | None = None) -> DataFrame:
     """Streaming status rows with an ``ingest_time`` column.
 
     ``partition_time="document"``: the hour comes from the document's
@@ -39,6 +39,10 @@ def status_stream(spark: SparkSession, landing: str, multi_line: bool = False,
               .option("mode", "FAILFAST"))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", int(max_files_per_trigger))
+    if archive_dir:
+        # Processed documents are moved out of the landing folder, so the
+        # listing each trigger does stays small (720 new files a day).
+        reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
     rows = status_rows(reader.json(landing))
     if partition_time == "document":
         ingest = from_epoch_seconds("last_updated")
@@ -78,11 +82,11 @@ class HourlyBatchSink:
 def start_ingest(spark: SparkSession, landing: str, table_root: str, checkpoint: str,
                  processing_time: str | None = None, multi_line: bool = False,
                  max_files_per_trigger: int | None = None,
-                 partition_time: str = "document") -> StreamingQuery:
+                 partition_time: str = "document", archive_dir: str | None = None) -> StreamingQuery:
     """Start the ingest stream.  ``processing_time=None`` runs
     ``availableNow`` (everything present, then stop: the cron form);
     ``"2 minutes"`` keeps running on the reference's cadence."""
-    rows = status_stream(spark, landing, multi_line, max_files_per_trigger, partition_time)
+    rows = status_stream(spark, landing, multi_line, max_files_per_trigger, partition_time, archive_dir)
     tag = hashlib.sha1(checkpoint.encode("utf-8")).hexdigest()[:12]
     w = (rows.writeStream.foreachBatch(HourlyBatchSink(table_root, tag))
          .option("checkpointLocation", checkpoint))

@@ -112,3 +112,17 @@ def test_per_station_apply_plain_and_split(spark, tmp):
         combine=lambda d: d.groupBy("station_id").agg(F.sum("n").alias("n"), F.sum("bikes").alias("bikes")))
     assert {r.station_id: (r.n, r.bikes) for r in split.collect()} == plain
     assert plain["31"][0] == 12
+
+
+def test_read_recent_lists_only_window_days(spark, tmp):
+    from stationlake.sources.tables import read_recent, window_day_dirs
+    t = _table(spark, f"{tmp}/t")
+    dirs = window_day_dirs(spark, f"{tmp}/t", dt.date(2026, 8, 1))
+    assert [d.rsplit("/", 3)[-3:] for d in dirs][0] == ["year=2026", "month=08", "day=01"]
+    assert len(dirs) == 10  # 08-01 .. 08-10; 07-31 is not listed
+    as_of = dt.datetime(2026, 8, 9)
+    a = recent_status(read_recent(spark, f"{tmp}/t", as_of), as_of)
+    b = recent_status(t, as_of)
+    assert sorted(a.collect()) == sorted(b.collect())
+    assert len(a.inputFiles()) == 10  # the window's day folders (+ the boundary day), not all 11
+    assert recent_status(read_recent(spark, f"{tmp}/t", dt.datetime(2030, 1, 1)), dt.datetime(2030, 1, 1)).count() == 0

@@ -80,3 +80,16 @@ def test_processing_time_partitions_use_now(spark, tmp):
     r = read_table(spark, root).collect()[0]
     stamp = dt.datetime(int(r.year), int(r.month), int(r.day), int(r.hour))
     assert before.replace(minute=0, second=0, microsecond=0) <= stamp <= after
+
+
+def test_archive_moves_processed_documents(spark, tmp):
+    import os
+    land, root, ckpt, arch = f"{tmp}/landing", f"{tmp}/table", f"{tmp}/ckpt", f"{tmp}/archive"
+    write_text(f"{land}/a.json", _doc(1564685000, "72", 3) + "\n")
+    write_text(f"{land}/b.json", _doc(1564688600, "73", 4) + "\n")
+    run_available(spark, land, root, ckpt, max_files_per_trigger=1, archive_dir=arch)
+    write_text(f"{land}/c.json", _doc(1564692200, "74", 1) + "\n")
+    run_available(spark, land, root, ckpt, archive_dir=arch)
+    assert read_table(spark, root).count() == 3
+    archived = [f for _, _, fs in os.walk(arch) for f in fs if f.endswith(".json")]
+    assert len(archived) >= 1  # files of completed batches are moved out of the landing folder
