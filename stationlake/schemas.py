@@ -73,7 +73,7 @@ CACHE_SCHEMA = T.StructType(
     ]
 )
 
-# History file: raw header names -> station names, and the typed columns kept.
+# History file header names -> station names, and the columns kept.
 HISTORY_RENAMES = {
     "id": "station_id",
     "available_bikes": "num_bikes_available",

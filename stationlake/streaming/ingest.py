@@ -16,6 +16,7 @@ from __future__ import annotations
 import hashlib
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from stationlake.fs import HadoopFS
@@ -32,7 +33,7 @@ def status_stream(spark: SparkSession, landing: str, multi_line: bool = False,
 
     ``partition_time="document"``: the hour comes from the document's
     ``last_updated`` (the feed's own snapshot time; a replay lands in the
-    same hour).  ``"processing"``: UTC now of the micro-batch, as the
+    same hour; a document without it takes the batch's time).  ``"processing"``: UTC now of the micro-batch, as the
     reference's ``utcnow()`` at fetch.
     """
     reader = (spark.readStream.schema(FEED_SCHEMA).option("multiLine", multi_line)
@@ -45,7 +46,8 @@ def status_stream(spark: SparkSession, landing: str, multi_line: bool = False,
         reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
     rows = status_rows(reader.json(landing))
     if partition_time == "document":
-        ingest = from_epoch_seconds("last_updated")
+        # a document without its own time falls back to the batch's time
+        ingest = F.coalesce(from_epoch_seconds("last_updated"), utc_now())
     elif partition_time == "processing":
         ingest = utc_now()
     else:
