@@ -100,26 +100,66 @@ def distinct_keys(df: DataFrame, key: str = "station_id") -> DataFrame:
     return df.select(key).distinct()
 
 
+# Most hot keys given their own bucket count; with more, every key is salted
+# uniformly (still exact, only less tailored).
+MAX_HOT_KEYS = 1000
+
+
+def hot_key_buckets(df: DataFrame, key: str, rows_per_group: int,
+                    max_hot: int = MAX_HOT_KEYS) -> dict | None:
+    """Bucket counts for keys holding more than ``rows_per_group`` rows.
+
+    One partial-aggregation pass (one row per key leaves each task); only
+    the hot keys reach the driver, at most ``max_hot`` of them.  Returns
+    ``None`` when there are more hot keys than that.
+    """
+    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    hot = counts.where(F.col("_n") > rows_per_group).limit(max_hot + 1).collect()
+    if len(hot) > max_hot:
+        return None
+    return {r[key]: int(-(-r["_n"] // rows_per_group)) for r in hot}
+
+
 def per_station_apply(df: DataFrame, fn: Callable, schema: T.StructType | str,
-                      key: str = "station_id", split_buckets: int | None = None,
-                      combine: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+                      key: str = "station_id", split_buckets: int | str | None = None,
+                      combine: Callable[[DataFrame], DataFrame] | None = None,
+                      rows_per_group: int = 1_000_000) -> DataFrame:
     """Run a user function on each station's rows.
 
     ``fn(key_tuple, batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]``
     receives the rows of one group as a stream of Arrow batches, so a large
     station is never one pandas frame in memory.  ``fn`` must carry these
     type hints (``typing.Tuple``/``Iterator``) for Spark to pick the
-    iterator form.  With ``split_buckets`` the
-    groups are ``(station, bucket)`` with a deterministic hash bucket, so a
-    hot station is spread over that many tasks; ``combine`` (a DataFrame
-    function, e.g. a ``groupBy(key).agg``) then merges the partial results.
+    iterator form.
+
+    Splitting (for functions whose results ``combine`` can merge, e.g. with a
+    ``groupBy(key).agg``): ``split_buckets=n`` makes the groups
+    ``(station, bucket)`` with a deterministic hash bucket in ``[0, n)`` for
+    every station; ``split_buckets="auto"`` splits only stations with more
+    than ``rows_per_group`` rows, each into ``ceil(rows / rows_per_group)``
+    buckets (cold stations stay one group).  The bucket column ``_bucket``
+    is part of the grouping key passed to ``fn``.
     """
     ship_package(df.sparkSession)
-    if split_buckets:
-        bucket = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(int(split_buckets)))
-        out = df.withColumn("_bucket", bucket).groupBy(key, "_bucket").applyInPandas(fn, schema)
-        return combine(out) if combine else out
-    return df.groupBy(key).applyInPandas(fn, schema)
+    if not split_buckets:
+        return df.groupBy(key).applyInPandas(fn, schema)
+    # Row content plus the input partition: retry-safe (a recomputed task
+    # puts every row in the same bucket again) and it spreads exact duplicate
+    # rows (a station that did not report for an hour) over input partitions.
+    row_hash = F.xxhash64(*[F.col(c) for c in df.columns], F.spark_partition_id())
+    if split_buckets == "auto":
+        hot = hot_key_buckets(df, key, rows_per_group)
+        if hot is None:
+            n = F.lit(8)
+        elif not hot:
+            n = F.lit(1)
+        else:
+            table = F.create_map(*[x for k, v in hot.items() for x in (F.lit(k), F.lit(v))])
+            n = F.coalesce(table[F.col(key)], F.lit(1))
+    else:
+        n = F.lit(int(split_buckets))
+    out = df.withColumn("_bucket", F.pmod(row_hash, n)).groupBy(key, "_bucket").applyInPandas(fn, schema)
+    return combine(out) if combine else out
 
 
 def fan_out(df: DataFrame, call: Callable[[list], list], key: str = "station_id",

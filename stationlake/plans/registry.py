@@ -242,7 +242,7 @@ def q_per_station_apply(spark, sf_dir):
     rows = station_rows(_events(spark, sf_dir)).select("station_id", "last_reported")
     schema = "station_id string, n_rows bigint, max_last_reported bigint"
     return per_station_apply(
-        rows, _count_and_latest, schema, split_buckets=4,
+        rows, _count_and_latest, schema, split_buckets="auto",
         combine=lambda part: part.groupBy("station_id").agg(
             F.sum("n_rows").alias("n_rows"), F.max("max_last_reported").alias("max_last_reported")),
     )

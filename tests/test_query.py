@@ -126,3 +126,24 @@ def test_read_recent_lists_only_window_days(spark, tmp):
     assert sorted(a.collect()) == sorted(b.collect())
     assert len(a.inputFiles()) == 10  # the window's day folders (+ the boundary day), not all 11
     assert recent_status(read_recent(spark, f"{tmp}/t", dt.datetime(2030, 1, 1)), dt.datetime(2030, 1, 1)).count() == 0
+
+
+def test_per_station_apply_auto_splits_only_hot_stations(spark, tmp):
+    from stationlake.operators.query import hot_key_buckets
+    t = _table(spark, f"{tmp}/t")
+    hot = t
+    for _ in range(5):  # station 31 gets 32 identical rows, the others 1 each
+        hot = hot.union(hot.where("station_id = '31'"))
+    assert hot_key_buckets(hot, "station_id", 10) == {"31": 4}
+
+    def groups(key: Tuple[Any, ...], batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        n = sum(len(b) for b in batches)
+        yield pd.DataFrame({"station_id": [key[0]], "bucket": [int(key[1])], "n": [n]})
+
+    parts = per_station_apply(hot, groups, "station_id string, bucket long, n long",
+                              split_buckets="auto", rows_per_group=10).collect()
+    by = {}
+    for r in parts:
+        by.setdefault(r.station_id, []).append(r.n)
+    assert len(by["31"]) > 1 and sum(by["31"]) == 32 and max(by["31"]) < 32
+    assert all(len(v) == 1 for k, v in by.items() if k != "31")
