@@ -8,9 +8,9 @@ Spark, at whatever size those tables have:
   ``floor(value / 10)`` -> docks (NULL for ``error`` events),
   unix seconds of ``ts`` -> ``last_reported``, ``ts`` -> ingest time;
 * a feed document holds the events of one 2-minute snapshot slot and one
-  block of ``DOC_BLOCK`` consecutive event ids, so no document (no
-  ``collect_list`` group) holds more than ``DOC_BLOCK`` stations however
-  skewed the slots are;
+  block of ``DOC_BLOCK`` consecutive event ids; event ids are unique, so no
+  document (no ``collect_list`` group) holds more than ``DOC_BLOCK``
+  stations however skewed the slots are;
 * info: ``s_suppkey`` -> ``station_id``, ``s_name`` -> name, ``s_acctbal`` ->
   lat, ``s_nationkey`` -> lon / region / capacity.
 """
