@@ -73,7 +73,9 @@ def publish_staged(spark, staging: str, root: str) -> int:
     if not staged:
         return 0
     days = sorted({h.rsplit("/", 1)[0] for h in staged})
-    present = {f[len(root) + 1:].rsplit("/", 1)[0] for f in files_under(spark, [f"{root}/{d}" for d in days])}
+    # Hour folders that exist, with or without files (registering a
+    # partition creates an empty one): at most 24 names per touched day.
+    present = {h[len(root) + 1:] for d in days for h in fs.glob_dirs(f"{root}/{d}/hour=*")}
     for d in days:
         fs.mkdirs(f"{root}/{d}")
     file_moves, dir_moves = [], []
@@ -84,11 +86,16 @@ def publish_staged(spark, staging: str, root: str) -> int:
             dir_moves.append((f"{staging}/{h}", f"{root}/{h}"))
     fs.move_many(file_moves, make_parents=False)
     fs.rename_many(dir_moves)
-    nested = []
-    for f in files_under(spark, [f"{root}/{d}" for d in days]):
+    # An hour folder created between the check above and the rename gets the
+    # staged folder nested inside it: move those files up, drop the folder.
+    nested, nested_dirs = [], set()
+    for f in files_under(spark, [dst for _, dst in dir_moves]):
         parent, name = f.rsplit("/", 1)
         hour_dir, last = parent.rsplit("/", 1)
         if last.startswith("hour=") and hour_dir.rsplit("/", 1)[1].startswith("hour="):
             nested.append((f, f"{hour_dir}/{name}"))
+            nested_dirs.add(parent)
     fs.move_many(nested)
+    for d in nested_dirs:
+        fs.delete(d)
     return sum(len(v) for v in staged.values())

@@ -93,3 +93,29 @@ def test_archive_moves_processed_documents(spark, tmp):
     assert read_table(spark, root).count() == 3
     archived = [f for _, _, fs in os.walk(arch) for f in fs if f.endswith(".json")]
     assert len(archived) >= 1  # files of completed batches are moved out of the landing folder
+
+
+def test_publish_into_registered_empty_hour_and_existing_hour(spark, tmp):
+    import os
+    from stationlake.operators.writer import publish_staged, write_hourly
+    root, staging = f"{tmp}/table", f"{tmp}/staging"
+    static = status_rows(read_feed(spark, _write_two_docs(tmp))).withColumn(
+        "ingest_time", from_epoch_seconds("last_updated"))
+    os.makedirs(f"{root}/year=2019/month=08/day=01/hour=18")  # registered, still empty
+    write_hourly(static.where("station_id = '73'"), root, "ingest_time")  # hour 19 has a file
+    write_hourly(static, staging, "ingest_time")
+    assert publish_staged(spark, staging, root) == 2
+    assert not glob_nested(root)
+    rows = sorted((r.hour, r.station_id) for r in read_table(spark, root).collect())
+    assert rows == [("18", "72"), ("19", "73"), ("19", "73")]
+
+
+def _write_two_docs(tmp):
+    land = f"{tmp}/two"
+    write_text(f"{land}/a.json", _doc(1564685000, "72", 3) + "\n" + _doc(1564688600, "73", 4) + "\n")
+    return land
+
+
+def glob_nested(root):
+    import glob
+    return glob.glob(f"{root}/year=*/month=*/day=*/hour=*/hour=*")
