@@ -222,6 +222,10 @@ def _swap(spark: SparkSession, fs: HadoopFS, journal: str, plan: dict,
         fixes += [(f"{t}/{n}", f"{d}/{n}") for n in by_dir.get(t, []) if n not in old]
         fixes += [(f"{nested}/{n}", f"{d}/{n}") for n in by_dir.get(nested, [])]
     fs.move_many(fixes)
+    for h in hours:
+        nested = f"{h['dir']}/{h['dir'].rsplit('/', 1)[1]}"
+        if nested in by_dir:
+            fs.delete(nested)
     fs.delete(plan["staging"])
     fs.delete(journal, recursive=False)
 
