@@ -8,6 +8,7 @@ disks, because they go through the cluster's own Hadoop configuration.
 
 from __future__ import annotations
 
+import re
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import SparkSession
@@ -24,6 +25,11 @@ def canon(path: str) -> str:
     return path
 
 
+# ``FileStatus.toString()``: ``...{path=<uri>; isDirectory=<bool>; length=..`` for
+# files, ``...; modification_time=..`` for folders.
+_STATUS = re.compile(r"\{path=(.*?); isDirectory=(true|false); (?:length|modification_time)=")
+
+
 class HadoopFS:
     def __init__(self, spark: SparkSession, path: str):
         jvm = spark.sparkContext._jvm
@@ -33,6 +39,7 @@ class HadoopFS:
         self._path_class = jvm.org.apache.hadoop.fs.Path
         self._conf = spark.sparkContext._jsc.hadoopConfiguration()
         self._fs = self._path_class(path).getFileSystem(self._conf)
+        self._to_text = None
 
     def _p(self, path: str):
         return self._path_class(path)
@@ -43,23 +50,36 @@ class HadoopFS:
     def exists(self, path: str) -> bool:
         return bool(self._fs.exists(self._p(path)))
 
+    def _entries(self, statuses) -> list[tuple[str, bool]]:
+        """(path, is_dir) of a ``FileStatus[]``.
+
+        The whole array is turned into one string in the JVM and parsed here:
+        one Py4J call instead of two per entry.  Falls back to per-entry
+        calls if the parse does not account for every entry.
+        """
+        if statuses is None:
+            return []
+        n = len(statuses)
+        if n == 0:
+            return []
+        text = self._array_text(statuses)
+        found = [(canon(p), d == "true") for p, d in _STATUS.findall(text)]
+        if len(found) == n:
+            return found
+        return [(canon(st.getPath().toString()), bool(st.isDirectory())) for st in statuses]
+
+    def _array_text(self, arr) -> str:
+        if self._to_text is None:
+            self._to_text = self._jvm.org.apache.commons.lang3.ArrayUtils
+        return self._to_text.toString(arr)
+
     def glob_files(self, pattern: str) -> list[str]:
         """Data files matching a glob; names starting with ``_`` or ``.`` skipped."""
-        found = self._fs.globStatus(self._p(pattern))
-        if found is None:
-            return []
-        out = []
-        for st in found:
-            name = st.getPath().getName()
-            if st.isFile() and not name.startswith(("_", ".")):
-                out.append(canon(st.getPath().toString()))
-        return sorted(out)
+        return sorted(p for p, is_dir in self._entries(self._fs.globStatus(self._p(pattern)))
+                      if not is_dir and not p.rsplit("/", 1)[1].startswith(("_", ".")))
 
     def glob_dirs(self, pattern: str) -> list[str]:
-        found = self._fs.globStatus(self._p(pattern))
-        if found is None:
-            return []
-        return sorted(canon(st.getPath().toString()) for st in found if st.isDirectory())
+        return sorted(p for p, is_dir in self._entries(self._fs.globStatus(self._p(pattern))) if is_dir)
 
     def list_files_recursive(self, path: str) -> list[str]:
         if not self.exists(path):
@@ -151,4 +171,4 @@ class HadoopFS:
     def list_dir(self, path: str) -> list[str]:
         if not self.exists(path):
             return []
-        return sorted(canon(st.getPath().toString()) for st in self._fs.listStatus(self._p(path)))
+        return sorted(p for p, _ in self._entries(self._fs.listStatus(self._p(path))))
