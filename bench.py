@@ -24,13 +24,18 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from pyspark.sql import functions as F  # noqa: E402
 
-from stationlake.functions.time import from_epoch_seconds, partition_values  # noqa: E402
+from stationlake.functions.time import from_epoch_seconds  # noqa: E402
 from stationlake.operators.maintenance import compact_days, list_days  # noqa: E402
 from stationlake.operators.query import distinct_keys, recent_status  # noqa: E402
 from stationlake.operators.writer import write_history, write_hourly  # noqa: E402
-from stationlake.plans.derive import station_rows, status_documents, write_history_csv  # noqa: E402
+from stationlake.plans.derive import (  # noqa: E402
+    station_rows,
+    status_documents,
+    write_history_csv,
+    write_landing,
+    write_small_files,
+)
 from stationlake.plans.registry import HISTORY_CUTOFF  # noqa: E402
-from stationlake.schemas import HISTORY_KEEP, PART_COLS, STATUS_KEYS  # noqa: E402
 from stationlake.session import build_session, scratch_dir  # noqa: E402
 from stationlake.sources.feeds import read_feed, status_rows  # noqa: E402
 from stationlake.sources.history import normalize_history, read_history  # noqa: E402
@@ -101,26 +106,25 @@ def main():
         setup=lambda: scratch_dir(spark, "bench-backfill"), reps=reps)
 
     # K3/K4: compact every day of a table with several files per hour
+    # (wide rows spread over the shuffle partitions, plus narrow files)
+    spread = int(spark.conf.get("spark.sql.shuffle.partitions"))
+
     def small_files():
         r = scratch_dir(spark, "bench-compact")
-        rows = station_rows(events)
-        (rows.where(F.col("num_docks_available").isNotNull())
-         .select(*STATUS_KEYS, *partition_values("ingest_time")).repartition(4)
-         .write.partitionBy(*PART_COLS).parquet(r))
-        (rows.where(F.col("num_docks_available").isNull())
-         .select(*HISTORY_KEEP, *partition_values("ingest_time")).repartition(2)
-         .write.mode("append").partitionBy(*PART_COLS).parquet(r))
+        write_small_files(events, r, spread=spread)
         return r
     q["compact_partition"] = _time(lambda r: compact_days(spark, r, list_days(spark, r)),
                                    setup=small_files, reps=reps)
 
-    # Stream a landing folder into the hourly table (availableNow)
+    # Stream a landing folder into the hourly table (availableNow, two
+    # micro-batches of half the files each)
     def stream_setup():
         land = scratch_dir(spark, "bench-landing")
-        status_documents(events).repartition(4).write.text(land)
+        write_landing(events, land, files=spread)
         return land, scratch_dir(spark, "bench-ingested"), scratch_dir(spark, "bench-ckpt")
-    q["stream_ingest"] = _time(lambda a: run_available(spark, *a, max_files_per_trigger=2),
-                               setup=stream_setup, reps=reps)
+    q["stream_ingest"] = _time(
+        lambda a: run_available(spark, *a, max_files_per_trigger=max(1, spread // 2)),
+        setup=stream_setup, reps=reps)
 
     # G2
     q["distinct_keys"] = _time(lambda _: _consume(distinct_keys(read_table(spark, root))), reps=reps)

@@ -139,3 +139,35 @@ def write_legacy_tree(df: DataFrame, root: str, ts_col: str) -> None:
         moves.append((f, f"{root}/{bare}/{parts[-1]}"))
     fs.move_many(moves)
     fs.delete(staging)
+
+
+def write_small_files(events: DataFrame, root: str, spread: int | None = None) -> None:
+    """A status table with several files per hour, as a 2-minute ingest
+    leaves it: wide status files plus narrow (backfill-shaped) files.
+
+    Each task writes one file per hour it holds.  ``spread=None`` keeps the
+    input's own partitioning (no shuffle; at scale every input split adds
+    its files); ``spread=n`` hashes the wide rows over ``n`` tasks first.
+    """
+    from stationlake.functions.time import partition_values
+    from stationlake.schemas import HISTORY_KEEP, PART_COLS
+
+    rows = station_rows(events)
+    wide = rows.where(F.col("num_docks_available").isNotNull()).select(
+        *STATUS_KEYS, *partition_values("ingest_time"))
+    if spread:
+        wide = wide.repartition(int(spread), "station_id", "last_reported")
+    wide.write.mode("append").partitionBy(*PART_COLS).parquet(root)
+    (rows.where(F.col("num_docks_available").isNull())
+     .select(*HISTORY_KEEP, *partition_values("ingest_time"))
+     .write.mode("append").partitionBy(*PART_COLS).parquet(root))
+
+
+def write_landing(events: DataFrame, landing: str, files: int | None = None) -> None:
+    """Feed documents as JSON Lines files in a landing folder.  ``files=None``
+    keeps the aggregation's own partitioning; ``files=n`` spreads them over
+    ``n`` files by a hash of the document."""
+    docs = status_documents(events)
+    if files:
+        docs = docs.repartition(int(files), "value")
+    docs.write.mode("append").text(landing)

@@ -46,7 +46,9 @@ from stationlake.plans.derive import (
     station_rows,
     status_documents,
     write_history_csv,
+    write_landing,
     write_legacy_tree,
+    write_small_files,
 )
 from stationlake.schemas import HISTORY_KEEP, INFO_SCHEMA, INFO_TABLE_SCHEMA, PART_COLS, STATUS_KEYS
 from stationlake.session import scratch_dir
@@ -147,15 +149,9 @@ def q_partition_roundtrip(spark, sf_dir):
 
 def q_compact_partition(spark, sf_dir):
     root = scratch_dir(spark, "compact")
-    rows = station_rows(_events(spark, sf_dir))
-    # Many small files per hour, as a 2-minute ingest leaves them, with
-    # narrow (backfill-shaped) files among them.
-    wide = rows.where(F.col("num_docks_available").isNotNull())
-    narrow = rows.where(F.col("num_docks_available").isNull())
-    (wide.select(*STATUS_KEYS, *partition_values("ingest_time")).repartition(4)
-     .write.partitionBy(*PART_COLS).parquet(root))
-    (narrow.select(*HISTORY_KEEP, *partition_values("ingest_time")).repartition(2)
-     .write.mode("append").partitionBy(*PART_COLS).parquet(root))
+    # Several files per hour (wide status files and narrow backfill files),
+    # as a 2-minute ingest leaves them; then compact every day.
+    write_small_files(_events(spark, sf_dir), root)
     compact_days(spark, root, list_days(spark, root))
     return file_counts(read_table(spark, root))
 
@@ -261,9 +257,9 @@ def q_stream_ingest(spark, sf_dir):
     landing = scratch_dir(spark, "landing")
     root = scratch_dir(spark, "ingested")
     ckpt = scratch_dir(spark, "stream-ckpt")
-    status_documents(_events(spark, sf_dir)).repartition(4).write.text(landing)
-    run_available(spark, landing, root, ckpt, max_files_per_trigger=2)
-    run_available(spark, landing, root, ckpt, max_files_per_trigger=2)  # adds nothing
+    write_landing(_events(spark, sf_dir), landing)
+    run_available(spark, landing, root, ckpt)
+    run_available(spark, landing, root, ckpt)  # same checkpoint: adds nothing
     return read_table(spark, root).select(*HISTORY_KEEP, *PART_COLS)
 
 
