@@ -2,6 +2,7 @@
 script as ``spark-submit`` entry points.
 
     spark-submit stationlake/jobs.py status-ingest --landing L --table T --checkpoint C [--every "2 minutes"]
+                                                   [--archive A] [--bad-records B]
     spark-submit stationlake/jobs.py info-ingest   --landing L --table T
     spark-submit stationlake/jobs.py backfill PATH --table T [--cutoff "2019-08-01 18:52:03"]
     spark-submit stationlake/jobs.py compact       --table T [--day YYYY-MM-DD]      (default: yesterday, UTC)
@@ -52,11 +53,13 @@ def _day(s: str | None, default_offset: int) -> dt.date:
 def status_ingest(spark, a) -> dict:
     if a.every:
         q = start_ingest(spark, a.landing, a.table, a.checkpoint, a.every, multi_line=a.multiline,
-                         partition_time=a.partition_time)
+                         partition_time=a.partition_time, archive_dir=a.archive,
+                         bad_records_dir=a.bad_records)
         q.awaitTermination()
         return {"job": "status-ingest", "stopped": True}
     run_available(spark, a.landing, a.table, a.checkpoint, multi_line=a.multiline,
-                  partition_time=a.partition_time)
+                  partition_time=a.partition_time, archive_dir=a.archive,
+                  bad_records_dir=a.bad_records)
     return {"job": "status-ingest", "mode": "availableNow"}
 
 
@@ -106,6 +109,8 @@ def main(argv=None) -> None:
     s.add_argument("--every", default=None, help='e.g. "2 minutes"; omit to process what is there and stop')
     s.add_argument("--multiline", action="store_true")
     s.add_argument("--partition-time", choices=("document", "processing"), default="document")
+    s.add_argument("--archive", default=None, help="move processed documents here")
+    s.add_argument("--bad-records", default=None, help="divert unparseable documents here")
     s.set_defaults(fn=status_ingest)
 
     s = sub.add_parser("info-ingest")

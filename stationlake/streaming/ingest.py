@@ -17,6 +17,7 @@ import hashlib
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from stationlake.fs import HadoopFS
@@ -26,27 +27,47 @@ from stationlake.schemas import FEED_SCHEMA, STATUS_KEYS
 from stationlake.sources.feeds import status_rows
 
 
-def status_stream(spark: SparkSession, landing: str, multi_line: bool = False,
-                  max_files_per_trigger: int | None = None,
-                  partition_time: str = "document", archive_dir: str | None = None) -> DataFrame:
-    """Streaming status rows with an ``ingest_time`` column.
+# Column holding the text of a document that could not be parsed (only
+# when bad documents are diverted instead of failing the stream).
+BAD_DOCUMENT = "_bad_document"
 
-    ``partition_time="document"``: the hour comes from the document's
-    ``last_updated`` (the feed's own snapshot time; a replay lands in the
-    same hour; a document without it takes the batch's time).  ``"processing"``: UTC now of the micro-batch, as the
-    reference's ``utcnow()`` at fetch.
+
+def feed_stream(spark: SparkSession, landing: str, multi_line: bool = False,
+                max_files_per_trigger: int | None = None, archive_dir: str | None = None,
+                divert_bad: bool = False) -> DataFrame:
+    """Streaming feed documents from a landing folder (file source).
+
+    ``FAILFAST`` by default: a malformed document stops the stream, as a
+    failed parse stops the reference's ingest.  ``divert_bad``: documents
+    that do not parse arrive with their text in ``_bad_document`` instead.
     """
-    reader = (spark.readStream.schema(FEED_SCHEMA).option("multiLine", multi_line)
-              .option("mode", "FAILFAST"))
+    schema = FEED_SCHEMA
+    reader = spark.readStream.option("multiLine", multi_line)
+    if divert_bad:
+        schema = T.StructType(FEED_SCHEMA.fields + [T.StructField(BAD_DOCUMENT, T.StringType())])
+        reader = reader.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", BAD_DOCUMENT)
+    else:
+        reader = reader.option("mode", "FAILFAST")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", int(max_files_per_trigger))
     if archive_dir:
         # Processed documents are moved out of the landing folder, so the
         # listing each trigger does stays small (720 new files a day).
         reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
-    rows = status_rows(reader.json(landing))
+    return reader.schema(schema).json(landing)
+
+
+def ingest_rows(docs: DataFrame, partition_time: str = "document") -> DataFrame:
+    """Documents -> status rows with an ``ingest_time`` column.
+
+    ``partition_time="document"``: the hour comes from the document's
+    ``last_updated`` (the feed's own snapshot time; a replay lands in the
+    same hour; a document without it takes the batch's time).
+    ``"processing"``: UTC now of the micro-batch, as the reference's
+    ``utcnow()`` at fetch.
+    """
+    rows = status_rows(docs)
     if partition_time == "document":
-        # a document without its own time falls back to the batch's time
         ingest = F.coalesce(from_epoch_seconds("last_updated"), utc_now())
     elif partition_time == "processing":
         ingest = utc_now()
@@ -55,14 +76,25 @@ def status_stream(spark: SparkSession, landing: str, multi_line: bool = False,
     return rows.withColumn("ingest_time", ingest)
 
 
+def status_stream(spark: SparkSession, landing: str, multi_line: bool = False,
+                  max_files_per_trigger: int | None = None,
+                  partition_time: str = "document", archive_dir: str | None = None) -> DataFrame:
+    """Streaming status rows with an ``ingest_time`` column (FAILFAST)."""
+    docs = feed_stream(spark, landing, multi_line, max_files_per_trigger, archive_dir)
+    return ingest_rows(docs, partition_time)
+
+
 class HourlyBatchSink:
     """``foreachBatch`` writer with a per-batch commit record."""
 
-    def __init__(self, root: str, tag: str, ts_col: str = "ingest_time", columns=STATUS_KEYS):
+    def __init__(self, root: str, tag: str, ts_col: str = "ingest_time", columns=STATUS_KEYS,
+                 prepare=None, bad_records_dir: str | None = None):
         self.root = root.rstrip("/")
         self.tag = tag
         self.ts_col = ts_col
         self.columns = tuple(columns)
+        self.prepare = prepare                # batch -> rows to write (None: as given)
+        self.bad_records_dir = bad_records_dir  # where unparseable documents go
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         fs = HadoopFS(batch.sparkSession, self.root)
@@ -73,7 +105,20 @@ class HourlyBatchSink:
         staged = f"{self.root}/_ingest_log/{self.tag}/{batch_id}.staged"
         if not fs.exists(staged):
             fs.delete(staging)
-            write_hourly(batch, staging, self.ts_col, self.columns, mode="errorifexists")
+            rows = batch
+            if self.bad_records_dir:
+                batch = batch.persist()
+                bad = batch.where(F.col(BAD_DOCUMENT).isNotNull())
+                if not bad.isEmpty():
+                    # per batch id, overwritten on replay: written once
+                    (bad.select(F.col(BAD_DOCUMENT).alias("value")).write.mode("overwrite")
+                     .text(f"{self.bad_records_dir.rstrip('/')}/batch={batch_id}"))
+                rows = batch.where(F.col(BAD_DOCUMENT).isNull()).drop(BAD_DOCUMENT)
+            if self.prepare:
+                rows = self.prepare(rows)
+            write_hourly(rows, staging, self.ts_col, self.columns, mode="errorifexists")
+            if self.bad_records_dir:
+                batch.unpersist()
             fs.write_text(staged, "")
         publish_staged(batch.sparkSession, staging, self.root)
         fs.write_text(done, "")
@@ -84,13 +129,20 @@ class HourlyBatchSink:
 def start_ingest(spark: SparkSession, landing: str, table_root: str, checkpoint: str,
                  processing_time: str | None = None, multi_line: bool = False,
                  max_files_per_trigger: int | None = None,
-                 partition_time: str = "document", archive_dir: str | None = None) -> StreamingQuery:
+                 partition_time: str = "document", archive_dir: str | None = None,
+                 bad_records_dir: str | None = None) -> StreamingQuery:
     """Start the ingest stream.  ``processing_time=None`` runs
     ``availableNow`` (everything present, then stop: the cron form);
-    ``"2 minutes"`` keeps running on the reference's cadence."""
-    rows = status_stream(spark, landing, multi_line, max_files_per_trigger, partition_time, archive_dir)
+    ``"2 minutes"`` keeps running on the reference's cadence.
+    ``bad_records_dir``: unparseable documents are written there (per batch)
+    and the stream goes on; without it they stop the stream.  A document
+    whose stations all lack a required key still stops it (P2)."""
+    docs = feed_stream(spark, landing, multi_line, max_files_per_trigger, archive_dir,
+                       divert_bad=bool(bad_records_dir))
     tag = hashlib.sha1(checkpoint.encode("utf-8")).hexdigest()[:12]
-    w = (rows.writeStream.foreachBatch(HourlyBatchSink(table_root, tag))
+    sink = HourlyBatchSink(table_root, tag, prepare=lambda d: ingest_rows(d, partition_time),
+                           bad_records_dir=bad_records_dir)
+    w = (docs.writeStream.foreachBatch(sink)
          .option("checkpointLocation", checkpoint))
     w = w.trigger(processingTime=processing_time) if processing_time else w.trigger(availableNow=True)
     return w.start()

@@ -119,3 +119,18 @@ def _write_two_docs(tmp):
 def glob_nested(root):
     import glob
     return glob.glob(f"{root}/year=*/month=*/day=*/hour=*/hour=*")
+
+
+def test_bad_documents_diverted_or_fatal(spark, tmp):
+    import glob
+    import pytest
+    from pyspark.errors import PySparkException
+    from py4j.protocol import Py4JJavaError
+    land, root, bad = f"{tmp}/landing", f"{tmp}/table", f"{tmp}/bad"
+    write_text(f"{land}/a.json", _doc(1564685000, "72", 3) + "\n" + '{"last_updated": 1, "data": {"stat' + "\n")
+    run_available(spark, land, root, f"{tmp}/ckpt", bad_records_dir=bad)
+    assert read_table(spark, root).count() == 1
+    quarantined = spark.read.text(glob.glob(f"{bad}/batch=*")[0]).collect()
+    assert len(quarantined) == 1 and quarantined[0].value.startswith('{"last_updated": 1')
+    with pytest.raises((PySparkException, Py4JJavaError)):
+        run_available(spark, land, f"{tmp}/table2", f"{tmp}/ckpt2")
