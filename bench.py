@@ -36,6 +36,7 @@ from stationlake.plans.derive import (  # noqa: E402
     write_small_files,
 )
 from stationlake.plans.registry import HISTORY_CUTOFF  # noqa: E402
+from stationlake.fs import HadoopFS  # noqa: E402
 from stationlake.session import build_session, scratch_dir  # noqa: E402
 from stationlake.sources.feeds import read_feed, status_rows  # noqa: E402
 from stationlake.sources.history import normalize_history, read_history  # noqa: E402
@@ -70,12 +71,17 @@ def main():
     events = spark.read.parquet(f"{sf_dir}/events.parquet")
     as_of = events.select(F.max("ts")).scalar()
     q = {}
+    run_dir = scratch_dir(spark, "bench")  # all of this run's folders; removed at the end
+    n_dirs = iter(range(1_000_000))
+
+    def scratch(label):
+        return f"{run_dir}/{label}-{next(n_dirs)}"
 
     # K1: events -> hourly table (also the input of the queries below)
     q["status_write"] = _time(
         lambda root: write_hourly(station_rows(events), root, "ingest_time"),
-        setup=lambda: scratch_dir(spark, "bench-status"), reps=reps)
-    root = scratch_dir(spark, "bench-status")
+        setup=lambda: scratch("bench-status"), reps=reps)
+    root = scratch("bench-status")
     write_hourly(station_rows(events), root, "ingest_time")
 
     # Trailing 8 days, partition-pruned vs the same projection unpruned
@@ -90,27 +96,27 @@ def main():
             "num_bikes_available")), reps=reps)
 
     # Feed documents -> station rows
-    landing = scratch_dir(spark, "bench-feed")
+    landing = scratch("bench-feed")
     status_documents(events).write.text(landing)
     q["snapshot_explode"] = _time(
         lambda _: _consume(status_rows(read_feed(spark, landing))), reps=reps)
 
     # History CSV -> normalised rows; K2: routed write
-    hist = scratch_dir(spark, "bench-history")
+    hist = scratch("bench-history")
     write_history_csv(events, hist)
     q["backfill_normalize"] = _time(
         lambda _: _consume(normalize_history(read_history(spark, hist), cutoff=HISTORY_CUTOFF)),
         reps=reps)
     q["backfill_write"] = _time(
         lambda out: write_history(normalize_history(read_history(spark, hist), cutoff=HISTORY_CUTOFF), out),
-        setup=lambda: scratch_dir(spark, "bench-backfill"), reps=reps)
+        setup=lambda: scratch("bench-backfill"), reps=reps)
 
     # K3/K4: compact every day of a table with several files per hour
     # (wide rows spread over the shuffle partitions, plus narrow files)
     spread = int(spark.conf.get("spark.sql.shuffle.partitions"))
 
     def small_files():
-        r = scratch_dir(spark, "bench-compact")
+        r = scratch("bench-compact")
         write_small_files(events, r, spread=spread)
         return r
     q["compact_partition"] = _time(lambda r: compact_days(spark, r, list_days(spark, r)),
@@ -119,9 +125,9 @@ def main():
     # Stream a landing folder into the hourly table (availableNow, two
     # micro-batches of half the files each)
     def stream_setup():
-        land = scratch_dir(spark, "bench-landing")
+        land = scratch("bench-landing")
         write_landing(events, land, files=spread)
-        return land, scratch_dir(spark, "bench-ingested"), scratch_dir(spark, "bench-ckpt")
+        return land, scratch("bench-ingested"), scratch("bench-ckpt")
     q["stream_ingest"] = _time(
         lambda a: run_available(spark, *a, max_files_per_trigger=max(1, spread // 2)),
         setup=stream_setup, reps=reps)
@@ -129,6 +135,7 @@ def main():
     # G2
     q["distinct_keys"] = _time(lambda _: _consume(distinct_keys(read_table(spark, root))), reps=reps)
 
+    HadoopFS(spark, run_dir).delete(run_dir)
     total = round(sum(q.values()), 3)
     print(json.dumps({"metric": "stationlake_headline_total", "value": total, "unit": "sec",
                       "queries": q, "sf": sf, "cpus": cpus, "reps": reps}))
