@@ -5,7 +5,7 @@ script as ``spark-submit`` entry points.
                                                    [--archive A] [--bad-records B]
     spark-submit stationlake/jobs.py info-ingest   --landing L --table T
     spark-submit stationlake/jobs.py backfill PATH --table T [--cutoff "2019-08-01 18:52:03"]
-    spark-submit stationlake/jobs.py compact       --table T [--day YYYY-MM-DD]      (default: yesterday, UTC)
+    spark-submit stationlake/jobs.py compact       --table T [--day D | --from D1 [--to D2]]  (default: yesterday, UTC)
     spark-submit stationlake/jobs.py register      --name N --table T [--day YYYY-MM-DD] (default: tomorrow, UTC)
     spark-submit stationlake/jobs.py fan-out       --name N --cache C [--days 8] [--as-of TS]
 
@@ -78,8 +78,14 @@ def backfill(spark, a) -> dict:
 
 
 def compact(spark, a) -> dict:
-    report = compact_days(spark, a.table, [_day(a.day, -1)], max_records_per_file=a.max_records_per_file)
-    return {"job": "compact", **report}
+    if a.date_from:
+        first = dt.date.fromisoformat(a.date_from)
+        last = dt.date.fromisoformat(a.date_to) if a.date_to else _utc_today() - dt.timedelta(days=1)
+        days = [first + dt.timedelta(days=i) for i in range((last - first).days + 1)]
+    else:
+        days = [_day(a.day, -1)]
+    report = compact_days(spark, a.table, days, max_records_per_file=a.max_records_per_file)
+    return {"job": "compact", "days": len(days), **report}
 
 
 def register(spark, a) -> dict:
@@ -130,6 +136,8 @@ def main(argv=None) -> None:
     s = sub.add_parser("compact")
     s.add_argument("--table", required=True)
     s.add_argument("--day", default=None)
+    s.add_argument("--from", dest="date_from", default=None, help="first day of a range (catch-up)")
+    s.add_argument("--to", dest="date_to", default=None, help="last day of the range (default: yesterday)")
     s.add_argument("--max-records-per-file", type=int, default=None)
     s.set_defaults(fn=compact)
 

@@ -38,6 +38,12 @@ def test_jobs(spark, tmp, capsys):
         assert len(glob.glob(f"{h}/*.parquet")) == 1
     assert read_table(spark, T).count() == n
 
+    out = _run(capsys, "compact", "--table", T, "--from", "2024-01-06", "--to", "2024-01-08")
+    assert out["days"] == 3 and out["hours"] > 0
+    for h in glob.glob(f"{tmp}/status/year=2024/month=01/day=0[678]/hour=*"):
+        assert len(glob.glob(f"{h}/*.parquet")) == 1
+    assert read_table(spark, T).count() == n
+
     out = _run(capsys, "register", "--name", "jobs_status", "--table", T, "--day", "2024-01-31")
     assert out["partitions"] == 24
     spark.sql("ALTER TABLE jobs_status RECOVER PARTITIONS")
