@@ -103,9 +103,28 @@ def _hour_key() -> Column:
     return F.concat_ws("/", *[F.col(c) for c in PART_COLS])
 
 
+# Days compacted per Spark job (and per journal): bounds the file lists the
+# driver holds when a long range is compacted in one call.
+DAYS_PER_JOB = 31
+
+
 def compact_days(spark: SparkSession, root: str, days: Iterable[dt.date],
                  schema: T.StructType = STATUS_TABLE_SCHEMA, trash_root: str | None = None,
-                 max_records_per_file: int | None = None) -> dict:
+                 max_records_per_file: int | None = None, days_per_job: int = DAYS_PER_JOB) -> dict:
+    """K3 + K4 over any number of days, ``days_per_job`` days per run of
+    :func:`compact_run` (each a complete, recoverable compaction)."""
+    days = sorted(set(days))
+    total = {"hours": 0, "files_before": 0, "files_after": 0, "rows": 0}
+    for i in range(0, len(days), max(1, days_per_job)):
+        rep = compact_run(spark, root, days[i:i + days_per_job], schema, trash_root, max_records_per_file)
+        for k in total:
+            total[k] += rep[k]
+    return total
+
+
+def compact_run(spark: SparkSession, root: str, days: Iterable[dt.date],
+                schema: T.StructType = STATUS_TABLE_SCHEMA, trash_root: str | None = None,
+                max_records_per_file: int | None = None) -> dict:
     """K3 + K4: rewrite each hour of ``days`` that has several files as one
     file (or several of bounded size for a very large hour), all rows kept.
 

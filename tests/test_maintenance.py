@@ -232,3 +232,15 @@ def test_reference_style_concat_predicate_also_prunes(spark, tmp):
     assert "PartitionFilters: [" in plan and "to_date" in plan
     same = recent_status(read_table(spark, root), dt.datetime(2024, 1, 30, 12)).count()
     assert q.count() == same
+
+
+def test_compact_long_range_in_chunks(spark, tmp):
+    root = f"{tmp}/t"
+    _fixture(spark, root)
+    before = _rows(spark, root)
+    days = [dt.date(2024, 1, d) for d in range(1, 31)]
+    rep = compact_days(spark, root, days, days_per_job=7)  # 5 runs
+    assert rep["hours"] > 0 and rep["files_after"] <= rep["hours"] * 1
+    assert _rows(spark, root) == before
+    for h in glob.glob(f"{root}/year=2024/month=01/day=*/hour=*"):
+        assert len(glob.glob(f"{h}/*.parquet")) == 1
