@@ -349,7 +349,7 @@ ORACLE_SQL: dict[str, str] = {
         f"strftime(ts, '%Y-%m-%d %H') AS partition_key FROM events {_HIST_WHERE}"
     ),
     "backfill_write": (
-        f"SELECT {_PARTS}, count(*) AS n_rows, sum({_BIKES}) AS sum_bikes "
+        f"SELECT {_PARTS}, count(*) AS n_rows, CAST(sum({_BIKES}) AS BIGINT) AS sum_bikes "
         f"FROM events {_HIST_WHERE} GROUP BY ALL"
     ),
     "partition_roundtrip": f"SELECT {_CORE}, {_PARTS} FROM events",
