@@ -36,6 +36,7 @@ def test_query_matches_oracle(spark, con, name):
     assert r["cols_match"], r
     assert r["spark_rows"] == r["oracle_rows"], r
     assert r["values_match"], r
+    assert r["types_match"], r
 
 
 def test_entry_contract(spark):

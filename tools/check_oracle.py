@@ -26,6 +26,11 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
           "embeddings pages benchmark labels conversations").split()
 
 
+_SPARK_TO_DUCK = {"string": "VARCHAR", "bigint": "BIGINT", "double": "DOUBLE", "boolean": "BOOLEAN",
+                  "timestamp_ntz": "TIMESTAMP", "int": "INTEGER", "date": "DATE",
+                  "timestamp": "TIMESTAMP WITH TIME ZONE"}
+
+
 def _norm(v):
     if v is None:
         return None
@@ -53,9 +58,15 @@ def compare(spark, con, sf_dir, name):
     ocols = res.columns
     order = sorted(range(len(ocols)), key=lambda i: ocols[i])
     orows = [tuple(_norm(r[i]) for i in order) for r in res.fetchall()]
+    stypes = {c: _SPARK_TO_DUCK.get(t, t) for c, t in sdf.dtypes}
+    otypes = {c: str(t) for c, t in zip(ocols, res.types)}
     out = {"name": name, "spark_rows": len(srows), "oracle_rows": len(orows),
            "cols_match": sorted(sdf.columns) == sorted(ocols),
+           "types_match": stypes == otypes,
            "spark_sec": round(t1 - t0, 2)}
+    if not out["types_match"]:
+        out["type_diff"] = {c: (stypes.get(c), otypes.get(c)) for c in set(stypes) | set(otypes)
+                            if stypes.get(c) != otypes.get(c)}
     out["values_match"] = sorted(srows, key=_key) == sorted(orows, key=_key)
     if not out["values_match"]:
         a, b = set(srows), set(orows)
@@ -84,7 +95,7 @@ def main():
             r = compare(spark, con, sf_dir, n)
         except Exception as e:  # report and go on
             r = {"name": n, "error": f"{type(e).__name__}: {str(e)[:400]}"}
-        ok &= bool(r.get("values_match")) and bool(r.get("cols_match"))
+        ok &= bool(r.get("values_match")) and bool(r.get("cols_match")) and bool(r.get("types_match"))
         print(json.dumps(r, default=str), flush=True)
     spark.stop()
     sys.exit(0 if ok else 1)
