@@ -83,6 +83,8 @@ def main():
     extra = {}
     if os.environ.get("CHECK_TZ"):  # run under another session zone
         extra["spark.sql.session.timeZone"] = os.environ["CHECK_TZ"]
+    if os.environ.get("CHECK_ANSI"):  # run with ANSI mode on or off
+        extra["spark.sql.ansi.enabled"] = os.environ["CHECK_ANSI"]
     spark = build_session("local[8]", 8, extra=extra)
     con = duckdb.connect()
     for t in TABLES:
