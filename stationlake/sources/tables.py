@@ -71,6 +71,8 @@ def read_recent(spark: SparkSession, root: str, as_of=None, days: int = 8,
         as_of = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
     if isinstance(as_of, str):
         as_of = dt.datetime.fromisoformat(as_of)
+    if not isinstance(as_of, dt.datetime):  # a date: its midnight
+        as_of = dt.datetime.combine(as_of, dt.time())
     if as_of.tzinfo is not None:
         as_of = as_of.astimezone(dt.timezone.utc).replace(tzinfo=None)
     start = (as_of - dt.timedelta(days=days)).date()

@@ -126,6 +126,8 @@ def test_read_recent_lists_only_window_days(spark, tmp):
     assert sorted(a.collect()) == sorted(b.collect())
     assert len(a.inputFiles()) == 10  # the window's day folders (+ the boundary day), not all 11
     assert recent_status(read_recent(spark, f"{tmp}/t", dt.datetime(2030, 1, 1)), dt.datetime(2030, 1, 1)).count() == 0
+    d = dt.date(2026, 8, 9)
+    assert sorted(recent_status(read_recent(spark, f"{tmp}/t", d), d).collect()) == sorted(b.collect())
 
 
 def test_per_station_apply_auto_splits_only_hot_stations(spark, tmp):
