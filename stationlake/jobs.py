@@ -35,13 +35,16 @@ from stationlake.operators.maintenance import (  # noqa: E402
 )
 from stationlake.operators.query import TRAILING_DAYS, distinct_keys, publish_cache, recent_status  # noqa: E402
 from stationlake.operators.writer import write_history, write_hourly  # noqa: E402
-from stationlake.schemas import INFO_SCHEMA  # noqa: E402
+from stationlake.schemas import INFO_SCHEMA, INFO_TABLE_SCHEMA, STATUS_TABLE_SCHEMA  # noqa: E402
 from stationlake.session import build_session  # noqa: E402
 from stationlake.sources.feeds import info_rows, read_feed  # noqa: E402
 from stationlake.sources.history import normalize_history, read_history  # noqa: E402
 from stationlake.streaming.ingest import run_available, start_ingest  # noqa: E402
 
 
+TABLE_SCHEMAS = {"status": STATUS_TABLE_SCHEMA, "info": INFO_TABLE_SCHEMA}
+
+
 def _utc_today() -> dt.date:
     return dt.datetime.now(dt.timezone.utc).date()
 
@@ -84,12 +87,13 @@ def compact(spark, a) -> dict:
         days = [first + dt.timedelta(days=i) for i in range((last - first).days + 1)]
     else:
         days = [_day(a.day, -1)]
-    report = compact_days(spark, a.table, days, max_records_per_file=a.max_records_per_file)
+    report = compact_days(spark, a.table, days, schema=TABLE_SCHEMAS[a.kind],
+                          max_records_per_file=a.max_records_per_file)
     return {"job": "compact", "days": len(days), **report}
 
 
 def register(spark, a) -> dict:
-    create_hour_table(spark, a.name, a.table)
+    create_hour_table(spark, a.name, a.table, schema=TABLE_SCHEMAS[a.kind])
     hours = day_hours(spark, _day(a.day, +1)).select(
         "year", "month", "day", "hour",
         F.concat_ws("/", F.lit(a.table.rstrip("/")), "hive_path").alias("location"))
@@ -138,6 +142,7 @@ def main(argv=None) -> None:
     s.add_argument("--day", default=None)
     s.add_argument("--from", dest="date_from", default=None, help="first day of a range (catch-up)")
     s.add_argument("--to", dest="date_to", default=None, help="last day of the range (default: yesterday)")
+    s.add_argument("--kind", choices=sorted(TABLE_SCHEMAS), default="status")
     s.add_argument("--max-records-per-file", type=int, default=None)
     s.set_defaults(fn=compact)
 
@@ -145,6 +150,7 @@ def main(argv=None) -> None:
     s.add_argument("--name", required=True)
     s.add_argument("--table", required=True)
     s.add_argument("--day", default=None)
+    s.add_argument("--kind", choices=sorted(TABLE_SCHEMAS), default="status")
     s.set_defaults(fn=register)
 
     s = sub.add_parser("fan-out")

@@ -55,6 +55,20 @@ def test_jobs(spark, tmp, capsys):
     _run(capsys, "info-ingest", "--landing", f"{tmp}/info_landing", "--table", f"{tmp}/info",
          "--partition-time", "document")
     info = read_table(spark, f"{tmp}/info", INFO_TABLE_SCHEMA)
-    assert info.count() == spark.read.parquet(f"{SF_SMALL}/supplier.parquet").count()
+    n_info = info.count()
+    assert n_info == spark.read.parquet(f"{SF_SMALL}/supplier.parquet").count()
     assert {(r.year, r.month, r.day, r.hour) for r in info.select("year", "month", "day", "hour").distinct().collect()} \
         == {("2024", "01", "01", "00")}
+
+    # the info table can be compacted and registered as well
+    info_documents(spark.read.parquet(f"{SF_SMALL}/supplier.parquet")).write.mode("append").text(f"{tmp}/info_landing2")
+    _run(capsys, "info-ingest", "--landing", f"{tmp}/info_landing2", "--table", f"{tmp}/info",
+         "--partition-time", "document")
+    assert len(glob.glob(f"{tmp}/info/year=2024/month=01/day=01/hour=00/*.parquet")) > 1
+    out = _run(capsys, "compact", "--table", f"{tmp}/info", "--day", "2024-01-01", "--kind", "info")
+    assert out["hours"] == 1
+    assert len(glob.glob(f"{tmp}/info/year=2024/month=01/day=01/hour=00/*.parquet")) == 1
+    assert read_table(spark, f"{tmp}/info", INFO_TABLE_SCHEMA).count() == 2 * n_info
+    out = _run(capsys, "register", "--name", "jobs_info", "--table", f"{tmp}/info", "--day", "2024-01-01",
+               "--kind", "info")
+    assert spark.table("jobs_info").count() == 2 * n_info
