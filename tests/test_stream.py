@@ -134,3 +134,19 @@ def test_bad_documents_diverted_or_fatal(spark, tmp):
     assert len(quarantined) == 1 and quarantined[0].value.startswith('{"last_updated": 1')
     with pytest.raises((PySparkException, Py4JJavaError)):
         run_available(spark, land, f"{tmp}/table2", f"{tmp}/ckpt2")
+
+
+def test_processing_time_trigger_keeps_running(spark, tmp):
+    from stationlake.streaming.ingest import start_ingest
+    land, root = f"{tmp}/landing", f"{tmp}/table"
+    write_text(f"{land}/a.json", _doc(1564685000, "72", 3) + "\n")
+    q = start_ingest(spark, land, root, f"{tmp}/ckpt", processing_time="1 second")
+    try:
+        q.processAllAvailable()
+        assert read_table(spark, root).count() == 1
+        write_text(f"{land}/b.json", _doc(1564688600, "73", 4) + "\n")
+        q.processAllAvailable()
+        assert read_table(spark, root).count() == 2
+        assert q.isActive
+    finally:
+        q.stop()
