@@ -82,6 +82,7 @@ def publish_cache(df: DataFrame, path: str) -> None:
     spark = df.sparkSession
     fs = HadoopFS(spark, path)
     path = fs.qualify(path).rstrip("/")
+    recover_cache(spark, path)
     tag = uuid.uuid4().hex[:12]
     staged, old = f"{path}.__new-{tag}", f"{path}.__old-{tag}"
     (df.write.mode("errorifexists").option("header", True)
@@ -93,6 +94,26 @@ def publish_cache(df: DataFrame, path: str) -> None:
         fs.delete(old)
 
 
+def recover_cache(spark: SparkSession, path: str) -> bool:
+    """Finish a publish that stopped between its two renames: if the cache
+    is missing and a complete new version (``_SUCCESS``) is staged, move it
+    in.  Leftover old versions are removed.  Returns whether it moved one."""
+    fs = HadoopFS(spark, path)
+    path = fs.qualify(path).rstrip("/")
+    parent, name = path.rsplit("/", 1)
+    siblings = [p for p in fs.list_dir(parent) if p.rsplit("/", 1)[1].startswith(name + ".__")]
+    moved = False
+    if not fs.exists(path):
+        staged = sorted(p for p in siblings if ".__new-" in p and fs.exists(f"{p}/_SUCCESS"))
+        if staged:
+            fs.move(staged[-1], path)
+            moved = True
+    for p in siblings:
+        if ".__old-" in p and fs.exists(path):
+            fs.delete(p)
+    return moved
+
+
 # --------------------------------------------------------------------------- G2 / G3
 
 def distinct_keys(df: DataFrame, key: str = "station_id") -> DataFrame:

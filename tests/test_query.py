@@ -149,3 +149,31 @@ def test_per_station_apply_auto_splits_only_hot_stations(spark, tmp):
         by.setdefault(r.station_id, []).append(r.n)
     assert len(by["31"]) > 1 and sum(by["31"]) == 32 and max(by["31"]) < 32
     assert all(len(v) == 1 for k, v in by.items() if k != "31")
+
+
+def test_cache_publish_recovers_after_crash_between_renames(spark, tmp):
+    from stationlake.fs import HadoopFS
+    from stationlake.operators.query import recover_cache
+    t = _table(spark, f"{tmp}/t")
+    publish_cache(recent_status(t, dt.datetime(2026, 8, 9)), f"{tmp}/cache")
+    real = HadoopFS.move
+    calls = {"n": 0}
+
+    def crash_on_second_move(self, src, dst):
+        calls["n"] += 1
+        if calls["n"] == 2:
+            raise RuntimeError("driver lost")
+        return real(self, src, dst)
+
+    HadoopFS.move = crash_on_second_move
+    try:
+        try:
+            publish_cache(recent_status(t, dt.datetime(2026, 8, 11)), f"{tmp}/cache")
+        except RuntimeError:
+            pass
+    finally:
+        HadoopFS.move = real
+    import os
+    assert not os.path.exists(f"{tmp}/cache")  # old moved away, new not yet in
+    assert recover_cache(spark, f"{tmp}/cache")
+    assert read_cache(spark, f"{tmp}/cache").count() == 7
