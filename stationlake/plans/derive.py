@@ -5,8 +5,11 @@ files are built from ``events`` (and ``supplier`` for station info) with
 Spark, at whatever size those tables have:
 
 * ``user_id`` -> ``station_id`` (text), ``floor(value)`` -> bikes,
-  ``floor(value / 10)`` -> docks (NULL for ``error`` events),
-  unix seconds of ``ts`` -> ``last_reported``, ``ts`` -> ingest time;
+  ``floor(value / 100)`` -> e-bikes, ``floor(value / 10)`` -> docks,
+  ``error`` events -> one disabled bike and not renting, other flags fixed,
+  unix seconds of ``ts`` -> ``last_reported``, ``ts`` -> ingest time.  Every
+  value is present: NULL semantics are tested on hand-written fixtures;
+  here NULLs only come from operators (missing columns in unions);
 * a feed document holds the events of one 2-minute snapshot slot and one
   block of ``DOC_BLOCK`` consecutive event ids; event ids are unique, so no
   document (no ``collect_list`` group) holds more than ``DOC_BLOCK``
@@ -33,19 +36,22 @@ INFO_LAST_UPDATED = 1704067200   # document time of the derived info feed (2024-
 EXTRA_KEY = "legacy_id"          # a key only ``click`` stations carry
 
 
-def _docks() -> Column:
-    return F.when(F.col("event_type") == "error", F.lit(None).cast("bigint")) \
-        .otherwise(F.floor(F.col("value") / 10).cast("bigint"))
-
-
 def _status_values() -> list[Column]:
+    is_error = F.col("event_type") == "error"
+    flag = lambda c: c.cast("bigint")
     vals = {
         "station_id": F.col("user_id").cast("string"),
         "num_bikes_available": F.floor("value").cast("bigint"),
-        "num_docks_available": _docks(),
+        "num_ebikes_available": F.floor(F.col("value") / 100).cast("bigint"),
+        "num_bikes_disabled": flag(is_error),
+        "num_docks_available": F.floor(F.col("value") / 10).cast("bigint"),
+        "num_docks_disabled": F.lit(0).cast("bigint"),
+        "is_installed": F.lit(1).cast("bigint"),
+        "is_renting": flag(~is_error),
+        "is_returning": F.lit(1).cast("bigint"),
         "last_reported": epoch_seconds("ts"),
     }
-    return [vals.get(k, F.lit(None).cast("bigint")).alias(k) for k in STATUS_KEYS]
+    return [vals[k].alias(k) for k in STATUS_KEYS]
 
 
 def station_rows(events: DataFrame) -> DataFrame:
@@ -61,9 +67,8 @@ def snapshot_slot(ts: Column | str = "ts") -> Column:
 def status_documents(events: DataFrame) -> DataFrame:
     """Feed documents as JSON Lines (column ``value``), one per slot and block.
 
-    Every station carries the 10 status keys (unknown ones as JSON null), a
-    nested ``extra`` object (dropped on read) and, for ``click`` events only,
-    ``legacy_id``.
+    Every station carries the 10 status keys, a nested ``extra`` object
+    (dropped on read) and, for ``click`` events only, ``legacy_id``.
     """
     opts = {"ignoreNullFields": "false"}
     base = [F.col(k) for k in STATUS_KEYS]
@@ -106,15 +111,14 @@ def info_documents(supplier: DataFrame) -> DataFrame:
 
 def history_lines(events: DataFrame) -> DataFrame:
     """History rows as text columns, header names of the raw feed, in an
-    order different from the normalised one; ``error`` events have no
-    ``last_communication_time``."""
+    order different from the normalised one; the communication time is the
+    event's minute."""
     ts_text = F.col("ts").cast("string")
     return events.select(
         F.lpad(F.col("user_id").cast("string"), 3, "0").alias("id"),
         F.substring(ts_text, 1, 19).alias("execution_time"),
         F.floor(F.col("value") / 10).cast("bigint").cast("string").alias("available_docks"),
-        F.when(F.col("event_type") == "error", F.lit(None).cast("string"))
-         .otherwise(F.concat(F.substring(ts_text, 1, 16), F.lit(":00"))).alias("last_communication_time"),
+        F.concat(F.substring(ts_text, 1, 16), F.lit(":00")).alias("last_communication_time"),
         F.floor("value").cast("bigint").cast("string").alias("available_bikes"),
         F.col("event_type").alias("extra"),
     )
@@ -153,12 +157,12 @@ def write_small_files(events: DataFrame, root: str, spread: int | None = None) -
     from stationlake.schemas import HISTORY_KEEP, PART_COLS
 
     rows = station_rows(events)
-    wide = rows.where(F.col("num_docks_available").isNotNull()).select(
-        *STATUS_KEYS, *partition_values("ingest_time"))
+    is_error = F.col("num_bikes_disabled") == 1  # error events: narrow files
+    wide = rows.where(~is_error).select(*STATUS_KEYS, *partition_values("ingest_time"))
     if spread:
         wide = wide.repartition(int(spread), "station_id", "last_reported")
     wide.write.mode("append").partitionBy(*PART_COLS).parquet(root)
-    (rows.where(F.col("num_docks_available").isNull())
+    (rows.where(is_error)
      .select(*HISTORY_KEEP, *partition_values("ingest_time"))
      .write.mode("append").partitionBy(*PART_COLS).parquet(root))
 

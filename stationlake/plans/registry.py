@@ -191,14 +191,8 @@ def q_partition_registered(spark, sf_dir):
 def q_union_by_name(spark, sf_dir):
     events = _events(spark, sf_dir)
     is_wide = F.coalesce(F.col("event_type").isin("view", "click"), F.lit(False))
-    wide_src = station_rows(events.where(is_wide))
-    wide = wide_src.select(
-        *[F.col(k) for k in STATUS_KEYS if k not in ("is_installed", "is_renting", "is_returning")],
-        F.lit(1).cast("bigint").alias("is_installed"),
-        F.lit(1).cast("bigint").alias("is_renting"),
-        F.lit(1).cast("bigint").alias("is_returning"),
-    )
-    narrow = station_rows(events.where(~is_wide)).select(*HISTORY_KEEP)
+    wide = station_rows(events.where(is_wide)).select(*STATUS_KEYS)       # 10 columns
+    narrow = station_rows(events.where(~is_wide)).select(*HISTORY_KEEP)   # 4 columns
     return union_by_name([wide, narrow])
 
 
@@ -297,16 +291,17 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 _SID = "CAST(user_id AS VARCHAR)"
 _BIKES = "CAST(floor(value) AS BIGINT)"
-_DOCKS = "CASE WHEN event_type = 'error' THEN NULL ELSE CAST(floor(value / 10) AS BIGINT) END"
+_DOCKS = "CAST(floor(value / 10) AS BIGINT)"
 _SECS = "(epoch_us(ts) // 1000000)"
 _SLOT = f"({_SECS} - {_SECS} % 120)"
 _PARTS = ("strftime(ts, '%Y') AS year, strftime(ts, '%m') AS month, "
           "strftime(ts, '%d') AS day, strftime(ts, '%H') AS hour")
 _CORE = (f"{_SID} AS station_id, {_BIKES} AS num_bikes_available, "
          f"{_DOCKS} AS num_docks_available, {_SECS} AS last_reported")
-_NULLS = ", ".join(f"CAST(NULL AS BIGINT) AS {k}" for k in
-                   ("num_ebikes_available", "num_bikes_disabled", "num_docks_disabled",
-                    "is_installed", "is_renting", "is_returning"))
+_OTHER = ("CAST(floor(value / 100) AS BIGINT) AS num_ebikes_available, "
+          "CAST(event_type = 'error' AS BIGINT) AS num_bikes_disabled, "
+          "CAST(0 AS BIGINT) AS num_docks_disabled, CAST(1 AS BIGINT) AS is_installed, "
+          "CAST(event_type <> 'error' AS BIGINT) AS is_renting, CAST(1 AS BIGINT) AS is_returning")
 _RECENT = (f"SELECT {_SID} AS station_id, date_trunc('second', ts) AS last_reported, "
            f"{_BIKES} AS num_bikes_available FROM events "
            "WHERE CAST(CAST(ts AS DATE) AS TIMESTAMP) > (SELECT max(ts) FROM events) - INTERVAL 8 DAY")
@@ -320,7 +315,7 @@ _NEXT_DAY_HOURS = (
 ORACLE_SQL: dict[str, str] = {
     "recent_status": _RECENT,
     "snapshot_explode": (
-        f"SELECT {_CORE}, {_NULLS}, {_SLOT} AS last_updated FROM events"
+        f"SELECT {_CORE}, {_OTHER}, {_SLOT} AS last_updated FROM events"
     ),
     "station_info": (
         "SELECT CAST(s_suppkey AS VARCHAR) AS station_id, s_name AS name, s_acctbal AS lat, "
@@ -344,8 +339,7 @@ ORACLE_SQL: dict[str, str] = {
         "SELECT date_trunc('second', ts) AS execution_time, "
         "lpad(CAST(user_id AS VARCHAR), 3, '0') AS station_id, "
         f"{_BIKES} AS num_bikes_available, CAST(floor(value / 10) AS BIGINT) AS num_docks_available, "
-        "CASE WHEN event_type = 'error' THEN NULL "
-        "ELSE epoch_us(date_trunc('minute', ts)) // 1000000 END AS last_reported, "
+        "epoch_us(date_trunc('minute', ts)) // 1000000 AS last_reported, "
         f"strftime(ts, '%Y-%m-%d %H') AS partition_key FROM events {_HIST_WHERE}"
     ),
     "backfill_write": (
@@ -375,10 +369,7 @@ ORACLE_SQL: dict[str, str] = {
         + "SELECT strftime(hour_start, 'year=%Y/month=%m/day=%d/hour=%H') AS \"partition\" FROM h"
     ),
     "union_by_name": (
-        f"SELECT {_CORE}, CAST(NULL AS BIGINT) AS num_ebikes_available, "
-        "CAST(NULL AS BIGINT) AS num_bikes_disabled, CAST(NULL AS BIGINT) AS num_docks_disabled, "
-        "CAST(1 AS BIGINT) AS is_installed, CAST(1 AS BIGINT) AS is_renting, "
-        "CAST(1 AS BIGINT) AS is_returning FROM events "
+        f"SELECT {_CORE}, {_OTHER} FROM events "
         "WHERE coalesce(event_type IN ('view', 'click'), false) "
         f"UNION ALL BY NAME SELECT {_CORE} FROM events "
         "WHERE NOT coalesce(event_type IN ('view', 'click'), false)"

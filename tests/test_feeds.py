@@ -99,3 +99,9 @@ def test_info_document_stamps_last_updated(spark, tmp):
     assert [r.station_id for r in rows] == ["72", "79"]
     assert all(r.last_updated == 42 for r in rows)
     assert rows[0].lat == 40.76727216 and rows[0].has_kiosk is True and rows[0].capacity == 55
+
+
+def test_explicit_json_null_is_null_and_counts_as_present(spark, tmp):
+    write_text(f"{tmp}/feed/a.json", json.dumps(doc([dict(FULL, num_ebikes_available=None)])))
+    rows = status_rows(read_feed(spark, f"{tmp}/feed")).collect()
+    assert rows[0].num_ebikes_available is None  # present with null: no error, NULL value

@@ -40,8 +40,8 @@ def _events(spark):
 def _fixture(spark, root):
     """Several files per hour: wide files from 3 tasks plus narrow files."""
     rows = station_rows(_events(spark))
-    wide = rows.where(F.col("num_docks_available").isNotNull())
-    narrow = rows.where(F.col("num_docks_available").isNull())
+    wide = rows.where(F.col("num_bikes_disabled") == 0)
+    narrow = rows.where(F.col("num_bikes_disabled") == 1)  # error events
     wide.select(*STATUS_KEYS, *partition_values("ingest_time")).repartition(3) \
         .write.partitionBy(*PART_COLS).parquet(root)
     narrow.select(*HISTORY_KEEP, *partition_values("ingest_time")) \
@@ -73,8 +73,8 @@ def test_compact_one_day_keeps_rows_and_other_days(spark, tmp):
     assert len(trashed) == rep["files_before"]
     # narrow files kept their absent columns as NULL, wide values survived
     t = read_table(spark, root).where("day = '05'")
-    assert t.where("num_docks_available is null").count() > 0
-    assert t.where("num_docks_available is not null").count() > 0
+    assert t.where("num_ebikes_available is null").count() > 0
+    assert t.where("num_ebikes_available is not null").count() > 0
     # second run: nothing left to do
     assert compact_days(spark, root, [day])["files_before"] == 0
 
