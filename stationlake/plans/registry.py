@@ -193,7 +193,16 @@ def q_union_by_name(spark, sf_dir):
     is_wide = F.coalesce(F.col("event_type").isin("view", "click"), F.lit(False))
     wide = station_rows(events.where(is_wide)).select(*STATUS_KEYS)       # 10 columns
     narrow = station_rows(events.where(~is_wide)).select(*HISTORY_KEEP)   # 4 columns
-    return union_by_name([wide, narrow])
+    both = union_by_name([wide, narrow])
+    # Per station: every row kept (n_rows), the 6 columns missing from the
+    # narrow rows are NULL there (n_wide counts non-NULL values), values intact.
+    return both.groupBy("station_id").agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.count("num_ebikes_available").alias("n_wide"),
+        F.count("is_renting").alias("n_renting_known"),
+        F.sum("num_bikes_available").alias("sum_bikes"),
+        F.coalesce(F.sum("is_renting"), F.lit(0).cast("bigint")).alias("sum_renting"),
+    )
 
 
 def q_csv_cache(spark, sf_dir):
@@ -369,10 +378,13 @@ ORACLE_SQL: dict[str, str] = {
         + "SELECT strftime(hour_start, 'year=%Y/month=%m/day=%d/hour=%H') AS \"partition\" FROM h"
     ),
     "union_by_name": (
-        f"SELECT {_CORE}, {_OTHER} FROM events "
+        f"WITH u AS (SELECT {_CORE}, {_OTHER} FROM events "
         "WHERE coalesce(event_type IN ('view', 'click'), false) "
         f"UNION ALL BY NAME SELECT {_CORE} FROM events "
-        "WHERE NOT coalesce(event_type IN ('view', 'click'), false)"
+        "WHERE NOT coalesce(event_type IN ('view', 'click'), false)) "
+        "SELECT station_id, count(*) AS n_rows, count(num_ebikes_available) AS n_wide, "
+        "count(is_renting) AS n_renting_known, CAST(sum(num_bikes_available) AS BIGINT) AS sum_bikes, "
+        "CAST(coalesce(sum(is_renting), 0) AS BIGINT) AS sum_renting FROM u GROUP BY station_id"
     ),
     "csv_cache": _RECENT,
     "distinct_keys": f"SELECT DISTINCT {_SID} AS station_id FROM events",
