@@ -150,3 +150,31 @@ def test_processing_time_trigger_keeps_running(spark, tmp):
         assert q.isActive
     finally:
         q.stop()
+
+
+def test_replay_after_crash_inside_publish(spark, tmp):
+    land, root = f"{tmp}/landing", f"{tmp}/table"
+    status_documents(spark.read.parquet(f"{SF_SMALL}/events.parquet")).write.text(land)
+    static = status_rows(read_feed(spark, land)).withColumn("ingest_time", from_epoch_seconds("last_updated"))
+    n = static.count()
+    sink = HourlyBatchSink(root, "t3")
+    real = HadoopFS.rename_many
+
+    def half_then_crash(self, pairs, threads=16):
+        pairs = list(pairs)
+        real(self, pairs[: len(pairs) // 2], threads)
+        raise RuntimeError("driver lost")
+
+    HadoopFS.rename_many = half_then_crash
+    try:
+        try:
+            sink(static, 7)
+        except RuntimeError:
+            pass
+    finally:
+        HadoopFS.rename_many = real
+    assert 0 < read_table(spark, root).count() < n  # half of the hours published
+    sink(static, 7)                                 # the replay finishes the move
+    assert read_table(spark, root).count() == n
+    sink(static, 7)                                 # and is a no-op afterwards
+    assert read_table(spark, root).count() == n
