@@ -171,15 +171,21 @@ def per_station_apply(df: DataFrame, fn: Callable, schema: T.StructType | str,
     if split_buckets == "auto":
         hot = hot_key_buckets(df, key, rows_per_group)
         if hot is None:
-            n = F.lit(8)
+            df, n = df, F.lit(8)
         elif not hot:
-            n = F.lit(1)
+            df, n = df, F.lit(1)
         else:
-            table = F.create_map(*[x for k, v in hot.items() for x in (F.lit(k), F.lit(v))])
-            n = F.coalesce(table[F.col(key)], F.lit(1))
+            # at most MAX_HOT_KEYS rows (checked above): safe to broadcast
+            key_type = df.schema[key].dataType
+            table = df.sparkSession.createDataFrame(
+                list(hot.items()),
+                T.StructType([T.StructField(key, key_type), T.StructField("_n_buckets", T.LongType())]))
+            df = df.join(F.broadcast(table), on=key, how="left")
+            n = F.coalesce(F.col("_n_buckets"), F.lit(1).cast("bigint"))
     else:
         n = F.lit(int(split_buckets))
-    out = df.withColumn("_bucket", F.pmod(row_hash, n)).groupBy(key, "_bucket").applyInPandas(fn, schema)
+    out = (df.withColumn("_bucket", F.pmod(row_hash, n)).drop("_n_buckets")
+           .groupBy(key, "_bucket").applyInPandas(fn, schema))
     return combine(out) if combine else out
 
 
