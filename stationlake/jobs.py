@@ -8,6 +8,7 @@ script as ``spark-submit`` entry points.
     spark-submit stationlake/jobs.py compact       --table T [--day D | --from D1 [--to D2]]  (default: yesterday, UTC)
     spark-submit stationlake/jobs.py register      --name N --table T [--day YYYY-MM-DD] (default: tomorrow, UTC)
     spark-submit stationlake/jobs.py fan-out       --name N --cache C [--days 8] [--as-of TS]
+    spark-submit stationlake/jobs.py migrate LEGACY_ROOT --table T [--kind status|info]
 
 Each job prints one JSON line describing what it did.  Scheduling (cron)
 stays with the scheduler that submits these.
@@ -31,6 +32,7 @@ from stationlake.operators.calendar import day_hours  # noqa: E402
 from stationlake.operators.maintenance import (  # noqa: E402
     compact_days,
     create_hour_table,
+    migrate_legacy,
     register_hour_partitions,
 )
 from stationlake.operators.query import TRAILING_DAYS, distinct_keys, publish_cache, recent_status  # noqa: E402
@@ -108,6 +110,11 @@ def fan_out_job(spark, a) -> dict:
     return {"job": "fan-out", "cache": a.cache, "stations": n}
 
 
+def migrate(spark, a) -> dict:
+    migrate_legacy(spark, a.legacy, a.table, schema=None if a.kind == "status" else INFO_SCHEMA)
+    return {"job": "migrate", "from": a.legacy, "to": a.table}
+
+
 def main(argv=None) -> None:
     p = argparse.ArgumentParser(prog="stationlake.jobs")
     sub = p.add_subparsers(dest="job", required=True)
@@ -160,6 +167,12 @@ def main(argv=None) -> None:
     s.add_argument("--as-of", default=None)
     s.set_defaults(fn=fan_out_job)
 
+    s = sub.add_parser("migrate")
+    s.add_argument("legacy")
+    s.add_argument("--table", required=True)
+    s.add_argument("--kind", choices=sorted(TABLE_SCHEMAS), default="status")
+    s.set_defaults(fn=migrate)
+
     a = p.parse_args(argv)
     spark = build_session(app_name=f"stationlake-{a.job}")
     print(json.dumps(a.fn(spark, a), default=str))

@@ -327,3 +327,21 @@ def file_counts(df: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("n_rows"),
         F.countDistinct(F.col("_metadata.file_path")).alias("n_files"),
     )
+
+
+# --------------------------------------------------------------------------- legacy
+
+def migrate_legacy(spark: SparkSession, legacy_root: str, root: str,
+                   schema: T.StructType | None = None) -> None:
+    """Copy a bare ``YYYY/MM/DD/HH`` tree into a ``year=/month=/day=/hour=``
+    table, keeping each row in its hour (one Spark job, hour-routed write).
+    Append-only: the legacy files are left in place."""
+    from stationlake.functions.time import partition_hour_start
+    from stationlake.operators.writer import write_hourly
+    from stationlake.schemas import STATUS_SCHEMA
+    from stationlake.sources.tables import read_legacy_tree
+
+    schema = schema or STATUS_SCHEMA
+    legacy = read_legacy_tree(spark, legacy_root, schema)
+    rows = legacy.withColumn("_hour_start", partition_hour_start())
+    write_hourly(rows, root, "_hour_start", [f.name for f in schema.fields])

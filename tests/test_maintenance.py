@@ -244,3 +244,13 @@ def test_compact_long_range_in_chunks(spark, tmp):
     assert _rows(spark, root) == before
     for h in glob.glob(f"{root}/year=2024/month=01/day=*/hour=*"):
         assert len(glob.glob(f"{h}/*.parquet")) == 1
+
+
+def test_migrate_legacy_tree(spark, tmp):
+    from stationlake.operators.maintenance import migrate_legacy
+    legacy = HadoopFS(spark, f"{tmp}/legacy").qualify(f"{tmp}/legacy")
+    write_legacy_tree(station_rows(_events(spark)), legacy, "ingest_time")
+    migrate_legacy(spark, legacy, f"{tmp}/t")
+    a = sorted(map(tuple, read_legacy_tree(spark, legacy).collect()), key=repr)
+    b = sorted(map(tuple, read_table(spark, f"{tmp}/t").collect()), key=repr)
+    assert a == b and len(a) == _events(spark).count()
