@@ -28,10 +28,6 @@ from stationlake.sources.tables import data_files, files_under, read_table
 # file systems get a ``_trash`` folder inside the table root (ignored by readers).
 _BUCKET_SCHEMES = ("s3", "s3a", "s3n", "gs", "abfs", "abfss", "wasb", "wasbs", "oss")
 
-# Upper bound on partition specs handled by one registration call.
-MAX_PARTITION_SPECS = 100_000
-
-
 # --------------------------------------------------------------------------- U1
 
 def union_by_name(frames: Sequence[DataFrame]) -> DataFrame:
@@ -294,22 +290,30 @@ def register_hour_partitions(spark: SparkSession, table: str, hours: DataFrame,
     """K6: ``ALTER TABLE ... ADD IF NOT EXISTS PARTITION (...) LOCATION ...``.
 
     ``hours`` has ``year, month, day, hour, location``.  Partition specs are
-    catalog metadata: they are brought to the driver, with their number
-    checked against ``MAX_PARTITION_SPECS`` (one day is 24 specs).  Adding a
-    partition twice is a no-op.
+    catalog metadata; they reach the driver one Spark partition at a time
+    (``toLocalIterator``) and are added ``batch`` at a time, so the driver
+    never holds the whole list.  Adding a partition twice is a no-op.
     """
-    specs = hours.select(*PART_COLS, "location").distinct().limit(MAX_PARTITION_SPECS + 1).collect()
-    if len(specs) > MAX_PARTITION_SPECS:
-        raise ValueError(f"more than {MAX_PARTITION_SPECS} partitions in one registration")
-    specs.sort(key=lambda r: tuple(r[c] for c in PART_COLS))
-    for i in range(0, len(specs), batch):
-        clauses = "\n".join(
-            "PARTITION (" + ", ".join(f"{c} = {_quote(r[c])}" for c in PART_COLS) + ") "
-            f"LOCATION {_quote(r['location'])}"
-            for r in specs[i:i + batch]
-        )
-        spark.sql(f"ALTER TABLE {_ident(table)} ADD IF NOT EXISTS\n{clauses}")
-    return len(specs)
+    specs = hours.select(*PART_COLS, "location").distinct()
+    n, chunk = 0, []
+    for r in specs.toLocalIterator():
+        chunk.append(r)
+        if len(chunk) == batch:
+            _add_partitions(spark, table, chunk)
+            n, chunk = n + len(chunk), []
+    if chunk:
+        _add_partitions(spark, table, chunk)
+        n += len(chunk)
+    return n
+
+
+def _add_partitions(spark: SparkSession, table: str, rows) -> None:
+    clauses = "\n".join(
+        "PARTITION (" + ", ".join(f"{c} = {_quote(r[c])}" for c in PART_COLS) + ") "
+        f"LOCATION {_quote(r['location'])}"
+        for r in rows
+    )
+    spark.sql(f"ALTER TABLE {_ident(table)} ADD IF NOT EXISTS\n{clauses}")
 
 
 def recover_partitions(spark: SparkSession, table: str) -> None:
