@@ -21,8 +21,10 @@ from pyspark.sql import types as T
 
 from stationlake.fs import MOVE_THREADS, HadoopFS
 from stationlake.functions.paths import trash_path_py
-from stationlake.schemas import PART_COLS, STATUS_TABLE_SCHEMA
-from stationlake.sources.tables import data_files, files_under, read_table
+from stationlake.functions.time import partition_hour_start
+from stationlake.operators.writer import write_hourly
+from stationlake.schemas import PART_COLS, STATUS_SCHEMA, STATUS_TABLE_SCHEMA
+from stationlake.sources.tables import data_files, files_under, read_legacy_tree, read_table
 
 # Object stores keep the reference's ``bucket/trash/...`` convention; other
 # file systems get a ``_trash`` folder inside the table root (ignored by readers).
@@ -340,11 +342,6 @@ def migrate_legacy(spark: SparkSession, legacy_root: str, root: str,
     """Copy a bare ``YYYY/MM/DD/HH`` tree into a ``year=/month=/day=/hour=``
     table, keeping each row in its hour (one Spark job, hour-routed write).
     Append-only: the legacy files are left in place."""
-    from stationlake.functions.time import partition_hour_start
-    from stationlake.operators.writer import write_hourly
-    from stationlake.schemas import STATUS_SCHEMA
-    from stationlake.sources.tables import read_legacy_tree
-
     schema = schema or STATUS_SCHEMA
     legacy = read_legacy_tree(spark, legacy_root, schema)
     rows = legacy.withColumn("_hour_start", partition_hour_start())

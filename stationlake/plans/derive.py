@@ -24,9 +24,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stationlake.fs import HadoopFS
-from stationlake.functions.time import epoch_seconds
+from stationlake.functions.time import epoch_seconds, partition_values
 from stationlake.operators.writer import write_hourly
-from stationlake.schemas import STATUS_KEYS
+from stationlake.schemas import HISTORY_KEEP, PART_COLS, STATUS_KEYS
 from stationlake.sources.tables import data_files, read_table
 
 # Fixed values for the derivation.
@@ -153,9 +153,6 @@ def write_small_files(events: DataFrame, root: str, spread: int | None = None) -
     input's own partitioning (no shuffle; at scale every input split adds
     its files); ``spread=n`` hashes the wide rows over ``n`` tasks first.
     """
-    from stationlake.functions.time import partition_values
-    from stationlake.schemas import HISTORY_KEEP, PART_COLS
-
     rows = station_rows(events)
     is_error = F.col("num_bikes_disabled") == 1  # error events: narrow files
     wide = rows.where(~is_error).select(*STATUS_KEYS, *partition_values("ingest_time"))

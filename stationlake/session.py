@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 import os
+import shutil
 import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
+from stationlake.fs import HadoopFS
+
 # Settings the library relies on.  Time zone: partition hours are UTC wall
 # clock; ANSI: a bad count in a feed or history file raises instead of
 # becoming NULL; partition type inference off: "01" stays "01".
@@ -85,13 +88,11 @@ def ship_package(spark: SparkSession) -> None:
     app = spark.sparkContext.applicationId
     if app in _SHIPPED:
         return
-    import shutil
     pkg = os.path.dirname(os.path.abspath(__file__))
     tmp = tempfile.mkdtemp(prefix="stationlake-zip-")
     archive = shutil.make_archive(os.path.join(tmp, "stationlake"), "zip",
                                   os.path.dirname(pkg), os.path.basename(pkg))
     target = f"{checkpoint_root(spark)}/stationlake/pkg-{uuid.uuid4().hex[:8]}/stationlake.zip"
-    from stationlake.fs import HadoopFS
     fs = HadoopFS(spark, target)
     fs.mkdirs(target.rsplit("/", 1)[0])
     jvm = spark.sparkContext._jvm
