@@ -25,8 +25,12 @@ def parse_ts(col) -> Column:
 
 
 def epoch_seconds(col) -> Column:
-    """TIMESTAMP_NTZ (UTC wall clock) -> unix seconds, BIGINT."""
-    return F.timestamp_diff("SECOND", _ntz_epoch(), _c(col))
+    """TIMESTAMP_NTZ (UTC wall clock) -> unix seconds, BIGINT, floored
+    (as ``int64 nanoseconds // 10**9``: also right before 1970).  Exact
+    integer arithmetic on microseconds."""
+    micros = F.timestamp_diff("MICROSECOND", _ntz_epoch(), _c(col))
+    whole = micros - F.pmod(micros, F.lit(1_000_000))
+    return (whole / F.lit(1_000_000)).cast("bigint")
 
 
 def from_epoch_seconds(col) -> Column:

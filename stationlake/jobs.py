@@ -70,7 +70,8 @@ def status_ingest(spark, a) -> dict:
 
 def info_ingest(spark, a) -> dict:
     rows = info_rows(read_feed(spark, a.landing, multi_line=a.multiline))
-    ingest = from_epoch_seconds("last_updated") if a.partition_time == "document" else utc_now()
+    ingest = (F.coalesce(from_epoch_seconds("last_updated"), utc_now())
+              if a.partition_time == "document" else utc_now())
     write_hourly(rows.withColumn("ingest_time", ingest), a.table, "ingest_time",
                  columns=[f.name for f in INFO_SCHEMA.fields])
     return {"job": "info-ingest", "table": a.table}

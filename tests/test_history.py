@@ -6,9 +6,11 @@ import datetime as dt
 
 import pytest
 from conftest import write_text
-from pyspark.errors import PySparkException
 from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
 
+from stationlake.functions.time import epoch_seconds, from_epoch_seconds
 from stationlake.operators.writer import write_history
 from stationlake.sources.history import normalize_history, read_history
 from stationlake.sources.tables import read_table
@@ -69,3 +71,12 @@ def test_backfill_write_routes_by_hour_and_reads_narrow_files(spark, tmp):
     assert got == [("2019", "07", "01", "10", "072"), ("2019", "07", "01", "11", "74"),
                    ("2019", "08", "01", "18", "73")]
     assert t.where("num_ebikes_available is not null").count() == 0
+
+
+def test_epoch_seconds_floor_before_1970(spark):
+    df = spark.createDataFrame([("1969-12-31 23:59:59.5",), ("1970-01-01 00:00:00.5",),
+                                ("2019-07-01 10:04:00",)], "t string")
+    got = [r.s for r in df.select(epoch_seconds(F.col("t").cast("timestamp_ntz")).alias("s")).collect()]
+    assert got == [-1, 0, 1561975440]
+    back = df.select(from_epoch_seconds(epoch_seconds(F.col("t").cast("timestamp_ntz"))).alias("b")).collect()
+    assert str(back[2].b) == "2019-07-01 10:04:00"
