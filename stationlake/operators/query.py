@@ -121,24 +121,32 @@ def distinct_keys(df: DataFrame, key: str = "station_id") -> DataFrame:
     return df.select(key).distinct()
 
 
-# Most hot keys given their own bucket count; with more, every key is salted
-# uniformly (still exact, only less tailored).
+# Most hot keys given their own bucket count; any further key gets the count
+# of the hottest key left out (an upper bound for all of them).
 MAX_HOT_KEYS = 1000
 
 
 def hot_key_buckets(df: DataFrame, key: str, rows_per_group: int,
-                    max_hot: int = MAX_HOT_KEYS) -> dict | None:
+                    max_hot: int = MAX_HOT_KEYS) -> tuple[dict, int]:
     """Bucket counts for keys holding more than ``rows_per_group`` rows.
 
-    One partial-aggregation pass (one row per key leaves each task); only
-    the hot keys reach the driver, at most ``max_hot`` of them.  Returns
-    ``None`` when there are more hot keys than that.
+    One partial-aggregation pass, then the hottest ``max_hot + 1`` keys only
+    (a top-k, not a sort of all keys) reach the driver.  Returns
+    ``(per_key, default)``: the hottest ``max_hot`` keys get
+    ``ceil(rows / rows_per_group)`` buckets; every other key gets ``default``,
+    which is 1 when all hot keys are listed, else the bucket count of the
+    first key not listed, an upper bound for all of them.
     """
     counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-    hot = counts.where(F.col("_n") > rows_per_group).limit(max_hot + 1).collect()
-    if len(hot) > max_hot:
-        return None
-    return {r[key]: int(-(-r["_n"] // rows_per_group)) for r in hot}
+    hot = (counts.where(F.col("_n") > rows_per_group)
+           .orderBy(F.desc("_n")).limit(max_hot + 1).collect())
+
+    def buckets(n: int) -> int:
+        return int(-(-n // rows_per_group))
+
+    per_key = {r[key]: buckets(r["_n"]) for r in hot[:max_hot]}
+    default = buckets(hot[max_hot]["_n"]) if len(hot) > max_hot else 1
+    return per_key, default
 
 
 def per_station_apply(df: DataFrame, fn: Callable, schema: T.StructType | str,
@@ -158,7 +166,8 @@ def per_station_apply(df: DataFrame, fn: Callable, schema: T.StructType | str,
     ``(station, bucket)`` with a deterministic hash bucket in ``[0, n)`` for
     every station; ``split_buckets="auto"`` splits only stations with more
     than ``rows_per_group`` rows, each into ``ceil(rows / rows_per_group)``
-    buckets (cold stations stay one group).  The bucket column ``_bucket``
+    buckets (cold stations stay one group; see :func:`hot_key_buckets` for
+    more than ``MAX_HOT_KEYS`` hot stations).  The bucket column ``_bucket``
     is part of the grouping key passed to ``fn``.
     """
     ship_package(df.sparkSession)
@@ -169,19 +178,16 @@ def per_station_apply(df: DataFrame, fn: Callable, schema: T.StructType | str,
     # rows (a station that did not report for an hour) over input partitions.
     row_hash = F.xxhash64(*[F.col(c) for c in df.columns], F.spark_partition_id())
     if split_buckets == "auto":
-        hot = hot_key_buckets(df, key, rows_per_group)
-        if hot is None:
-            df, n = df, F.lit(8)
-        elif not hot:
-            df, n = df, F.lit(1)
-        else:
-            # at most MAX_HOT_KEYS rows (checked above): safe to broadcast
+        hot, default = hot_key_buckets(df, key, rows_per_group)
+        n = F.lit(default).cast("bigint")
+        if hot:
+            # at most MAX_HOT_KEYS rows (bounded above): safe to broadcast
             key_type = df.schema[key].dataType
             table = df.sparkSession.createDataFrame(
                 list(hot.items()),
                 T.StructType([T.StructField(key, key_type), T.StructField("_n_buckets", T.LongType())]))
             df = df.join(F.broadcast(table), on=key, how="left")
-            n = F.coalesce(F.col("_n_buckets"), F.lit(1).cast("bigint"))
+            n = F.coalesce(F.col("_n_buckets"), n)
     else:
         n = F.lit(int(split_buckets))
     out = (df.withColumn("_bucket", F.pmod(row_hash, n)).drop("_n_buckets")

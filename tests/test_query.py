@@ -136,7 +136,11 @@ def test_per_station_apply_auto_splits_only_hot_stations(spark, tmp):
     hot = t
     for _ in range(5):  # station 31 gets 32 identical rows, the others 1 each
         hot = hot.union(hot.where("station_id = '31'"))
-    assert hot_key_buckets(hot, "station_id", 10) == {"31": 4}
+    assert hot_key_buckets(hot, "station_id", 10) == ({"31": 4}, 1)
+    # more hot keys than listed: the rest get the first unlisted key's count
+    two = hot.union(hot.where("station_id = '31'").withColumn("station_id", F.lit("32")))
+    two = two.union(two.where("station_id = '32'"))  # 32 has 64 rows, 31 has 32
+    assert hot_key_buckets(two, "station_id", 10, max_hot=1) == ({"32": 7}, 4)
 
     def groups(key: Tuple[Any, ...], batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         n = sum(len(b) for b in batches)
