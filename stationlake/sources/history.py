@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 from stationlake.functions.time import as_of_column, epoch_seconds, parse_ts, partition_key
 from stationlake.schemas import HISTORY_KEEP, HISTORY_RENAMES
 
+# The types the history columns are cast to.
 HISTORY_TYPES = {
     "station_id": "string",
     "num_bikes_available": "bigint",
