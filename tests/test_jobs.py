@@ -72,3 +72,15 @@ def test_jobs(spark, tmp, capsys):
     out = _run(capsys, "register", "--name", "jobs_info", "--table", f"{tmp}/info", "--day", "2024-01-01",
                "--kind", "info")
     assert spark.table("jobs_info").count() == 2 * n_info
+
+
+def test_migrate_job(spark, tmp, capsys):
+    from stationlake.plans.derive import station_rows, write_legacy_tree
+    events = spark.read.parquet(f"{SF_SMALL}/events.parquet")
+    legacy = HadoopFS(spark, f"{tmp}/legacy").qualify(f"{tmp}/legacy")
+    write_legacy_tree(station_rows(events), legacy, "ingest_time")
+    out = _run(capsys, "migrate", legacy, "--table", f"{tmp}/migrated")
+    assert out["job"] == "migrate"
+    t = read_table(spark, f"{tmp}/migrated")
+    assert t.count() == events.count()
+    assert t.where("num_ebikes_available is null").count() == 0  # all 10 columns carried over
