@@ -84,17 +84,22 @@ def status_stream(spark: SparkSession, landing: str, multi_line: bool = False,
     return ingest_rows(docs, partition_time)
 
 
+# Commit records kept per stream (older ones are removed).
+KEEP_RECORDS = 100
+
+
 class HourlyBatchSink:
     """``foreachBatch`` writer with a per-batch commit record."""
 
     def __init__(self, root: str, tag: str, ts_col: str = "ingest_time", columns=STATUS_KEYS,
-                 prepare=None, bad_records_dir: str | None = None):
+                 prepare=None, bad_records_dir: str | None = None, keep_records: int = KEEP_RECORDS):
         self.root = root.rstrip("/")
         self.tag = tag
         self.ts_col = ts_col
         self.columns = tuple(columns)
         self.prepare = prepare                # batch -> rows to write (None: as given)
         self.bad_records_dir = bad_records_dir  # where unparseable documents go
+        self.keep_records = keep_records
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         fs = HadoopFS(batch.sparkSession, self.root)
@@ -124,6 +129,11 @@ class HourlyBatchSink:
         fs.write_text(done, "")
         fs.delete(staging)
         fs.delete(staged, recursive=False)
+        # Spark replays at most the batch after its last committed one, so
+        # old commit records can go (a 2-minute stream adds 720 a day).
+        old = batch_id - self.keep_records
+        if old >= 0:
+            fs.delete(f"{self.root}/_ingest_log/{self.tag}/{old}", recursive=False)
 
 
 def start_ingest(spark: SparkSession, landing: str, table_root: str, checkpoint: str,

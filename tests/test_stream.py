@@ -178,3 +178,15 @@ def test_replay_after_crash_inside_publish(spark, tmp):
     assert read_table(spark, root).count() == n
     sink(static, 7)                                 # and is a no-op afterwards
     assert read_table(spark, root).count() == n
+
+
+def test_old_commit_records_are_removed(spark, tmp):
+    import glob
+    land, root = f"{tmp}/landing", f"{tmp}/table"
+    write_text(f"{land}/a.json", _doc(1564685000, "72", 3) + "\n")
+    static = status_rows(read_feed(spark, land)).withColumn("ingest_time", from_epoch_seconds("last_updated"))
+    sink = HourlyBatchSink(root, "t4", keep_records=2)
+    for b in range(5):
+        sink(static, b)
+    assert sorted(int(p.rsplit("/", 1)[1]) for p in glob.glob(f"{root}/_ingest_log/t4/*")) == [3, 4]
+    assert read_table(spark, root).count() == 5
