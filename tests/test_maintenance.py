@@ -254,3 +254,11 @@ def test_migrate_legacy_tree(spark, tmp):
     a = sorted(map(tuple, read_legacy_tree(spark, legacy).collect()), key=repr)
     b = sorted(map(tuple, read_table(spark, f"{tmp}/t").collect()), key=repr)
     assert a == b and len(a) == _events(spark).count()
+
+
+def test_compact_day_without_files_is_a_no_op(spark, tmp):
+    root = f"{tmp}/t"
+    _fixture(spark, root)
+    empty = dt.date(2023, 6, 1)  # no folders at all
+    assert compact_days(spark, root, [empty]) == {"hours": 0, "files_before": 0, "files_after": 0, "rows": 0}
+    assert compact_yesterday(spark, f"{tmp}/nothing_here", as_of=dt.datetime(2024, 1, 2))["hours"] == 0
