@@ -4,6 +4,8 @@ same rules, over many generated cases at once (one Spark job per property)."""
 from __future__ import annotations
 
 import datetime as dt
+import os
+import tempfile
 
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -11,6 +13,7 @@ from pyspark.sql import functions as F
 
 from stationlake.functions.paths import trash_path, trash_path_py
 from stationlake.functions.time import epoch_seconds, from_epoch_seconds, partition_date
+from stationlake.sources.history import normalize_history, read_history
 from stationlake.operators.query import trailing_window_predicate
 
 DATES = st.dates(min_value=dt.date(2001, 1, 1), max_value=dt.date(2037, 12, 31))
@@ -67,3 +70,47 @@ def test_trash_path_column_matches_python(spark, cases):
             p.split("://", 1)[0] + "://" + p.split("://", 1)[1].split("/", 1)[0],
             p.split("://", 1)[1].split("/", 1)[1])
         assert t == f"{head}/trash/{rest}"
+
+
+ROW = st.tuples(
+    st.datetimes(min_value=dt.datetime(2019, 7, 31), max_value=dt.datetime(2019, 8, 2)),  # execution
+    st.integers(0, 999),                                                                  # id
+    st.integers(0, 60), st.integers(0, 60),                                               # bikes, docks
+    st.one_of(st.none(), st.datetimes(min_value=dt.datetime(2019, 7, 31),
+                                      max_value=dt.datetime(2019, 8, 2))),               # communication
+)
+
+
+@settings(max_examples=4, deadline=None)
+@given(st.lists(ROW, min_size=20, max_size=80), st.permutations(
+    ["execution_time", "id", "available_bikes", "available_docks", "last_communication_time"]),
+    st.booleans())
+def test_history_normalisation_matches_rules(spark, rows, order, extra):
+    cutoff = dt.datetime(2019, 8, 1, 18, 52, 3)
+    head = list(order) + (["extra"] if extra else [])
+    d = tempfile.mkdtemp(prefix="hist-prop-")
+    with open(os.path.join(d, "a.csv"), "w") as f:
+        f.write("|".join(head) + "\n")
+        for ex, i, b, k, comm in rows:
+            vals = {"execution_time": ex.strftime("%Y-%m-%d %H:%M:%S"), "id": f"{i:03d}",
+                    "available_bikes": str(b), "available_docks": str(k),
+                    "last_communication_time": comm.strftime("%Y-%m-%d %H:%M:%S") if comm else "",
+                    "extra": "z"}
+            f.write("|".join(vals[c] for c in head) + "\n")
+    got = sorted(((r.station_id, r.num_bikes_available, r.num_docks_available, r.last_reported,
+                   str(r.execution_time), r.partition_key)
+                  for r in normalize_history(read_history(spark, d), cutoff=cutoff.isoformat(sep=" ")).collect()),
+                 key=_text_key)
+    epoch = dt.datetime(1970, 1, 1)
+    want = []
+    for ex, i, b, k, comm in rows:
+        ex = ex.replace(microsecond=0)
+        if not ex < cutoff:  # strict cutoff
+            continue
+        secs = int((comm.replace(microsecond=0) - epoch).total_seconds()) if comm else None
+        want.append((f"{i:03d}", b, k, secs, str(ex), ex.strftime("%Y-%m-%d %H")))
+    assert got == sorted(want, key=_text_key)
+
+
+def _text_key(t):
+    return tuple("" if x is None else str(x) for x in t)
