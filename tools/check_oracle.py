@@ -1,9 +1,13 @@
 """Run registered queries in Spark and their SQL in DuckDB; compare.
 
 Usage: python tools/check_oracle.py [sf_dir] [name ...]
+       CHECK_TZ=America/Los_Angeles ...   (another session time zone)
+       CHECK_ANSI=false ...                (ANSI mode off)
 
-Comparison: same column names, same row count, same multiset of rows
-(values normalised: floats rounded to 9 digits, timestamps as text).
+Comparison: same column names, same column types (Spark type mapped to
+the DuckDB name), same row count, same multiset of rows (values
+normalised: floats rounded to 9 digits, timestamps as text).  One JSON
+line per query; exit status 0 when all match.
 """
 
 from __future__ import annotations
