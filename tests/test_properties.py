@@ -12,7 +12,13 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from stationlake.functions.paths import trash_path, trash_path_py
-from stationlake.functions.time import epoch_seconds, from_epoch_seconds, partition_date
+from stationlake.functions.time import (
+    epoch_seconds,
+    from_epoch_seconds,
+    partition_date,
+    partition_key,
+    partition_values,
+)
 from stationlake.sources.history import normalize_history, read_history
 from stationlake.operators.query import trailing_window_predicate
 
@@ -114,3 +120,16 @@ def test_history_normalisation_matches_rules(spark, rows, order, extra):
 
 def _text_key(t):
     return tuple("" if x is None else str(x) for x in t)
+
+
+@settings(max_examples=4, deadline=None)
+@given(st.lists(st.datetimes(min_value=dt.datetime(1, 1, 1), max_value=dt.datetime(9999, 12, 31)),
+                min_size=50, max_size=200))
+def test_partition_values_and_key_match_strftime(spark, stamps):
+    df = spark.createDataFrame([(t.isoformat(sep=" "),) for t in stamps], "t string")
+    ts = F.col("t").cast("timestamp_ntz")
+    got = df.select(*partition_values(ts), partition_key(ts).alias("k")).collect()
+    for t, r in zip(stamps, got):
+        assert (r.year, r.month, r.day, r.hour) == (f"{t.year:04d}", f"{t.month:02d}",
+                                                    f"{t.day:02d}", f"{t.hour:02d}")
+        assert r.k == f"{t.year:04d}-{t.month:02d}-{t.day:02d} {t.hour:02d}"
