@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stationlake.llm import packing, token_shards
+from stationlake.llm import decontaminate, packing, token_shards, toxicity
 from stationlake.llm.common import Workspace, read_table
 from stationlake.llm.tokens import default_tokenizer
 
@@ -33,6 +33,29 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digest.join(packed.places, "row").drop("row")
 
 
+@query
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which documents hold 13-word windows (or whole shorter items) of the benchmark."""
+    matched = decontaminate.match_benchmark(
+        read_table(spark, sf_dir, "documents").select("doc_id", "text"), read_table(spark, sf_dir, "benchmark"))
+    match = F.col("benchmark_match")
+    return matched.select(
+        "doc_id", match.n_words.alias("n_words"), decontaminate.n_hit().alias("n_hit"),
+        F.size(match["items"]).cast("long").alias("n_items"),
+        F.sha2(F.concat_ws(",", match["items"]), 256).alias("items_sha256"),
+        decontaminate.is_contaminated().alias("contaminated"))
+
+
+@query
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of all documents, learned from the labels outside fold 1."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.train(docs, read_table(spark, sf_dir, "labels"), held_out=1)
+    scored = toxicity.score_toxicity(docs, model, score="score")
+    return scored.select("doc_id", (toxicity.fold() == 1).alias("held_out"), "score",
+                         F.when(F.col("score") >= 0.7, 1).otherwise(0).cast("int").alias("predicted"))
+
+
 @query
 def op10_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents written as binary shards (end id 2), indexed, and read
