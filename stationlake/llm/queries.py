@@ -11,8 +11,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stationlake.llm import decontaminate, packing, token_shards, toxicity
-from stationlake.llm.common import Workspace, read_table
+from stationlake.llm import decontaminate, fingerprints, packing, pii, secret_scan, token_shards, toxicity
+from stationlake.llm import spans as S
+from stationlake.llm.common import Workspace, empty_if_null, read_table
 from stationlake.llm.tokens import default_tokenizer
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -33,6 +34,16 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digest.join(packed.places, "row").drop("row")
 
 
+@query
+def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in all documents."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = pii.find_personal_data(docs, pii.train(docs))
+    base = F.col("base_spans")
+    return found.select("doc_id", *(S.count(base, k).alias(f"n_{k}") for k in pii.KINDS),
+                        F.sha2(S.joined(base), 256).alias("base_sha256"), S.joined(F.col("pii_spans")).alias("spans"))
+
+
 @query
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Which documents hold 13-word windows (or whole shorter items) of the benchmark."""
@@ -46,6 +57,33 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
         decontaminate.is_contaminated().alias("contaminated"))
 
 
+@query
+def op6_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of all documents and of their edited texts, and likeness
+    to the edited text and to the next document."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", empty_if_null().alias("text"))
+    own = docs.withColumn("sketch", fingerprints.sketch(F.col("text")))
+    paired = fingerprints.with_next(own, ["text", "sketch"])
+    edited = paired.withColumn("edited", fingerprints.edited_text(F.col("text"), F.col("next.text")))
+    both = edited.withColumn("edited_sketch", fingerprints.sketch(F.col("edited")))
+    a, b = F.col("sketch"), F.col("edited_sketch")
+    return both.select(
+        "doc_id", F.length("text").cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"),
+        fingerprints.as_text(a).alias("fingerprint"), fingerprints.as_text(b).alias("edited_fingerprint"),
+        fingerprints.resemblance(a, b).alias("near_edited"), fingerprints.resemblance(a, F.col("next.sketch")).alias("near_next"),
+        fingerprints.containment(a, b).alias("contained_in_edited"), fingerprints.distinct_shingles(a).alias("n_shingles"))
+
+
+@query
+def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in all documents."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = secret_scan.find_secrets(docs, secret_scan.train(docs))
+    base = F.col("base_spans")
+    return found.select("doc_id", *(S.count(base, k).alias(f"n_{k}") for k in secret_scan.KINDS[:3]),
+                        F.sha2(S.joined(base), 256).alias("base_sha256"), S.joined(F.col("secret_spans")).alias("spans"))
+
+
 @query
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of all documents, learned from the labels outside fold 1."""
