@@ -41,7 +41,7 @@ from stationlake.session import ship_package
 HEADER, HEADER_BYTES = "<qII", 16
 ID = np.dtype("<u2")
 #: Text bytes per shard.  A reader holds one shard, about 3/4 of this.
-SHARD_TEXT_BYTES = 32_000_000
+SHARD_TEXT_BYTES = 12_000_000
 #: Keys per bucket of the index, on average.
 BUCKET_KEYS = 20_000
 #: Bits per remaining key of a level.

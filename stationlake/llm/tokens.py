@@ -21,10 +21,10 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-#: Words a worker remembers; beyond this the cache starts anew (about 150 MB).
-CACHE_WORDS = 800_000
+#: Words a worker remembers; beyond this the cache starts anew (about 100 MB).
+CACHE_WORDS = 500_000
 #: Texts are encoded in slices of about so many bytes (one text is never split).
-SLICE_BYTES = 12_000_000
+SLICE_BYTES = 8_000_000
 
 # ASCII punctuation that the vocabulary's pre-tokenizer splits
 # from a letter or digit before it (the apostrophe starts contractions and
