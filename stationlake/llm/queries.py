@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stationlake.llm import decontaminate, fingerprints, packing, pii, secret_scan, token_shards, toxicity
+from stationlake.llm import decontaminate, fingerprints, ngram_join, packing, pii, secret_scan, token_shards, toxicity
 from stationlake.llm import spans as S
 from stationlake.llm.common import Workspace, empty_if_null, read_table
 from stationlake.llm.tokens import default_tokenizer
@@ -94,6 +94,14 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
                          F.when(F.col("score") >= 0.7, 1).otherwise(0).cast("int").alias("predicted"))
 
 
+@query
+def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Similarity classes of all documents (five-word n-grams, Jaccard 0.8 or more)."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return ngram_join.similar_documents(Workspace(spark, "op9"), docs).select(
+        "doc_id", "class_id", "kept", "n_links", "n_copies")
+
+
 @query
 def op10_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents written as binary shards (end id 2), indexed, and read
