@@ -31,6 +31,7 @@ def connected_components(ws: Workspace, edges: DataFrame) -> DataFrame:
     before = None
     while before != (now := state(stars)):
         before = now
+        ws.remove(*(f"components-{k}" for k in range(1, step)))  # the stars alone go on
         both = stars.unionByName(stars.selectExpr("root as node", "node as root"))
         least = table(both.groupBy("node").agg(F.least(F.min("root"), F.col("node")).alias("least")))
         large = table(both.where("root > node").join(least, "node").selectExpr("root as node", "least as root").distinct())

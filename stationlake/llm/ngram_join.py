@@ -260,6 +260,7 @@ def similar_documents(ws: Workspace, docs: DataFrame, words: int = WORDS, thresh
         "key1", "key2", "n", "n_copies", F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"), "head"), "class_heads")
     of_row = (full.select("row", "key1", "key2", "n").join(of_class, ["key1", "key2", "n"])
               .select("row", "head", "n_links", "n_copies"))
+    ws.remove("classes", "frequent", "members", "needed", "links", "of_class")
     one, none = F.lit(1).cast("long"), F.lit(0).cast("long")
     class_id = F.when(F.col("head").isNull(), F.col("doc_id").cast("long")).otherwise(
         F.when(F.col("head.id") < 2**63 - 1, F.col("head.id")))

@@ -11,9 +11,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stationlake.llm import decontaminate, fingerprints, ngram_join, packing, pii, secret_scan, token_shards, toxicity
+from stationlake.llm import decontaminate, fingerprints, ngram_join, packing, pii, secret_scan, sentences, suffix_tree, token_shards, toxicity
 from stationlake.llm import spans as S
-from stationlake.llm.common import Workspace, empty_if_null, read_table
+from stationlake.llm.common import Workspace, empty_if_null, fold, read_table
 from stationlake.llm.tokens import default_tokenizer
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -57,6 +57,23 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
         decontaminate.is_contaminated().alias("contaminated"))
 
 
+@query
+def op4_sentence_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without repeated sentence spans."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    cut = sentences.dedup_spans(Workspace(spark, "op4"), docs)
+    return cut.select("doc_id", "text", F.size("removed").cast("long").alias("n_removed"),
+                      F.array_join(F.transform("removed", lambda r: F.concat_ws(":", r["start"].cast("string"), r["end"].cast("string"))), ",")
+                      .alias("removed_spans"))
+
+
+@query
+def op5_suffix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores of all documents, learned from those outside fold 0 of ten."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return suffix_tree.score_documents(Workspace(spark, "op5"), docs, fold(folds=10) == 0)
+
+
 @query
 def op6_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of all documents and of their edited texts, and likeness
@@ -90,7 +107,7 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     model = toxicity.train(docs, read_table(spark, sf_dir, "labels"), held_out=1)
     scored = toxicity.score_toxicity(docs, model, score="score")
-    return scored.select("doc_id", (toxicity.fold() == 1).alias("held_out"), "score",
+    return scored.select("doc_id", (fold() == 1).alias("held_out"), "score",
                          F.when(F.col("score") >= 0.7, 1).otherwise(0).cast("int").alias("predicted"))
 
 

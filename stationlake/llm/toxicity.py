@@ -24,9 +24,10 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from stationlake.llm.common import fold
 from stationlake.llm.tokens import slices
 from stationlake.session import ship_package
 
@@ -196,12 +197,6 @@ def score_texts(model: Model, texts: pa.Array) -> np.ndarray:
 
 # -- Spark -----------------------------------------------------------------
 
-def fold(doc_id: str | Column = "doc_id", folds: int = 3) -> Column:
-    """crc32 of doc_id as text, modulo ``folds``; null ids fall into fold 0."""
-    key = F.col(doc_id) if isinstance(doc_id, str) else doc_id
-    return F.coalesce(F.crc32(key.cast("string").cast("binary")) % folds, F.lit(0))
-
-
 def train(docs: DataFrame, labels: DataFrame, held_out: int = 1, sample: dict[int, int] = SAMPLE) -> Model:
     """Fit on labelled documents outside fold ``held_out``.
 
