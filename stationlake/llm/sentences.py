@@ -163,8 +163,9 @@ def dedup_spans(ws: Workspace, docs: DataFrame) -> DataFrame:
     # Aggregated before the shuffle; what is joined back is only what repeats.
     repeated = ws.table(runs.groupBy("hash").agg(F.min("run").alias("kept"), F.count("*").alias("n"))
                         .where("n > 1").select("hash", "kept"), "repeated")
-    ranges = (runs.join(repeated, "hash").where("run != kept").groupBy("row")
-              .agg(F.collect_list(F.struct("first", "until")).alias("ranges")))  # at most a text's sentences
+    ranges = ws.table(runs.join(repeated, "hash").where("run != kept").groupBy("row")
+                      .agg(F.collect_list(F.struct("first", "until")).alias("ranges")), "ranges")  # at most a text's sentences
+    ws.remove("runs", "repeated")
     joined = docs.join(ranges, "row", "left").drop("row")
     fields = {f.name: f.dataType.simpleString() for f in joined.schema if f.name != "ranges"}
     schema = ", ".join(f"`{c}` {t}" for c, t in fields.items())
