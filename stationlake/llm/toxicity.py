@@ -32,7 +32,7 @@ from stationlake.llm.tokens import slices
 from stationlake.session import ship_package
 
 #: Training documents per class: the labelled rows with the smallest hashes.
-SAMPLE = {1: 3000, 0: 6000}
+SAMPLE = {1: 1500, 0: 3000}
 #: Bytes of the dictionaries.
 TOXIC_BYTES, ORDINARY_BYTES = 4096, 65536
 LEVEL, REPEATS = 9, 4
