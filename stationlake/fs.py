@@ -114,7 +114,7 @@ class HadoopFS:
         return True
 
     def rename_many(self, pairs, threads: int = MOVE_THREADS) -> int:
-        """Plain renames in parallel (folders or files); no checks."""
+        """Renames in parallel (folders or files); raises if one fails."""
         pairs = list(pairs)
         if pairs:
             with ThreadPoolExecutor(max_workers=threads) as pool:
@@ -133,14 +133,12 @@ class HadoopFS:
         parents = sorted({dst.rsplit("/", 1)[0] for _, dst in pairs}) if make_parents else []
         with ThreadPoolExecutor(max_workers=threads) as pool:
             list(pool.map(self.mkdirs, parents))
-            list(pool.map(lambda p: self._rename(*p), pairs))
+            list(pool.map(lambda p: self.rename(*p), pairs))
         return len(pairs)
 
-    def rename(self, src: str, dst: str) -> bool:
-        """Plain Hadoop rename (no checks): into ``dst`` if it is an existing folder."""
-        return bool(self._fs.rename(self._p(src), self._p(dst)))
-
-    def _rename(self, src: str, dst: str) -> None:
+    def rename(self, src: str, dst: str) -> None:
+        """Hadoop rename (into ``dst`` if it is an existing folder).  Raises
+        unless it happened, now or before (source gone, target there)."""
         if self._fs.rename(self._p(src), self._p(dst)):
             return
         if not self._fs.exists(self._p(src)) and self._fs.exists(self._p(dst)):

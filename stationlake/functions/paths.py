@@ -18,7 +18,7 @@ TRASH_DIR = "trash"
 LEGACY_PREFIX = "station_status"
 
 # First path segment (the bucket), with an optional URI scheme in front.
-_HEAD = r"^((?:[A-Za-z][A-Za-z0-9+.\-]*://)?[^/]*)/"
+_HEAD = r"^((?:[A-Za-z][A-Za-z0-9+.\-]*://)?[^/]*)(?:/|$)"
 
 
 def _c(col) -> Column:

@@ -57,7 +57,7 @@ def trash_dir(root: str, trash_root: str | None = None) -> str:
     root = root.rstrip("/")
     scheme = root.split(":", 1)[0].lower() if "://" in root else ""
     if scheme in _BUCKET_SCHEMES:
-        return trash_path_py(root)
+        return trash_path_py(root).rstrip("/")
     return f"{root}/_trash"
 
 
@@ -243,6 +243,9 @@ def _swap(spark: SparkSession, fs: HadoopFS, journal: str, plan: dict,
         nested = f"{h['dir']}/{h['dir'].rsplit('/', 1)[1]}"
         if nested in by_dir:
             fs.delete(nested)
+    left = [f for f in fs.list_files_recursive(plan["staging"]) if "/_" not in f[len(plan["staging"]):]]
+    if left:  # the journal stays: a later run finishes the swap
+        raise OSError(f"{len(left)} compacted files did not reach the table, among them {left[0]}")
     fs.delete(plan["staging"])
     fs.delete(journal, recursive=False)
 

@@ -121,32 +121,17 @@ def distinct_keys(df: DataFrame, key: str = "station_id") -> DataFrame:
     return df.select(key).distinct()
 
 
-# Most hot keys given their own bucket count; any further key gets the count
-# of the hottest key left out (an upper bound for all of them).
-MAX_HOT_KEYS = 1000
+def _with_buckets(df: DataFrame, key: str, rows_per_group: int) -> DataFrame:
+    """``df`` with ``_n_buckets``: ``ceil(rows / rows_per_group)`` of its key.
 
-
-def hot_key_buckets(df: DataFrame, key: str, rows_per_group: int,
-                    max_hot: int = MAX_HOT_KEYS) -> tuple[dict, int]:
-    """Bucket counts for keys holding more than ``rows_per_group`` rows.
-
-    One partial-aggregation pass, then the hottest ``max_hot + 1`` keys only
-    (a top-k, not a sort of all keys) reach the driver.  Returns
-    ``(per_key, default)``: the hottest ``max_hot`` keys get
-    ``ceil(rows / rows_per_group)`` buckets; every other key gets ``default``,
-    which is 1 when all hot keys are listed, else the bucket count of the
-    first key not listed, an upper bound for all of them.
+    The counts are part of the plan (partial aggregation, then a join that
+    matches NULL keys too), so there is no limit on the number of hot keys.
     """
-    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-    hot = (counts.where(F.col("_n") > rows_per_group)
-           .orderBy(F.desc("_n")).limit(max_hot + 1).collect())
-
-    def buckets(n: int) -> int:
-        return int(-(-n // rows_per_group))
-
-    per_key = {r[key]: buckets(r["_n"]) for r in hot[:max_hot]}
-    default = buckets(hot[max_hot]["_n"]) if len(hot) > max_hot else 1
-    return per_key, default
+    counts = (df.groupBy(F.col(key).alias("_key")).agg(F.count(F.lit(1)).alias("_n"))
+              .where(F.col("_n") > rows_per_group)
+              .select("_key", F.ceil(F.col("_n") / rows_per_group).cast("bigint").alias("_n_buckets")))
+    joined = df.join(counts, F.col(key).eqNullSafe(F.col("_key")), "left").drop("_key")
+    return joined.withColumn("_n_buckets", F.coalesce("_n_buckets", F.lit(1).cast("bigint")))
 
 
 def per_station_apply(df: DataFrame, fn: Callable, schema: T.StructType | str,
@@ -161,46 +146,42 @@ def per_station_apply(df: DataFrame, fn: Callable, schema: T.StructType | str,
     type hints (``typing.Tuple``/``Iterator``) for Spark to pick the
     iterator form.
 
-    Splitting (for functions whose results ``combine`` can merge, e.g. with a
-    ``groupBy(key).agg``): ``split_buckets=n`` makes the groups
+    Without ``split_buckets`` a station is one group, and so one task.
+    Splitting needs ``combine``, which merges the results of a station's
+    groups (e.g. ``groupBy(key).agg``), so that the answer does not depend on
+    how much data there is.  ``split_buckets=n`` makes the groups
     ``(station, bucket)`` with a deterministic hash bucket in ``[0, n)`` for
-    every station; ``split_buckets="auto"`` splits only stations with more
-    than ``rows_per_group`` rows, each into ``ceil(rows / rows_per_group)``
-    buckets (cold stations stay one group; see :func:`hot_key_buckets` for
-    more than ``MAX_HOT_KEYS`` hot stations).  The bucket column ``_bucket``
-    is part of the grouping key passed to ``fn``.
+    every station; ``split_buckets="auto"`` gives each station
+    ``ceil(rows / rows_per_group)`` buckets.  The bucket column ``_bucket`` is
+    part of the grouping key passed to ``fn``.
     """
     ship_package(df.sparkSession)
     if not split_buckets:
         return df.groupBy(key).applyInPandas(fn, schema)
+    if combine is None:
+        raise ValueError("split_buckets needs combine: a split station has several results")
     # Row content plus the input partition: retry-safe (a recomputed task
     # puts every row in the same bucket again) and it spreads exact duplicate
     # rows (a station that did not report for an hour) over input partitions.
     row_hash = F.xxhash64(*[F.col(c) for c in df.columns], F.spark_partition_id())
+    df = df.withColumn("_row_hash", row_hash)
     if split_buckets == "auto":
-        hot, default = hot_key_buckets(df, key, rows_per_group)
-        n = F.lit(default).cast("bigint")
-        if hot:
-            # at most MAX_HOT_KEYS rows (bounded above): safe to broadcast
-            key_type = df.schema[key].dataType
-            table = df.sparkSession.createDataFrame(
-                list(hot.items()),
-                T.StructType([T.StructField(key, key_type), T.StructField("_n_buckets", T.LongType())]))
-            df = df.join(F.broadcast(table), on=key, how="left")
-            n = F.coalesce(F.col("_n_buckets"), n)
+        df = _with_buckets(df, key, rows_per_group)
     else:
-        n = F.lit(int(split_buckets))
-    out = (df.withColumn("_bucket", F.pmod(row_hash, n)).drop("_n_buckets")
-           .groupBy(key, "_bucket").applyInPandas(fn, schema))
-    return combine(out) if combine else out
+        df = df.withColumn("_n_buckets", F.lit(int(split_buckets)))
+    return combine(df.withColumn("_bucket", F.pmod("_row_hash", "_n_buckets")).drop("_n_buckets", "_row_hash")
+                   .groupBy(key, "_bucket").applyInPandas(fn, schema))
 
 
 def fan_out(df: DataFrame, call: Callable[[list], list], key: str = "station_id",
-            result_type: str = "string") -> DataFrame:
+            result_type: str = "string", parallelism: int | None = None) -> DataFrame:
     """G3 as in the reference: one call per distinct key with only the key.
 
     ``call(keys) -> results`` gets a batch of keys at a time (inside the
-    tasks, never on the driver) and returns one result per key.
+    tasks, never on the driver) and returns one result per key.  The keys are
+    dealt to ``parallelism`` tasks (default: the cluster's).  Calls happen at
+    least once: a retried task and every action on the result repeat them, so
+    a call must be safe to repeat (the key identifies it).
     """
     schema = f"{key} string, result {result_type}"
     ship_package(df.sparkSession)
@@ -210,4 +191,5 @@ def fan_out(df: DataFrame, call: Callable[[list], list], key: str = "station_id"
             keys = pdf[key].tolist()
             yield pd.DataFrame({key: keys, "result": call(keys)})
 
-    return distinct_keys(df, key).select(F.col(key).cast("string")).mapInPandas(run, schema)
+    tasks = parallelism or df.sparkSession.sparkContext.defaultParallelism
+    return distinct_keys(df, key).select(F.col(key).cast("string")).repartition(tasks, key).mapInPandas(run, schema)

@@ -97,4 +97,9 @@ def publish_staged(spark, staging: str, root: str) -> int:
     fs.move_many(nested)
     for d in nested_dirs:
         fs.delete(d)
+    # Nothing may be deleted or recorded before every staged file stands in the table.
+    there = set(files_under(spark, [f"{root}/{h}" for h in staged]))
+    lost = [f"{root}/{h}/{n}" for h, names in staged.items() for n in names if f"{root}/{h}/{n}" not in there]
+    if lost:
+        raise OSError(f"{len(lost)} staged files are not in the table, among them {lost[0]}")
     return sum(len(v) for v in staged.values())

@@ -63,6 +63,8 @@ def checkpoint_root(spark: SparkSession) -> str:
     if not root:
         root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         root = tempfile.mkdtemp(prefix="stationlake-ckpt-")
         spark.sparkContext.setCheckpointDir(root)
         spark.conf.set("spark.checkpoint.dir", root)
@@ -98,6 +100,7 @@ def ship_package(spark: SparkSession) -> None:
     jvm = spark.sparkContext._jvm
     fs._fs.copyFromLocalFile(False, True, jvm.org.apache.hadoop.fs.Path(archive), fs._p(target))
     spark.sparkContext.addPyFile(target)
+    shutil.rmtree(tmp)
     _SHIPPED.add(app)
 
 

@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from stationlake.functions.casts import strict_cast
 from stationlake.schemas import FEED_SCHEMA, INFO_SCHEMA, STATUS_SCHEMA
 
 
@@ -33,26 +34,26 @@ def read_feed(spark: SparkSession, path, multi_line: bool = False) -> DataFrame:
     return reader.json(path)
 
 
-def _present_keys(stations: Column) -> Column:
-    return F.array_distinct(F.flatten(F.transform(stations, lambda s: F.map_keys(s))))
+def missing_keys_column(stations: Column, required: Sequence[str]) -> Column:
+    """Required keys that no station of the document carries (all, if it has
+    no stations).  The search for a key ends at the first station with it."""
+    has = lambda k: F.coalesce(F.exists(stations, _has(k)), F.lit(False))
+    return F.filter(F.array(*[F.when(~has(k), F.lit(k)) for k in required]), lambda k: k.isNotNull())
 
 
-def missing_keys_column(stations: Column, required: Sequence[str]) -> Column:
-    """Required keys that no station of the document carries."""
-    want = F.array(*[F.lit(k) for k in required])
-    return F.array_except(want, F.coalesce(_present_keys(stations), F.array().cast("array<string>")))
+def _has(key: str):
+    return lambda s: F.map_contains_key(s, key)
 
 
 def _guard(stations: Column, required: Sequence[str]) -> Column:
-    missing = missing_keys_column(stations, required)
+    complete = F.lit(True)
+    for k in required:
+        complete = complete & F.exists(stations, _has(k))
     return (
         F.when(stations.isNull(), F.raise_error(F.lit("feed document without data.stations")))
-        .when(
-            (F.size(stations) > 0) & (F.size(missing) > 0),
-            F.raise_error(F.concat(F.lit("required keys absent from every station: "),
-                                   F.array_join(missing, ", "))),
-        )
-        .otherwise(F.lit(True))
+        .when(complete, F.lit(True))
+        .otherwise(F.raise_error(F.concat(F.lit("required keys absent from every station: "),
+                                          F.array_join(missing_keys_column(stations, required), ", "))))
     )
 
 
@@ -60,17 +61,18 @@ def explode_stations(docs: DataFrame, schema: T.StructType,
                      doc_cols: Sequence[str] = (), check_required: bool = True) -> DataFrame:
     """P1 + P2: one row per station, the keys of ``schema`` in order.
 
-    Values are cast from text with ANSI casts, so a non-numeric count raises.
+    Values are cast from text by ``strict_cast``: a non-numeric count raises,
+    true/false and whole floats become integers where the schema has those.
     Keys outside ``schema`` (including nested objects) are dropped.
     ``doc_cols`` are document-level columns stamped on every row (P3).
-    An empty ``stations`` list yields no rows.
+    An empty ``stations`` list lacks every required key and so raises.
     """
     stations = F.col("data.stations")
     if check_required:
         docs = docs.where(_guard(stations, [f.name for f in schema.fields]))
     keep = [F.col(c) for c in doc_cols]
     rows = docs.select(*keep, F.explode(stations).alias("_s"))
-    typed = [F.col("_s")[f.name].cast(f.dataType).alias(f.name) for f in schema.fields]
+    typed = [strict_cast(F.col("_s")[f.name], f.dataType).alias(f.name) for f in schema.fields]
     return rows.select(*typed, *[F.col(c) for c in doc_cols])
 
 
@@ -88,8 +90,8 @@ def info_rows(docs: DataFrame, check_required: bool = True) -> DataFrame:
 
 
 def missing_keys(docs: DataFrame, required: Sequence[str]) -> DataFrame:
-    """P2 as a report: ``(last_updated, missing_key)`` for each non-empty
-    document and each required key that none of its stations carries."""
+    """P2 as a report: ``(last_updated, missing_key)`` for each document with
+    a station list and each required key that none of its stations carries."""
     stations = F.col("data.stations")
-    return (docs.where(F.size(stations) > 0)
+    return (docs.where(stations.isNotNull())
             .select("last_updated", F.explode(missing_keys_column(stations, required)).alias("missing_key")))

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from stationlake.functions.casts import strict_cast
 from stationlake.functions.time import as_of_column, epoch_seconds, parse_ts, partition_key
 from stationlake.schemas import HISTORY_KEEP, HISTORY_RENAMES
 
@@ -52,7 +53,7 @@ def normalize_history(raw: DataFrame, cutoff=None) -> DataFrame:
     df = raw.withColumnsRenamed(HISTORY_RENAMES)
     df = df.select(
         parse_ts("execution_time").alias("execution_time"),
-        *[F.col(c).cast(t).alias(c) for c, t in HISTORY_TYPES.items()],
+        *[strict_cast(F.col(c), t).alias(c) for c, t in HISTORY_TYPES.items()],
         epoch_seconds(parse_ts("last_reported")).alias("last_reported"),
     )
     df = df.select("execution_time", *HISTORY_KEEP)

@@ -13,7 +13,6 @@ and records the batch id; a batch replayed after a failure finds the record
 
 from __future__ import annotations
 
-import hashlib
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -84,30 +83,37 @@ def status_stream(spark: SparkSession, landing: str, multi_line: bool = False,
     return ingest_rows(docs, partition_time)
 
 
-# Commit records kept per stream (older ones are removed).
-KEEP_RECORDS = 100
+def _query_id(spark: SparkSession) -> str:
+    """The id of the streaming query whose batch is being written.  It lives
+    in the checkpoint: a fresh checkpoint is another query, and a respelled
+    checkpoint path is the same one."""
+    return spark.sparkContext.getLocalProperty("sql.streaming.queryId")
 
 
 class HourlyBatchSink:
-    """``foreachBatch`` writer with a per-batch commit record."""
+    """``foreachBatch`` writer with a per-batch commit record.
 
-    def __init__(self, root: str, tag: str, ts_col: str = "ingest_time", columns=STATUS_KEYS,
-                 prepare=None, bad_records_dir: str | None = None, keep_records: int = KEEP_RECORDS):
+    Records are named by query id and batch number (``tag`` replaces the
+    id where batches are written by hand) and are kept.
+    """
+
+    def __init__(self, root: str, tag: str | None = None, ts_col: str = "ingest_time", columns=STATUS_KEYS,
+                 prepare=None, bad_records_dir: str | None = None):
         self.root = root.rstrip("/")
         self.tag = tag
         self.ts_col = ts_col
         self.columns = tuple(columns)
         self.prepare = prepare                # batch -> rows to write (None: as given)
         self.bad_records_dir = bad_records_dir  # where unparseable documents go
-        self.keep_records = keep_records
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         fs = HadoopFS(batch.sparkSession, self.root)
-        done = f"{self.root}/_ingest_log/{self.tag}/{batch_id}"
+        tag = self.tag or _query_id(batch.sparkSession)
+        done = f"{self.root}/_ingest_log/{tag}/{batch_id}"
         if fs.exists(done):
             return
-        staging = f"{self.root}/_staging/ingest-{self.tag}-{batch_id}"
-        staged = f"{self.root}/_ingest_log/{self.tag}/{batch_id}.staged"
+        staging = f"{self.root}/_staging/ingest-{tag}-{batch_id}"
+        staged = f"{self.root}/_ingest_log/{tag}/{batch_id}.staged"
         if not fs.exists(staged):
             fs.delete(staging)
             rows = batch
@@ -129,11 +135,6 @@ class HourlyBatchSink:
         fs.write_text(done, "")
         fs.delete(staging)
         fs.delete(staged, recursive=False)
-        # Spark replays at most the batch after its last committed one, so
-        # old commit records can go (a 2-minute stream adds 720 a day).
-        old = batch_id - self.keep_records
-        if old >= 0:
-            fs.delete(f"{self.root}/_ingest_log/{self.tag}/{old}", recursive=False)
 
 
 def start_ingest(spark: SparkSession, landing: str, table_root: str, checkpoint: str,
@@ -149,8 +150,7 @@ def start_ingest(spark: SparkSession, landing: str, table_root: str, checkpoint:
     whose stations all lack a required key still stops it (P2)."""
     docs = feed_stream(spark, landing, multi_line, max_files_per_trigger, archive_dir,
                        divert_bad=bool(bad_records_dir))
-    tag = hashlib.sha1(checkpoint.encode("utf-8")).hexdigest()[:12]
-    sink = HourlyBatchSink(table_root, tag, prepare=lambda d: ingest_rows(d, partition_time),
+    sink = HourlyBatchSink(table_root, prepare=lambda d: ingest_rows(d, partition_time),
                            bad_records_dir=bad_records_dir)
     w = (docs.writeStream.foreachBatch(sink)
          .option("checkpointLocation", checkpoint))

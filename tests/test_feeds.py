@@ -58,7 +58,8 @@ def test_missing_keys_report(spark, tmp):
     write_text(f"{tmp}/feed/a.json", "\n".join([
         json.dumps(doc([a], 1)), json.dumps(doc([FULL], 2)), json.dumps(doc([], 3))]))
     got = missing_keys(read_feed(spark, f"{tmp}/feed"), STATUS_KEYS).collect()
-    assert [(r.last_updated, r.missing_key) for r in got] == [(1, "is_renting")]
+    # a document without stations lacks every key
+    assert sorted((r.last_updated, r.missing_key) for r in got) == [(1, "is_renting"), *sorted((3, k) for k in STATUS_KEYS)]
 
 
 def test_extra_and_nested_keys_dropped(spark, tmp):
@@ -68,9 +69,25 @@ def test_extra_and_nested_keys_dropped(spark, tmp):
     assert df.count() == 1
 
 
-def test_empty_station_list_gives_no_rows(spark, tmp):
+def test_empty_station_list_raises(spark, tmp):
     write_text(f"{tmp}/feed/a.json", json.dumps(doc([])))
-    assert status_rows(read_feed(spark, f"{tmp}/feed")).count() == 0
+    with pytest.raises(ERRORS, match="required keys absent"):
+        status_rows(read_feed(spark, f"{tmp}/feed")).collect()
+
+
+def test_flags_and_whole_floats_are_integers_and_text_raises(spark, tmp):
+    write_text(f"{tmp}/feed/a.json", json.dumps(doc([{**FULL, "is_renting": True, "is_returning": False, "num_bikes_available": 3.0}])))
+    r = status_rows(read_feed(spark, f"{tmp}/feed")).first()
+    assert (r.is_renting, r.is_returning, r.num_bikes_available) == (1, 0, 3)
+    for k, bad in enumerate(("x", 3.5, "")):
+        write_text(f"{tmp}/bad{k}/a.json", json.dumps(doc([{**FULL, "num_bikes_available": bad}])))
+        for ansi in ("true", "false"):
+            spark.conf.set("spark.sql.ansi.enabled", ansi)
+            try:
+                with pytest.raises(ERRORS, match="not a value of type"):
+                    status_rows(read_feed(spark, f"{tmp}/bad{k}")).collect()
+            finally:
+                spark.conf.set("spark.sql.ansi.enabled", "true")
 
 
 def test_truncated_document_raises(spark, tmp):

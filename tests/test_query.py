@@ -6,6 +6,7 @@ import datetime as dt
 from typing import Any, Iterator, Tuple
 
 import pandas as pd
+import pytest
 from conftest import plan_text
 from pyspark.sql import functions as F
 
@@ -131,28 +132,37 @@ def test_read_recent_lists_only_window_days(spark, tmp):
 
 
 def test_per_station_apply_auto_splits_only_hot_stations(spark, tmp):
-    from stationlake.operators.query import hot_key_buckets
     t = _table(spark, f"{tmp}/t")
     hot = t
     for _ in range(5):  # station 31 gets 32 identical rows, the others 1 each
         hot = hot.union(hot.where("station_id = '31'"))
-    assert hot_key_buckets(hot, "station_id", 10) == ({"31": 4}, 1)
-    # more hot keys than listed: the rest get the first unlisted key's count
-    two = hot.union(hot.where("station_id = '31'").withColumn("station_id", F.lit("32")))
-    two = two.union(two.where("station_id = '32'"))  # 32 has 64 rows, 31 has 32
-    assert hot_key_buckets(two, "station_id", 10, max_hot=1) == ({"32": 7}, 4)
+    hot = hot.unionByName(hot.where("station_id = '31'").withColumn("station_id", F.lit(None).cast("string")))  # and 32 have none
 
     def groups(key: Tuple[Any, ...], batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         n = sum(len(b) for b in batches)
         yield pd.DataFrame({"station_id": [key[0]], "bucket": [int(key[1])], "n": [n]})
 
     parts = per_station_apply(hot, groups, "station_id string, bucket long, n long",
-                              split_buckets="auto", rows_per_group=10).collect()
+                              split_buckets="auto", rows_per_group=10, combine=lambda d: d).collect()
     by = {}
     for r in parts:
         by.setdefault(r.station_id, []).append(r.n)
     assert len(by["31"]) > 1 and sum(by["31"]) == 32 and max(by["31"]) < 32
-    assert all(len(v) == 1 for k, v in by.items() if k != "31")
+    assert len(by[None]) > 1 and sum(by[None]) == 32
+    assert all(len(v) == 1 for k, v in by.items() if k not in ("31", None))
+    with pytest.raises(ValueError, match="combine"):
+        per_station_apply(hot, groups, "station_id string, bucket long, n long", split_buckets="auto")
+
+
+def _task(keys: list) -> list:
+    from pyspark import TaskContext
+    return [str(TaskContext.get().partitionId())] * len(keys)
+
+
+def test_fan_out_calls_run_in_several_tasks(spark):
+    df = spark.range(200).select(F.col("id").cast("string").alias("station_id"))
+    out = fan_out(df.union(df), _task, parallelism=4).collect()
+    assert len(out) == 200 and len({r.result for r in out}) == 4
 
 
 def test_cache_publish_recovers_after_crash_between_renames(spark, tmp):

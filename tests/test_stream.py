@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 
+import pytest
 from conftest import SF_SMALL, write_text
 
 from stationlake.fs import HadoopFS
@@ -123,7 +124,6 @@ def glob_nested(root):
 
 def test_bad_documents_diverted_or_fatal(spark, tmp):
     import glob
-    import pytest
     from pyspark.errors import PySparkException
     from py4j.protocol import Py4JJavaError
     land, root, bad = f"{tmp}/landing", f"{tmp}/table", f"{tmp}/bad"
@@ -180,13 +180,67 @@ def test_replay_after_crash_inside_publish(spark, tmp):
     assert read_table(spark, root).count() == n
 
 
-def test_old_commit_records_are_removed(spark, tmp):
-    import glob
+def test_failed_rename_loses_nothing(spark, tmp):
     land, root = f"{tmp}/landing", f"{tmp}/table"
-    write_text(f"{land}/a.json", _doc(1564685000, "72", 3) + "\n")
+    status_documents(spark.read.parquet(f"{SF_SMALL}/events.parquet")).write.text(land)
     static = status_rows(read_feed(spark, land)).withColumn("ingest_time", from_epoch_seconds("last_updated"))
-    sink = HourlyBatchSink(root, "t4", keep_records=2)
-    for b in range(5):
-        sink(static, b)
-    assert sorted(int(p.rsplit("/", 1)[1]) for p in glob.glob(f"{root}/_ingest_log/t4/*")) == [3, 4]
-    assert read_table(spark, root).count() == 5
+    n = static.count()
+    sink = HourlyBatchSink(root, "t5")
+    real = HadoopFS.rename
+
+    def one_fails(self, src, dst):
+        if "hour=07" in src:
+            raise OSError("rename failed")
+        real(self, src, dst)
+
+    HadoopFS.rename = one_fails
+    try:
+        with pytest.raises(OSError):
+            sink(static, 0)
+    finally:
+        HadoopFS.rename = real
+    sink(static, 0)
+    assert read_table(spark, root).count() == n
+
+
+class _Refuses:
+    """A file system whose renames do nothing and say so."""
+
+    def __init__(self, fs):
+        self._fs = fs
+
+    def rename(self, *paths):
+        return False
+
+    def __getattr__(self, name):
+        return getattr(self._fs, name)
+
+
+def test_rename_that_returns_false_raises(spark, tmp):
+    write_text(f"{tmp}/a/x.txt", "1")
+    fs = HadoopFS(spark, tmp)
+    real, fs._fs = fs._fs, _Refuses(fs._fs)
+    with pytest.raises(OSError, match="rename failed"):
+        fs.rename(f"{tmp}/a/x.txt", f"{tmp}/a/y.txt")
+    with pytest.raises(OSError, match="rename failed"):
+        fs.rename_many([(f"{tmp}/a/x.txt", f"{tmp}/a/y.txt")])
+    fs._fs = real
+    fs.rename(f"{tmp}/a/x.txt", f"{tmp}/a/y.txt")
+    fs.rename(f"{tmp}/a/y.txt", f"{tmp}/a/z.txt")
+    assert fs.exists(f"{tmp}/a/z.txt")
+
+
+def test_fresh_checkpoint_and_respelled_path(spark, tmp):
+    """A new checkpoint at the same path is a new stream: its batch 0 is
+    written although another batch 0 was; the same checkpoint under another
+    spelling replays nothing."""
+    import os
+    root = f"{tmp}/table"
+    write_text(f"{tmp}/land1/a.json", _doc(1564685000, "72", 3) + "\n")
+    write_text(f"{tmp}/land2/b.json", _doc(1564685000, "73", 4) + "\n")
+    run_available(spark, f"{tmp}/land1", root, f"{tmp}/ckpt")
+    run_available(spark, f"{tmp}/land1", root, f"file:{tmp}/ckpt/")
+    assert read_table(spark, root).count() == 1
+    os.rename(f"{tmp}/ckpt", f"{tmp}/old-ckpt")
+    run_available(spark, f"{tmp}/land2", root, f"{tmp}/ckpt")
+    assert {r.station_id for r in read_table(spark, root).collect()} == {"72", "73"}
