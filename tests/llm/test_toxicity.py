@@ -34,8 +34,10 @@ def sample():
 
 def test_words_of_toxic_texts_decide():
     model = toxicity.fit(*sample())
-    got = toxicity.score_texts(model, pa.array(["a vile blockhead came", "the river flows past a new house", None, "", "x " * 500_000], pa.string()))
-    assert got[0] > 0.7 and max(got[1:]) < 0.3 and got[2] == got[3]
+    got = toxicity.score_texts(model, pa.array(
+        ["the calm lake number71 flows past house82 and mill you vile blockhead", "the calm lake number71 flows past house82 and mill",
+         None, "", "x " * 500_000, "a vile blockhead came"], pa.string()))
+    assert got[0] > 0.7 and max(got[1:5]) < 0.3 and got[2] == got[3] and got[5] > got[1]
     assert len(toxicity.score_texts(model, pa.array([], pa.string()))) == 0
 
 
