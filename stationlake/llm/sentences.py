@@ -4,9 +4,11 @@ A text is cut into sentences (at line ends and after words that end in a
 full stop, an exclamation or a question mark); a sentence of more than
 ``LONG`` words is cut further after commas and after words whose hash says
 so, which depends on the words alone, and what is still over twice as long
-every ``LONG`` words.  From every sentence starts a span: the
-shortest run of at least two consecutive sentences with at least
-``SPAN_WORDS`` words.  Spans are hashed and joined over all documents; every
+every ``LONG`` words.  At every sentence a span starts and one ends: the
+shortest runs of at least two consecutive sentences with at least
+``SPAN_WORDS`` words; so a repeated run of that size is covered from its
+first to its last sentence.  A whole text of several sentences with fewer
+words is one span.  Spans are hashed and joined over all documents; every
 sentence that a repeated span covers goes, except in the span's first
 occurrence.
 """
@@ -92,15 +94,21 @@ def sentences(texts: pa.Array, long: int = LONG, cut_every: int = CUT_EVERY) ->
 
 def spans(text: np.ndarray, words: np.ndarray, value: np.ndarray, least: int = SPAN_SENTENCES,
           least_words: int = SPAN_WORDS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(first sentence, end sentence, hash) of the span from every sentence
-    that has one."""
+    """(first sentence, end sentence, hash) of the shortest spans that start or
+    end at a sentence, and of whole texts too short for these; each once."""
     n = len(text)
     total = np.concatenate(([0], np.cumsum(words)))
     start = np.arange(n)
+    first, last = np.searchsorted(text, text), np.searchsorted(text, text, side="right")
     until = np.maximum(np.searchsorted(total, total[:-1] + least_words, side="left"), start + least)
-    text_until = np.searchsorted(text, text, side="right")
-    has = until <= text_until
-    start, until = start[has], until[has]
+    ahead = until <= last
+    end = start + 1
+    begin = np.minimum(np.searchsorted(total, total[1:] - least_words, side="right") - 1, end - least)
+    back = begin >= first
+    whole = (start == first) & (last - first >= least) & (total[last] - total[first] < least_words)
+    pair = np.unique(np.concatenate((start[ahead] * (n + 1) + until[ahead], begin[back] * (n + 1) + end[back],
+                                     start[whole] * (n + 1) + last[whole])))
+    start, until = np.divmod(pair, n + 1)
     prefix = np.concatenate((np.zeros(1, np.uint64), np.cumsum(value * _powers(_FACTOR, n))))
     h = mix((prefix[until] - prefix[start]) * _powers(_INVERSE, n)[start] + (until - start).astype(np.uint64))
     return start, until, h
@@ -113,8 +121,8 @@ def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             text, first, words, value = sentences(texts.slice(lo, hi - lo))
             start, until, h = spans(text, words, value)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(h.view(np.int64)), pa.array(rows[lo + text[start]]), pa.array(first[start]),
-                 pa.array(first[until - 1] + words[until - 1])], ["hash", "row", "first", "until"])
+                [pa.array(h.view(np.int64)), pa.array(rows[lo + text[start]]), pa.array(first[start].astype(np.int32)),
+                 pa.array((first[until - 1] + words[until - 1]).astype(np.int32))], ["hash", "row", "first", "until"])
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -158,7 +166,7 @@ def dedup_spans(ws: Workspace, docs: DataFrame) -> DataFrame:
     named removed, row or ranges are replaced.
     """
     docs = numbered(ws, docs.drop("removed", "row", "ranges"))
-    runs = ws.table(docs.select("row", "text").mapInArrow(_runs, "hash long, row long, first long, until long")
+    runs = ws.table(docs.select("row", "text").mapInArrow(_runs, "hash long, row long, first int, until int")
                     .withColumn("run", F.monotonically_increasing_id()), "runs")
     # Aggregated before the shuffle; what is joined back is only what repeats.
     repeated = ws.table(runs.groupBy("hash").agg(F.min("run").alias("kept"), F.count("*").alias("n"))

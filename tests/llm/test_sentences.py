@@ -60,5 +60,22 @@ def test_query_leaves_no_long_passage_twice(spark):
     assert all(r.text == before[k] for k, r in after.items() if not r.n_removed)
 
 
+def sentence(n, name):
+    return " ".join(f"{name}{i}" for i in range(n)) + "."
+
+
+def test_last_sentences_of_a_repeated_run_go(ws, make_docs):
+    """A run of 12, 9, 9 and 3 words, and short whole texts of several sentences."""
+    run = " ".join(sentence(n, c) for n, c in ((12, "a"), (9, "b"), (9, "c"), (3, "d")))
+    rows = [(1, f"Own one here.\n{run}\nAnd this ends it."), (2, f"Other two there.\n{run}\nSomething else follows."), (3, run), (4, run),
+            (5, "All rights reserved. Do not copy."), (6, "All rights reserved. Do not copy."), (7, "All rights reserved. Ask first.")]
+    got = {r.doc_id: r.text.split() for r in se.dedup_spans(ws, make_docs(rows, parts=1)).collect()}
+    assert sum("a0 a1" in " ".join(got[k]) for k in (1, 2, 3, 4)) == 1
+    assert sum("d0 d1 d2." in " ".join(got[k]) for k in (1, 2, 3, 4)) == 1
+    assert sum(not got[k] for k in (5, 6)) == 1 and " ".join(got[7]) == rows[6][1]
+    assert [" ".join(w for w in got[k] if w[0] not in "abcd" or not w.rstrip(".")[1:].isdigit()) for k in (1, 2)] == [
+        "Own one here. And this ends it.", "Other two there. Something else follows."]
+
+
 def test_empty_table(ws, make_docs):
     assert se.dedup_spans(ws, make_docs([])).collect() == []
