@@ -3,19 +3,23 @@ and one of ordinary text, and the lengths that windows of a text compress
 to under each.
 
 A window is one word, written several times between spaces so that it
-exceeds zstandard's least block; every word of a text is a window.  The
+exceeds zstandard's least block; every word of a text is a window.  Words
+end at Unicode white space and joining punctuation.  A longer run is cut into
+overlapping windows of ``WORD_BYTES`` that cover all of it, scripts without
+spaces into overlapping windows of a few characters.  The
 dictionaries are trained by choosing the windows that mark their class:
 for the toxic one those that occur in far more toxic documents than chance
 would have, for the ordinary one the frequent windows of ordinary
 documents.  Whether a window is toxic is read from its pair of compressed
 lengths (and its own), by log-likelihood ratios that training windows
-calibrate; a text's score is a logistic regression on its highest ratios.
+calibrate (windows of runs by the training texts written without spaces); a text's score is a logistic regression on its highest ratios.
 
 Only texts enter a score.
 """
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -41,33 +45,76 @@ LEVEL, REPEATS = 9, 4
 LEAST_DOCS, LEAST_DEVIATIONS = 4, 5.0
 #: Words that a worker remembers.
 CACHE_WORDS = 500_000
-#: A longer word is represented by its first and last bytes.
-WORD_BYTES = 64
+#: A longer word is cut into windows of at most so many bytes, each half over the one before.
+WORD_BYTES = 32
 
 _TRIM = ".,!?;:*#&$%|\"'()[]{}-_"
-_LENGTHS, _SIZES = 48, 16  # caps of a cell's compressed lengths and of its word length
+_LENGTHS, _SIZES = 48, 17  # caps of a cell's compressed lengths; word lengths 0-14, 15-24, and windows of runs
+_RUN_SIZE = 24  # longer windows are those of runs
+# What joins words, and scripts written without spaces (characters of a window of each).
+_JOIN = re.compile("[\\s\u200b\u2060\ufeff/\\\\_.|,;:+=~<>\u00b7\u2010-\u2015\u2026\u3001\u3002\u30fb\uff01\uff0c\uff0e\uff0f\uff1a\uff1b\uff1f-]+")
+_PLAIN = re.compile(rb"[^\x00-\x20\x7f-\xff/\\_.|,;:+=~<>-]{1,%d}" % _RUN_SIZE)
+_HAN, _THAI = "\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\U00020000-\U0003ffff", "\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff"
+_SCRIPTS = re.compile(f"([{_HAN}]+)|([{_THAI}]+)|[^{_HAN}{_THAI}]+")
+_HAN_CHARS, _THAI_CHARS = 2, 4
 FEATURES = 8
 
 
+def _covered(run: str) -> list[str]:
+    """Overlapping windows of at most WORD_BYTES that cover a long run."""
+    if len(run.encode()) <= _RUN_SIZE:
+        return [run]
+    width = WORD_BYTES // max(len(c.encode()) for c in set(run))
+    return [run[k:k + width] for k in range(0, max(1, len(run) - width // 2), width // 2)]
+
+
+def _split(word: str) -> list[bytes]:
+    """The windows of what stands between white space."""
+    out: list[str] = []
+    for piece in _JOIN.split(word):
+        for m in _SCRIPTS.finditer(piece.strip(_TRIM)):
+            run = m.group()
+            if m.lastindex:
+                n = (_HAN_CHARS, _THAI_CHARS)[m.lastindex - 1]
+                out.extend(run[k:k + n] for k in range(max(1, len(run) - n + 1)))
+            else:
+                out.extend(_covered(run))
+    return [w.encode() for w in out]
+
+
 def _words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
     """(document, window) of the distinct windows of each text, and the windows."""
     texts = pc.utf8_lower(pc.fill_null(texts.cast(pa.large_string()), ""))
     lists = pc.ascii_split_whitespace(texts)
     coded = pc.utf8_trim(lists.flatten(), characters=_TRIM).dictionary_encode()
-    windows = coded.dictionary.cast(pa.large_binary()).to_pylist()
+    words = coded.dictionary.cast(pa.large_binary()).to_pylist()
     sizes = np.diff(lists.offsets.to_numpy())
-    pair = np.unique(np.repeat(np.arange(len(texts), dtype=np.int64), sizes) * (len(windows) + 1)
+    pair = np.unique(np.repeat(np.arange(len(texts), dtype=np.int64), sizes) * (len(words) + 1)
                      + coded.indices.to_numpy(zero_copy_only=False))
-    doc, word = np.divmod(pair, len(windows) + 1)
-    if b"" in windows:
-        keep = word != windows.index(b"")
-        doc, word = doc[keep], word[keep]
-    return doc, word, windows
+    doc, word = np.divmod(pair, len(words) + 1)
+    number: dict[bytes, int] = {}
+    own = [np.array([number.setdefault(x, len(number)) for x in ((w,) if _PLAIN.fullmatch(w) else _split(w.decode()))], np.int32)
+           for w in words]
+    n_own = np.fromiter(map(len, own), np.int64, len(own))
+    first, flat = np.cumsum(n_own) - n_own, np.concatenate([np.zeros(0, np.int32), *own]).astype(np.int64)
+    many = n_own[word]
+    place = np.repeat(first[word] - (np.cumsum(many) - many), many) + np.arange(many.sum())
+    pair = np.unique(np.repeat(doc, many) * (len(number) + 1) + flat[place])
+    doc, word = np.divmod(pair, len(number) + 1)
+    return doc, word, list(number)
+
+
+def _runs(texts: list[str | None], y: np.ndarray, windows: _Windows, n_cells: int) -> list[np.ndarray]:
+    """How often each cell is seen in toxic and in ordinary texts written without spaces."""
+    seen = [np.zeros(n_cells, np.int64), np.zeros(n_cells, np.int64)]
+    for text, label in zip(texts, y):
+        parts = sorted({w.encode() for w in _covered("".join(c for c in (text or "").lower() if c.isalnum())) if w})
+        cell = windows.cells(parts)
+        seen[0 if label else 1] += np.bincount(cell[cell % _SIZES == _SIZES - 1], minlength=n_cells)
+    return seen
 
 
 def _unit(word: bytes) -> bytes:
-    if len(word) > WORD_BYTES:
-        word = word[:WORD_BYTES // 2] + word[-WORD_BYTES // 2:]
     return (b" " + word) * REPEATS + b" "
 
 
@@ -111,7 +158,7 @@ class _Windows:
             if w not in cache:
                 u = _unit(w)
                 a, b = min(len(self._ordinary(u)), _LENGTHS - 1), min(len(self._toxic(u)), _LENGTHS - 1)
-                cache[w] = (a * _LENGTHS + b) * _SIZES + min(len(w), _SIZES - 1)
+                cache[w] = (a * _LENGTHS + b) * _SIZES + (min(len(w), _SIZES - 2) if len(w) <= _RUN_SIZE else _SIZES - 1)
         return np.fromiter(map(cache.__getitem__, windows), np.int64, len(windows))
 
 
@@ -170,12 +217,18 @@ def fit(texts: list[str | None], labels: list[int]) -> Model:
     usual = usual[np.argsort(ordinary[usual], kind="stable")]
     # zstandard reaches the end of a dictionary most cheaply: the strongest windows stand last.
     content = [b"".join(b" " + windows[i] for i in c)[-size:] for c, size in ((chosen, TOXIC_BYTES), (usual, ORDINARY_BYTES))]
-    cell = _Windows(*content).cells(windows)[word]
+    coder = _Windows(*content)
+    cell = coder.cells(windows)[word]
     n_cells = _LENGTHS * _LENGTHS * _SIZES
-    seen = [np.bincount(cell[y[doc] == k], minlength=n_cells) for k in (1, 0)]
-    prior = seen[0].sum() / max(1, len(cell))
-    total = seen[0] + seen[1] + 5
-    ratio = (np.log((seen[0] + 5 * prior) / total / prior) - np.log((seen[1] + 5 * (1 - prior)) / total / (1 - prior)))
+
+    def ratios(seen: list[np.ndarray]) -> np.ndarray:
+        total = seen[0] + seen[1] + 5
+        prior = min(max(seen[0].sum() / max(1, seen[0].sum() + seen[1].sum()), 1e-9), 1 - 1e-9)
+        return (np.log((seen[0] + 5 * prior) / total / prior) - np.log((seen[1] + 5 * (1 - prior)) / total / (1 - prior)))
+
+    run = np.arange(n_cells) % _SIZES == _SIZES - 1
+    ratio = np.where(run, ratios(_runs(texts, y, coder, n_cells)),
+                     ratios([np.bincount(cell[y[doc] == k], minlength=n_cells) * ~run for k in (1, 0)]))
     weights = _logistic(_features(doc, ratio[cell], len(y)), y)
     return Model(*content, ratio, weights, zlib.crc32(b"".join([*content, ratio.tobytes(), weights.tobytes()])))
 

@@ -41,6 +41,27 @@ def test_words_of_toxic_texts_decide():
     assert len(toxicity.score_texts(model, pa.array([], pa.string()))) == 0
 
 
+def test_toxic_words_inside_long_runs_count():
+    """Between other joints than ASCII spaces, and in the middle of one long run."""
+    model = toxicity.fit(*sample())
+    calm, vile = "the calm lake flows past field and mill and quiet house ".split() * 3, ["you", "vile", "blockhead"]
+    for joint in ("/", "_", ".", "\u00a0", "\u3000", "-", ""):
+        bad, good = joint.join(calm + vile + calm), joint.join(calm * 2)
+        assert len(bad.encode()) > 128
+        p = toxicity.score_texts(model, pa.array([bad, good], pa.string()))
+        assert p[0] > 0.5 > p[1] if joint else p[0] > p[1], (joint, p)
+
+
+def test_windows_cover_every_character():
+    for text in ("".join(f"{k}x" for k in range(1000, 1200)), *("".join(map(chr, range(at, at + n))) for at, n in (
+            (0x4e00, 300), (0x0e01, 40), (0x0430, 200), (0x10000, 60)))):
+        at = 0
+        for w in (w.decode() for w in toxicity._split(text)):
+            assert len(w.encode()) <= toxicity.WORD_BYTES and 0 <= text.find(w) <= at
+            at = max(at, text.find(w) + len(w))
+        assert at == len(text)
+
+
 def test_one_class_or_no_labels():
     for labels, want in (([0, 0], 0.1), ([1, 1], 0.9), ([], 0.1)):
         model = toxicity.fit(["a b c", "d e"][:len(labels)], labels)
