@@ -11,13 +11,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stationlake.llm import decontaminate, fingerprints, ngram_join, packing, pii, secret_scan, sentences, suffix_tree, token_shards, toxicity
+from stationlake.llm import decontaminate, fingerprints, lexical_search, ngram_join, oracles, packing, pii, secret_scan, sentences, suffix_tree, token_shards, toxicity
 from stationlake.llm import spans as S
 from stationlake.llm.common import Workspace, empty_if_null, fold, read_table
 from stationlake.llm.tokens import default_tokenizer
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op13_lexical_search": oracles.LEXICAL_SEARCH,
+}
 
 
 def query(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
@@ -131,3 +133,11 @@ def op10_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     digest = token_shards.payloads(spark, ws.root).select("shard", "offset", F.crc32("ids").alias("ids_crc32"))
     return places.join(digest, ["shard", "offset"]).select(
         "doc_id", "start", F.col("n_ids").alias("n_tokens"), "ids_crc32")
+
+
+@query
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 best documents of every benchmark item."""
+    ws = Workspace(spark, "op13")
+    index = lexical_search.build_index(ws, read_table(spark, sf_dir, "documents"))
+    return lexical_search.search(ws, index, read_table(spark, sf_dir, "benchmark").select("item_id", "text"))
