@@ -11,13 +11,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stationlake.llm import decontaminate, fingerprints, lexical_search, ngram_join, oracles, packing, pii, secret_scan, sentences, suffix_tree, token_shards, toxicity
+from stationlake.llm import decontaminate, fingerprints, hard_negatives, lexical_search, ngram_join, oracles, packing, pii, secret_scan, sentences, suffix_tree, token_shards, toxicity
 from stationlake.llm import spans as S
 from stationlake.llm.common import Workspace, empty_if_null, fold, read_table
 from stationlake.llm.tokens import default_tokenizer
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {
+    "op12_hard_negatives": oracles.HARD_NEGATIVES,
     "op13_lexical_search": oracles.LEXICAL_SEARCH,
 }
 
@@ -141,3 +142,13 @@ def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     ws = Workspace(spark, "op13")
     index = lexical_search.build_index(ws, read_table(spark, sf_dir, "documents"))
     return lexical_search.search(ws, index, read_table(spark, sf_dir, "benchmark").select("item_id", "text"))
+
+
+@query
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every hundredth embedding."""
+    own = F.col("vec_id")
+    rows = (read_table(spark, sf_dir, "embeddings").where("label is not null").where(hard_negatives.finite("embedding"))
+            .select(own.alias("id"), F.when(own % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label")).alias("label"),
+                    hard_negatives.quantized("embedding").alias("vector")))
+    return hard_negatives.mine_hard_negatives(Workspace(spark, "op12"), rows, F.col("id") % 100 == 0)
