@@ -64,3 +64,11 @@ def fold(doc_id: str | Column = "doc_id", folds: int = 3) -> Column:
     """crc32 of doc_id as text, modulo ``folds``; null ids fall into fold 0."""
     key = F.col(doc_id) if isinstance(doc_id, str) else doc_id
     return F.coalesce(F.crc32(key.cast("string").cast("binary")) % folds, F.lit(0))
+
+
+def unused(name: str, taken: list[str]) -> str:
+    """``name``, with underscores before it while a column of ``taken`` (in any case) has it."""
+    lower = {c.lower() for c in taken}
+    while name.lower() in lower:
+        name = f"_{name}"
+    return name

@@ -45,3 +45,34 @@ n AS (SELECT p.*, other_id AS negative_id, score AS negative_score,
       WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score)
 SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 10
 """
+
+_RULES = {"few_words": "n_words < 50", "repeats": "100 * n_repeat_words > 50 * n_words", "symbols": "10 * n_symbols > n_words",
+          "dup_lines": "10 * n_dup_lines > 3 * n_lines", "word_length": "word_chars < 2 * n_words OR word_chars > 12 * n_words"}
+
+QUALITY_RULES = r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, source, coalesce(text, '') AS text FROM documents),
+words AS (SELECT r, doc_id, source, text, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS words FROM d),
+word AS (SELECT r, unnest(words) AS w, generate_subscripts(words, 1) AS i FROM words),
+win AS (SELECT r, i, w AS a, lead(w) OVER q AS b, lead(w, 2) OVER q AS c FROM word WINDOW q AS (PARTITION BY r ORDER BY i)),
+again AS (SELECT r, i, count(*) OVER (PARTITION BY r, a, b, c) AS n FROM win WHERE c IS NOT NULL),
+covered AS (SELECT DISTINCT r, unnest([i, i + 1, i + 2]) AS i FROM again WHERE n > 1),
+reps AS (SELECT r, count(*) AS n_repeat_words FROM covered GROUP BY r),
+line AS (SELECT r, unnest(string_split(text, chr(10))) AS line FROM d),
+lines AS (SELECT r, count(*) AS n_lines, count(*) - count(DISTINCT line) AS n_dup_lines
+          FROM line WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY r),
+m AS (SELECT words.r, doc_id, source, CAST(len(words) AS BIGINT) AS n_words,
+             CAST(length(array_to_string(words, '')) AS BIGINT) AS word_chars,
+             CAST(length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+             coalesce(n_lines, 0) AS n_lines, coalesce(n_dup_lines, 0) AS n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words
+      FROM words LEFT JOIN reps USING (r) LEFT JOIN lines USING (r)),
+f AS (SELECT source, unnest([RULES]) AS failed, unnest([NAMES]) AS rule FROM m WHERE source IS NOT NULL),
+h AS (SELECT source, rule, CAST(count(*) AS DOUBLE) AS n, CAST(count(*) FILTER (failed) AS DOUBLE) AS k FROM f GROUP BY ALL),
+t AS (SELECT rule, count(*) AS hosts, sum(n) AS n, sum(k) / sum(n) AS mean, sum(n * n) AS n2, sum(k * k / n) AS q FROM h GROUP BY rule),
+p AS (SELECT rule, mean, CASE WHEN mean > 0 AND mean < 1 AND hosts > 1 AND n - n2 / n - (hosts - 1) > 0
+        THEN least(greatest(((q - n * mean * mean) / (mean * (1 - mean)) - (hosts - 1)) / (n - n2 / n - (hosts - 1)), 1e-6), 1 - 1e-6)
+        ELSE 0.01 END AS rho FROM t),
+bad AS (SELECT DISTINCT source FROM h JOIN p USING (rule) WHERE (k + mean * (1 / rho - 1)) / (n + (1 / rho - 1)) > 0.5),
+v AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM m)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND NOT coalesce(source IN (SELECT source FROM bad), false) AS kept FROM v
+""".replace("RULES", ", ".join(_RULES.values())).replace("NAMES", ", ".join(f"'{r}'" for r in _RULES))

@@ -11,13 +11,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stationlake.llm import decontaminate, fingerprints, hard_negatives, lexical_search, ngram_join, oracles, packing, pii, secret_scan, sentences, suffix_tree, token_shards, toxicity
+from stationlake.llm import decontaminate, fingerprints, hard_negatives, lexical_search, ngram_join, oracles, packing, pii, quality_rules, secret_scan, sentences, suffix_tree, token_shards, toxicity
 from stationlake.llm import spans as S
 from stationlake.llm.common import Workspace, empty_if_null, fold, read_table
 from stationlake.llm.tokens import default_tokenizer
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {
+    "op11_quality_rules": oracles.QUALITY_RULES,
     "op12_hard_negatives": oracles.HARD_NEGATIVES,
     "op13_lexical_search": oracles.LEXICAL_SEARCH,
 }
@@ -144,6 +145,13 @@ def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexical_search.search(ws, index, read_table(spark, sf_dir, "benchmark").select("item_id", "text"))
 
 
+@query
+def op11_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of all documents, their sources being the hosts."""
+    judged = quality_rules.judge(Workspace(spark, "op11"), read_table(spark, sf_dir, "documents"), F.col("source"), keep=["doc_id"])
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
 @query
 def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hard negatives of every hundredth embedding."""
