@@ -11,6 +11,7 @@ from __future__ import annotations
 import re
 from concurrent.futures import ThreadPoolExecutor
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 # Renames are metadata calls; a few threads hide their latency (object
@@ -155,6 +156,20 @@ class HadoopFS:
         finally:
             out.close()
 
+    def create_new(self, path: str, text: str) -> bool:
+        """Create a file that must not exist yet; False if it does."""
+        try:
+            out = self._fs.create(self._p(path), False)
+        except Py4JJavaError as e:
+            if "FileAlreadyExists" in e.java_exception.getClass().getName():
+                return False
+            raise
+        try:
+            out.write(bytearray(text.encode("utf-8")))
+        finally:
+            out.close()
+        return True
+
     def read_text(self, path: str) -> str:
         stream = self._fs.open(self._p(path))
         try:

@@ -11,7 +11,7 @@ import tempfile
 from pyspark import TaskContext
 from pyspark.sql import functions as F
 
-from stationlake.operators import maintenance as M
+from stationlake.operators import compaction as M
 from stationlake.operators.writer import write_hourly
 from stationlake.plans.derive import station_rows, write_small_files
 from stationlake.session import build_session
