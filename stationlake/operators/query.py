@@ -1,10 +1,9 @@
 """Trailing-window queries and what the fan-out does with them
-(S5, P8, F2, X3, X5-X8, G2, G3, Q1, K5).
+(S5, P8, F2, X3, X5-X8, G2, G3, Q1).
 """
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -12,7 +11,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stationlake.fs import HadoopFS
 from stationlake.session import ship_package
 from stationlake.functions.time import as_of_column, days_interval, from_epoch_seconds, partition_date
 
@@ -70,50 +68,6 @@ def recent_status_sql(spark: SparkSession, table: str, as_of, days: int = TRAILI
     return sql_frame(spark, RECENT_STATUS_SQL.format(table=table), {"as_of": stamp, "days": int(days)})
 
 
-# --------------------------------------------------------------------------- K5 / S6
-
-def publish_cache(df: DataFrame, path: str) -> None:
-    """K5: publish a result as the CSV cache, replacing the previous one.
-
-    The new version is written next to the old one and swapped in with two
-    folder renames, so readers never see a half-written cache.  The cache
-    is a folder of part files (no single-task ``coalesce(1)``).
-    """
-    spark = df.sparkSession
-    fs = HadoopFS(spark, path)
-    path = fs.qualify(path).rstrip("/")
-    recover_cache(spark, path)
-    tag = uuid.uuid4().hex[:12]
-    staged, old = f"{path}.__new-{tag}", f"{path}.__old-{tag}"
-    (df.write.mode("errorifexists").option("header", True)
-     .option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss").csv(staged))
-    if fs.exists(path):
-        fs.move(path, old)
-    fs.move(staged, path)
-    if fs.exists(old):
-        fs.delete(old)
-
-
-def recover_cache(spark: SparkSession, path: str) -> bool:
-    """Finish a publish that stopped between its two renames: if the cache
-    is missing and a complete new version (``_SUCCESS``) is staged, move it
-    in.  Leftover old versions are removed.  Returns whether it moved one."""
-    fs = HadoopFS(spark, path)
-    path = fs.qualify(path).rstrip("/")
-    parent, name = path.rsplit("/", 1)
-    siblings = [p for p in fs.list_dir(parent) if p.rsplit("/", 1)[1].startswith(name + ".__")]
-    moved = False
-    if not fs.exists(path):
-        staged = sorted(p for p in siblings if ".__new-" in p and fs.exists(f"{p}/_SUCCESS"))
-        if staged:
-            fs.move(staged[-1], path)
-            moved = True
-    for p in siblings:
-        if ".__old-" in p and fs.exists(path):
-            fs.delete(p)
-    return moved
-
-
 # --------------------------------------------------------------------------- G2 / G3
 
 def distinct_keys(df: DataFrame, key: str = "station_id") -> DataFrame:
