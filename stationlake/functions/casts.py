@@ -1,26 +1,28 @@
-"""P5: casts from text that fail on bad values, whatever the session settings."""
+"""P5: casts from text that fail on bad values, whatever the session settings.
+
+As SQL text: one expression of many columns is then made in one call.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def strict_cast(value: Column, to: T.DataType | str) -> Column:
-    """``value`` (text) as ``to``; NULL stays NULL, anything else that has no
-    such value raises.
+def strict_cast(value: str, to: T.DataType | str) -> str:
+    """SQL of ``value`` (SQL of a text) as ``to``; NULL stays NULL, anything
+    else that has no such value raises.
 
     For BIGINT, JSON's true/false are 1/0 and a float with a whole value is
-    that integer (feeds publish flags and counts in these forms).
+    that integer (feeds publish flags and counts in these forms).  The plain
+    cast comes first; other forms are only looked at where it gives NULL.
     """
     name = to if isinstance(to, str) else to.simpleString()
     if name == "string":
-        return value.cast("string")
-    good = value.try_cast(name)
+        return f"CAST({value} AS STRING)"
+    bad = f"CAST(raise_error(concat('not a value of type {name}: ', {value})) AS {name})"
+    other = bad
     if name == "bigint":
-        lower = F.lower(F.trim(value))
-        whole = F.regexp_extract(F.trim(value), r"^([+-]?[0-9]+)\.0+$", 1)
-        good = F.coalesce(good, F.when(lower == "true", 1).when(lower == "false", 0).cast("bigint"), whole.try_cast("bigint"))
-    bad = F.raise_error(F.concat(F.lit(f"not a value of type {name}: "), value)).cast(name)
-    return F.when(value.isNull(), F.lit(None).cast(name)).otherwise(F.coalesce(good, bad))
+        number = f"try_cast({value} AS DOUBLE)"
+        other = (f"CASE WHEN lower(trim({value})) = 'true' THEN 1L WHEN lower(trim({value})) = 'false' THEN 0L "
+                 f"WHEN {number} = floor({number}) AND abs({number}) < 9007199254740992D THEN CAST({number} AS BIGINT) ELSE {bad} END")
+    return f"coalesce(try_cast({value} AS {name}), CASE WHEN {value} IS NOT NULL THEN {other} END)"

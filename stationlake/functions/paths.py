@@ -1,4 +1,4 @@
-"""Path expressions (X11-X13, K4's mapping).
+"""Path expressions (X11, X12, K4's mapping).
 
 Column versions run on Spark (for path tables built from ``_metadata``);
 the plain-Python twins are used by the driver when it moves a bounded list
@@ -8,7 +8,6 @@ of files.
 from __future__ import annotations
 
 import re
-import uuid
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -39,10 +38,6 @@ def last_segment(col) -> Column:
     return F.element_at(F.split(_c(col), "/"), -1)
 
 
-def last_segment_py(path: str) -> str:
-    return path.rsplit("/", 1)[-1]
-
-
 def legacy_hour_path(year="year", month="month", day="day", hour="hour",
                      prefix: str = LEGACY_PREFIX) -> Column:
     """Bare layout ``prefix/YYYY/MM/DD/HH`` from the partition columns."""
@@ -55,8 +50,3 @@ def hive_hour_path(year="year", month="month", day="day", hour="hour") -> Column
         F.lit("year="), _c(year), F.lit("/month="), _c(month),
         F.lit("/day="), _c(day), F.lit("/hour="), _c(hour),
     )
-
-
-def new_file_id() -> str:
-    """A random unique id (for driver-side names such as staging runs)."""
-    return str(uuid.uuid4())

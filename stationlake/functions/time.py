@@ -126,8 +126,3 @@ def as_of_column(as_of=None) -> Column:
 def days_interval(days: int) -> Column:
     """A day-time interval of ``days`` days."""
     return F.make_dt_interval(F.lit(int(days)))
-
-
-def day_start(ts) -> Column:
-    """Midnight of the day of ``ts`` (TIMESTAMP_NTZ)."""
-    return F.to_date(_c(ts)).cast("timestamp_ntz")

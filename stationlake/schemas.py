@@ -48,22 +48,6 @@ PART_SCHEMA = T.StructType([T.StructField(c, T.StringType()) for c in PART_COLS]
 STATUS_TABLE_SCHEMA = T.StructType(STATUS_SCHEMA.fields + PART_SCHEMA.fields)
 INFO_TABLE_SCHEMA = T.StructType(INFO_SCHEMA.fields + PART_SCHEMA.fields)
 
-# Raw feed document.  Stations are parsed as string maps so that key presence
-# survives parsing (a typed struct turns an absent key into NULL); values are
-# cast to the typed schema afterwards.  Nested values arrive as JSON text and
-# are dropped by the projection.
-FEED_SCHEMA = T.StructType(
-    [
-        T.StructField("last_updated", T.LongType()),
-        T.StructField(
-            "data",
-            T.StructType(
-                [T.StructField("stations", T.ArrayType(T.MapType(T.StringType(), T.StringType())))]
-            ),
-        ),
-    ]
-)
-
 # Result cache published by the trailing query.
 CACHE_SCHEMA = T.StructType(
     [

@@ -1,11 +1,15 @@
 """Feed documents -> station rows.
 
 A feed document is ``{"last_updated": ..., "data": {"stations": [{...}, ...]}}``.
-Stations are parsed as ``map<string,string>``, so one parse gives both the
-values (cast afterwards to the typed schema) and the key sets (for the
-required-key rule: a key absent from *every* station of a document is an
-error, absent from some is NULL).  The check is an expression evaluated in
-the same scan (``raise_error``), not a second pass over the data.
+Documents travel as JSON text (column ``document``) and are parsed once, to
+typed stations with just the wanted keys: of a key that is repeated within a
+station the last value counts, and other keys are skipped by the parser.
+Only a document with a value of another form (a flag or float for a count,
+or one that is wrong) is parsed again, as text that is cast strictly.  A key
+absent from *every* station of a document is an error, absent from some is
+NULL.  That rule is an expression of the same scan: a document whose first
+station has a value for every key passes, and only another one is parsed
+again, into key maps.
 """
 
 from __future__ import annotations
@@ -17,63 +21,83 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stationlake.functions.casts import strict_cast
-from stationlake.schemas import FEED_SCHEMA, INFO_SCHEMA, STATUS_SCHEMA
+from stationlake.schemas import INFO_SCHEMA, STATUS_SCHEMA
 
+#: The column of the documents' JSON text.
+DOCUMENT = "document"
 
-def read_feed(spark: SparkSession, path, multi_line: bool = False) -> DataFrame:
-    """Read feed documents from a landing folder (or list of paths).
 
-    ``multi_line=True`` for one (pretty-printed) document per file, as a feed
-    is fetched; ``False`` for JSON Lines, one document per line, which Spark
-    can split across tasks.  ``FAILFAST``: a truncated or malformed document
-    fails the job, as a failed parse does in the reference.
-    """
-    reader = (spark.read.schema(FEED_SCHEMA)
-              .option("multiLine", multi_line)
-              .option("mode", "FAILFAST"))
-    return reader.json(path)
+def _feed_type(station: T.DataType) -> T.StructType:
+    stations = T.StructType([T.StructField("stations", T.ArrayType(station))])
+    return T.StructType([T.StructField("last_updated", T.LongType()), T.StructField("data", stations)])
 
 
-def missing_keys_column(stations: Column, required: Sequence[str]) -> Column:
-    """Required keys that no station of the document carries (all, if it has
-    no stations).  The search for a key ends at the first station with it."""
-    has = lambda k: F.coalesce(F.exists(stations, _has(k)), F.lit(False))
-    return F.filter(F.array(*[F.when(~has(k), F.lit(k)) for k in required]), lambda k: k.isNotNull())
+def _text_type(schema: T.StructType) -> T.StructType:
+    """Documents with the keys of ``schema`` of every station, as text."""
+    return _feed_type(T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields]))
 
 
-def _has(key: str):
-    return lambda s: F.map_contains_key(s, key)
+# What does not parse as typed is kept beside the document; the other forms raise.
+_BAD = T.StructField("_bad", T.StringType())
+_LENIENT = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _BAD.name}
+#: Stations with all their keys.
+_KEYED = _feed_type(T.MapType(T.StringType(), T.StringType()))
 
 
-def _guard(stations: Column, required: Sequence[str]) -> Column:
-    complete = F.lit(True)
-    for k in required:
-        complete = complete & F.exists(stations, _has(k))
-    return (
-        F.when(stations.isNull(), F.raise_error(F.lit("feed document without data.stations")))
-        .when(complete, F.lit(True))
-        .otherwise(F.raise_error(F.concat(F.lit("required keys absent from every station: "),
-                                          F.array_join(missing_keys_column(stations, required), ", "))))
-    )
+def _strict(kind: T.StructType) -> str:
+    """SQL: the stations of a document parsed as ``kind``; raises if malformed."""
+    return f"from_json({DOCUMENT}, '{kind.simpleString()}', map('mode', 'FAILFAST')).data.stations"
+
+
+def _absent(required: Sequence[str]) -> str:
+    """SQL: the required keys that no station of the document carries (all, if
+    it has no stations)."""
+    keys = ", ".join(f"'{k}'" for k in required)
+    return f"array_except(array({keys}), flatten(transform({_strict(_KEYED)}, s -> map_keys(s))))"
+
+
+def documents(lines: DataFrame) -> DataFrame:
+    """Text rows (``value``) as feed documents; blank ones are none."""
+    return lines.select(F.col("value").alias(DOCUMENT)).where(F.trim(F.col(DOCUMENT)) != "")
+
+
+def read_feed(spark: SparkSession, path, multi_line: bool = False) -> DataFrame:
+    """Read feed documents from a landing folder (or list of paths).
+
+    ``multi_line=True`` for one (pretty-printed) document per file, as a feed
+    is fetched; ``False`` for JSON Lines, one document per line, which Spark
+    can split across tasks.  A truncated or malformed document fails the job
+    that parses it, as a failed parse does in the reference.
+    """
+    return documents(spark.read.text(path, wholetext=multi_line))
 
 
 def explode_stations(docs: DataFrame, schema: T.StructType,
                      doc_cols: Sequence[str] = (), check_required: bool = True) -> DataFrame:
     """P1 + P2: one row per station, the keys of ``schema`` in order.
 
-    Values are cast from text by ``strict_cast``: a non-numeric count raises,
-    true/false and whole floats become integers where the schema has those.
-    Keys outside ``schema`` (including nested objects) are dropped.
+    A value that its type cannot hold raises (``strict_cast``: a non-numeric
+    count); true/false and whole floats become integers where the schema has
+    those.  Keys outside ``schema`` (including nested objects) are dropped.
     ``doc_cols`` are document-level columns stamped on every row (P3).
     An empty ``stations`` list lacks every required key and so raises.
     """
-    stations = F.col("data.stations")
+    kind = T.StructType([*_feed_type(schema).fields, _BAD])
+    parsed = docs.select(DOCUMENT, F.from_json(DOCUMENT, kind, _LENIENT).alias("_doc")).select(
+        DOCUMENT, "_doc", *[F.col(f"_doc.{c}") for c in doc_cols])
+    typed, names = "_doc.data.stations", schema.names
+    fields = ", ".join(f"'{f.name}', {strict_cast(f's.`{f.name}`', f.dataType)}" for f in schema.fields)
+    cast = f"transform({_strict(_text_type(schema))}, s -> CASE WHEN s IS NOT NULL THEN named_struct({fields}) END)"
+    stations = f"CASE WHEN _doc.{_BAD.name} IS NULL THEN {typed} ELSE {cast} END"
     if check_required:
-        docs = docs.where(_guard(stations, [f.name for f in schema.fields]))
-    keep = [F.col(c) for c in doc_cols]
-    rows = docs.select(*keep, F.explode(stations).alias("_s"))
-    typed = [strict_cast(F.col("_s")[f.name], f.dataType).alias(f.name) for f in schema.fields]
-    return rows.select(*typed, *[F.col(c) for c in doc_cols])
+        valued = " AND ".join(f"get({typed}, 0).`{k}` IS NOT NULL" for k in names)
+        stations = (f"CASE WHEN _doc.{_BAD.name} IS NULL AND {valued} THEN {typed} "  # the usual document
+                    f"WHEN {_strict(_KEYED)} IS NULL THEN raise_error('feed document without data.stations') "
+                    f"WHEN size({_absent(names)}) > 0 THEN "
+                    f"raise_error(concat('required keys absent from every station: ', array_join({_absent(names)}, ', '))) "
+                    f"ELSE {stations} END")
+    rows = parsed.select(*doc_cols, F.expr(f"explode({stations})").alias("_s"))
+    return rows.select(*[F.col(f"_s.`{k}`") for k in names], *doc_cols)
 
 
 def status_rows(docs: DataFrame, check_required: bool = True,
@@ -92,6 +116,13 @@ def info_rows(docs: DataFrame, check_required: bool = True) -> DataFrame:
 def missing_keys(docs: DataFrame, required: Sequence[str]) -> DataFrame:
     """P2 as a report: ``(last_updated, missing_key)`` for each document with
     a station list and each required key that none of its stations carries."""
-    stations = F.col("data.stations")
-    return (docs.where(stations.isNotNull())
-            .select("last_updated", F.explode(missing_keys_column(stations, required)).alias("missing_key")))
+    keyed = docs.select(F.from_json(DOCUMENT, _KEYED, {"mode": "FAILFAST"}).alias("_doc"))
+    stations, keys = "_doc.data.stations", ", ".join(f"'{k}'" for k in required)
+    absent = f"CASE WHEN {stations} IS NOT NULL THEN array_except(array({keys}), flatten(transform({stations}, s -> map_keys(s)))) END"
+    return keyed.select("_doc.last_updated", F.expr(f"explode({absent})").alias("missing_key"))
+
+
+def unparseable(document: Column, schema: T.StructType = STATUS_SCHEMA) -> Column:
+    """The document's text if it does not parse, else NULL."""
+    kind = T.StructType([*_text_type(schema).fields, _BAD])
+    return F.from_json(document, kind, _LENIENT)[_BAD.name]

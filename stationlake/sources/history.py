@@ -1,13 +1,15 @@
 """History CSV -> status rows.
 
-A history file is ``|``-separated with a header; the columns are matched by
-*name* (any order, extra columns ignored).  Spark splits the files into
-input splits, which replaces the reference's 1,000,000-row chunks; nothing
-is held whole in memory.
+A history file is ``|``-separated with a header; the columns of *each file*
+are matched by name, so files may differ in order and in extra columns.  Spark
+splits the files into input splits, which replaces the reference's
+1,000,000-row chunks; nothing is held whole in memory.
 """
 
 from __future__ import annotations
 
+import csv
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -24,19 +26,74 @@ HISTORY_TYPES = {
 }
 
 
-def read_history(spark: SparkSession, path, sep: str = "|") -> DataFrame:
-    """S3: every column as STRING, names from the header.
+#: The raw columns every file must have.
+HISTORY_REQUIRED = ("execution_time", *HISTORY_RENAMES)
+#: Distinct headers that one read may have, and files with another header than
+#: the first one that are broadcast (about 20 MB of paths).
+MAX_HEADERS, BROADCAST_FILES = 100, 100_000
+
+
+def header_index(spark: SparkSession, path, required=HISTORY_REQUIRED) -> DataFrame:
+    """(file, header, n_headers, n_lines): the header line of every file.
+
+    One text scan, aggregated by file: the header is the line, in a file's
+    first block, that holds all required names.  ``header`` is NULL where
+    there is none; ``n_headers`` counts different ones.
+    """
+    line = F.col("value")
+    is_header = F.col("_metadata.file_block_start") == 0
+    for name in required:
+        is_header = is_header & line.contains(name)
+    lines = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), F.when(is_header, line).alias("header"))
+    return lines.groupBy("file").agg(F.min("header").alias("header"), F.max("header").alias("last"), F.count("*").alias("n_lines"))
+
+
+def _columns(header: str, sep: str) -> list[str]:
+    return [c.strip() for c in next(csv.reader([header], delimiter=sep))]
+
+
+def read_history(spark: SparkSession, path, sep: str = "|", required=HISTORY_REQUIRED) -> DataFrame:
+    """S3: every column as STRING, by the names in each file's own header.
 
-    Spark takes the column names from one file's header and applies them by
-    position to every file, so the read is repeated with that all-string
-    schema and ``enforceSchema=false``: a file whose header differs (other
-    order or names) then fails instead of silently swapping columns.
-    Reading the header costs one line of one file.
+    The headers are indexed first; the files are then scanned once, by
+    position, and each row's values are put under the names of its file's
+    header.  Columns that only some files have are NULL in the others; a file
+    that lacks a required column, or has two headers, raises.  Where all files
+    have one header, the scan is that of plain CSV.
     """
-    base = spark.read.option("sep", sep).option("header", True)
-    names = base.csv(path).columns
-    schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
-    return base.schema(schema).option("enforceSchema", False).csv(path)
+    index = header_index(spark, path, required)
+    bad = index.where("header IS NULL OR header <> last").select("file").head()
+    if bad:
+        raise ValueError(f"not one header with the columns {', '.join(required)}: {bad['file']}")
+    groups = index.groupBy("header").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "header").limit(MAX_HEADERS + 1).collect()
+    if len(groups) > MAX_HEADERS:
+        raise ValueError(f"more than {MAX_HEADERS} different headers below {path}")
+    headers = [_columns(r["header"], sep) for r in groups]
+    for columns in headers:
+        lacking = [c for c in required if c not in columns]
+        if lacking or len(set(columns)) < len(columns):
+            raise ValueError(f"history header {columns} lacks or repeats columns: {lacking or columns}")
+    if not headers:
+        return spark.createDataFrame([], ", ".join(f"`{c}` string" for c in required))
+
+    def scan(names: list[str]) -> DataFrame:
+        schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
+        return spark.read.option("sep", sep).option("header", True).schema(schema).csv(path)
+
+    if len(headers) == 1:
+        return scan(headers[0])
+    width, names = max(map(len, headers)), list(dict.fromkeys(c for columns in headers for c in columns))
+    # The most frequent header needs no entry: a row without one has it.
+    kind = F.array_position(F.array(*(F.lit(r["header"]) for r in groups)), F.col("header")) - 1
+    others = index.select(F.col("file").alias("_file"), kind.cast("int").alias("_kind")).where("_kind > 0")
+    if sum(r["n"] for r in groups[1:]) <= BROADCAST_FILES:
+        others = F.broadcast(others)
+    rows = scan([f"_c{k}" for k in range(width)]).withColumn("_file", F.col("_metadata.file_path")).join(others, "_file", "left")
+
+    def value(name: str) -> str:
+        cases = " ".join(f"WHEN {k} THEN _c{columns.index(name)}" for k, columns in enumerate(headers) if name in columns)
+        return f"CASE coalesce(_kind, 0) {cases} END AS `{name}`"
+    return rows.selectExpr(*map(value, names))
 
 
 def normalize_history(raw: DataFrame, cutoff=None) -> DataFrame:
@@ -53,7 +110,7 @@ def normalize_history(raw: DataFrame, cutoff=None) -> DataFrame:
     df = raw.withColumnsRenamed(HISTORY_RENAMES)
     df = df.select(
         parse_ts("execution_time").alias("execution_time"),
-        *[strict_cast(F.col(c), t).alias(c) for c, t in HISTORY_TYPES.items()],
+        *[F.expr(strict_cast(f"`{c}`", t)).alias(c) for c, t in HISTORY_TYPES.items()],
         epoch_seconds(parse_ts("last_reported")).alias("last_reported"),
     )
     df = df.select("execution_time", *HISTORY_KEEP)

@@ -1,4 +1,4 @@
-"""Table scans (S4, S5, S6, legacy trees).
+"""Table scans (S4, S5, legacy trees).
 
 Every scan passes an explicit schema: partition columns stay zero-padded
 strings, narrow files (backfill, 4 columns) read their absent columns as
@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stationlake.fs import HadoopFS, canon
-from stationlake.schemas import CACHE_SCHEMA, PART_COLS, STATUS_SCHEMA, STATUS_TABLE_SCHEMA
+from stationlake.schemas import PART_COLS, STATUS_SCHEMA, STATUS_TABLE_SCHEMA
 
 # Legacy bare layout ``.../YYYY/MM/DD/HH/<file>``.
 _LEGACY_RE = r"/(\d{4})/(\d{2})/(\d{2})/(\d{2})/[^/]+$"
@@ -27,8 +27,9 @@ def read_table(spark: SparkSession, root: str,
     return spark.read.schema(schema).parquet(root)
 
 
-def window_day_dirs(spark: SparkSession, root: str, start: dt.date) -> list[str]:
-    """Day folders of a ``year=/month=/day=`` table dated on or after ``start``.
+def window_day_dirs(spark: SparkSession, root: str, start: dt.date, bare: bool = False) -> list[str]:
+    """Day folders dated on or after ``start``, of a ``year=/month=/day=``
+    table or (``bare``) of a ``YYYY/MM/DD`` tree.
 
     Lists folder names level by level (years, then months of the remaining
     years, then days of the remaining months), never the files of other days:
@@ -39,9 +40,9 @@ def window_day_dirs(spark: SparkSession, root: str, start: dt.date) -> list[str]
 
     def values(parent: str, key: str) -> list[tuple[int, str]]:
         out = []
-        for d in fs.glob_dirs(f"{parent}/{key}=*"):
-            v = d.rsplit("=", 1)[1]
-            if v.isdigit():
+        for d in fs.glob_dirs(f"{parent}/*" if bare else f"{parent}/{key}=*"):
+            v = d.rsplit("/" if bare else "=", 1)[1]
+            if v.isdigit() and (not bare or len(v) == (4 if key == "year" else 2)):
                 out.append((int(v), d))
         return out
 
@@ -58,6 +59,19 @@ def window_day_dirs(spark: SparkSession, root: str, start: dt.date) -> list[str]
     return sorted(days)
 
 
+def _window_start(as_of, days: int) -> dt.date:
+    """The first date that a trailing window of ``days`` can need (None = now, UTC)."""
+    if as_of is None:
+        as_of = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+    if isinstance(as_of, str):
+        as_of = dt.datetime.fromisoformat(as_of)
+    if not isinstance(as_of, dt.datetime):  # a date: its midnight
+        as_of = dt.datetime.combine(as_of, dt.time())
+    if as_of.tzinfo is not None:
+        as_of = as_of.astimezone(dt.timezone.utc).replace(tzinfo=None)
+    return (as_of - dt.timedelta(days=days)).date()
+
+
 def read_recent(spark: SparkSession, root: str, as_of=None, days: int = 8,
                 schema: T.StructType = STATUS_TABLE_SCHEMA) -> DataFrame:
     """S5 for a path-based table: read only the day folders a trailing
@@ -67,48 +81,40 @@ def read_recent(spark: SparkSession, root: str, as_of=None, days: int = 8,
     window predicate itself is applied by the caller (``recent_status``),
     so the result is the same as over the whole table.
     """
-    if as_of is None:
-        as_of = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
-    if isinstance(as_of, str):
-        as_of = dt.datetime.fromisoformat(as_of)
-    if not isinstance(as_of, dt.datetime):  # a date: its midnight
-        as_of = dt.datetime.combine(as_of, dt.time())
-    if as_of.tzinfo is not None:
-        as_of = as_of.astimezone(dt.timezone.utc).replace(tzinfo=None)
-    start = (as_of - dt.timedelta(days=days)).date()
-    dirs = window_day_dirs(spark, root, start)
+    dirs = window_day_dirs(spark, root, _window_start(as_of, days))
     if not dirs:
         return spark.createDataFrame([], schema)
     return spark.read.schema(schema).option("basePath", root).parquet(*dirs)
 
 
-def read_files(spark: SparkSession, root: str, files: list[str],
-               schema: T.StructType = STATUS_TABLE_SCHEMA) -> DataFrame:
-    """S4 + U1: an explicit list of files of one table, concatenated by
-    column name (absent columns NULL, duplicates kept)."""
-    return spark.read.schema(schema).option("basePath", root).parquet(*files)
+def _legacy_rows(spark: SparkSession, paths: list[str], schema: T.StructType) -> DataFrame:
+    df = (spark.read.schema(schema).option("recursiveFileLookup", True)
+          .option("pathGlobFilter", "*.parquet").parquet(*paths))
+    path = F.col("_metadata.file_path")
+    parts = [F.regexp_extract(path, _LEGACY_RE, i + 1).alias(c) for i, c in enumerate(PART_COLS)]
+    return df.where(path.rlike(_LEGACY_RE)).select(*[F.col(f.name) for f in schema.fields], *parts)
 
 
 def read_legacy_tree(spark: SparkSession, root: str,
                      schema: T.StructType = STATUS_SCHEMA) -> DataFrame:
     """A bare ``YYYY/MM/DD/HH`` tree as a table with partition columns.
 
-    Partition values come from each file's path (``_metadata.file_path``).
-    Folders are not pruned by this reader; register the hours as catalog
-    partitions (``operators.maintenance.register_hour_partitions``) for that.
+    Partition values come from each file's path (``_metadata.file_path``);
+    files in other places are no part of the table.  All folders are listed:
+    see :func:`read_legacy_recent` for a trailing window.
     """
-    df = (spark.read.schema(schema).option("recursiveFileLookup", True)
-          .option("pathGlobFilter", "*.parquet").parquet(root))
-    path = F.col("_metadata.file_path")
-    parts = [F.regexp_extract(path, _LEGACY_RE, i + 1).alias(c) for i, c in enumerate(PART_COLS)]
-    return df.select(*[F.col(f.name) for f in schema.fields], *parts)
+    return _legacy_rows(spark, [root], schema)
 
 
-def read_cache(spark: SparkSession, path: str, schema: T.StructType = CACHE_SCHEMA) -> DataFrame:
-    """The published result cache (CSV with header, explicit schema)."""
-    return (spark.read.schema(schema).option("header", True)
-            .option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss")
-            .option("mode", "FAILFAST").csv(path))
+def read_legacy_recent(spark: SparkSession, root: str, as_of=None, days: int = 8,
+                       schema: T.StructType = STATUS_SCHEMA) -> DataFrame:
+    """The part of a bare tree that a trailing window can need: only its day
+    folders are listed and read.  The window predicate itself is applied by
+    the caller (``recent_status``), as for :func:`read_recent`."""
+    dirs = window_day_dirs(spark, root, _window_start(as_of, days), bare=True)
+    if not dirs:
+        return spark.createDataFrame([], T.StructType([*schema.fields, *(T.StructField(c, T.StringType()) for c in PART_COLS)]))
+    return _legacy_rows(spark, dirs, schema)
 
 
 def data_files(df: DataFrame) -> list[str]:

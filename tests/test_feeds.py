@@ -122,3 +122,31 @@ def test_explicit_json_null_is_null_and_counts_as_present(spark, tmp):
     write_text(f"{tmp}/feed/a.json", json.dumps(doc([dict(FULL, num_ebikes_available=None)])))
     rows = status_rows(read_feed(spark, f"{tmp}/feed")).collect()
     assert rows[0].num_ebikes_available is None  # present with null: no error, NULL value
+
+
+def test_last_value_of_a_repeated_key_counts(spark, tmp):
+    text = json.dumps(doc([FULL])).replace('"num_bikes_available": 3', '"num_bikes_available": 3, "is_renting": 0, "num_bikes_available": 8')
+    write_text(f"{tmp}/feed/a.json", text)
+    r = status_rows(read_feed(spark, f"{tmp}/feed")).first()
+    assert r.num_bikes_available == 8 and r.is_renting == 1
+    text = json.dumps(doc([FULL])).replace('"is_renting": 1', '"is_renting": 1, "is_renting": null')
+    write_text(f"{tmp}/null/a.json", text)
+    assert status_rows(read_feed(spark, f"{tmp}/null")).first().is_renting is None
+
+
+def test_null_everywhere_is_told_from_absent_everywhere(spark, tmp):
+    """A null key in one document, an absent one in the next: only that one raises."""
+    null, absent = dict(FULL, is_renting=None), dict(FULL)
+    del absent["is_renting"]
+    write_text(f"{tmp}/a/a.json", json.dumps(doc([null, absent])) + "\n\n" + json.dumps(doc([absent, null])) + "\n")
+    assert [r.is_renting for r in status_rows(read_feed(spark, f"{tmp}/a")).collect()] == [None] * 4
+    write_text(f"{tmp}/b/a.json", json.dumps(doc([null])) + "\n" + json.dumps(doc([absent])) + "\n")
+    with pytest.raises(ERRORS, match="is_renting"):
+        status_rows(read_feed(spark, f"{tmp}/b")).collect()
+
+
+def test_documents_are_parsed_once(spark, tmp):
+    from conftest import plan_text
+    write_text(f"{tmp}/feed/a.json", json.dumps(doc([FULL])))
+    plan = plan_text(status_rows(read_feed(spark, f"{tmp}/feed")))
+    assert sum("AS _doc#" in line for line in plan.splitlines() if line.startswith("Output")) <= 1, plan

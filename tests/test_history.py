@@ -54,13 +54,66 @@ def test_bad_count_raises(spark, tmp):
         normalize_history(read_history(spark, f"{tmp}/h")).collect()
 
 
-def test_header_mismatch_between_files_raises(spark, tmp):
+def _lines(rows, columns):
+    return "|".join(columns) + "\n" + "".join("|".join(r.get(c, "") for c in columns) + "\n" for r in rows)
+
+
+def _history_rows(n, first=0):
+    return [{"execution_time": f"2019-07-01 {k % 24:02d}:05:03", "id": f"{k:03d}", "available_bikes": str(k), "available_docks": str(1000 + k),
+             "last_communication_time": f"2019-07-01 {k % 24:02d}:04:00", "extra": "e", "more": f"m{k}"} for k in range(first, first + n)]
+
+
+ORDERS = [["execution_time", "id", "available_bikes", "available_docks", "last_communication_time", "extra"],
+          ["id", "available_docks", "available_bikes", "execution_time", "last_communication_time"],
+          ["more", "last_communication_time", "execution_time", "available_docks", "extra", "id", "available_bikes"]]
+
+
+@pytest.mark.parametrize("broadcast", [100, 0])
+def test_each_file_is_read_by_its_own_header(spark, tmp, monkeypatch, broadcast):
+    from stationlake.sources import history
+    monkeypatch.setattr(history, "BROADCAST_FILES", broadcast)
+    rows = _history_rows(60)
+    for k in range(6):
+        write_text(f"{tmp}/h/f{k}.csv", _lines(rows[10 * k:10 * k + 10], ORDERS[k % 3]))
+    raw = read_history(spark, f"{tmp}/h")
+    assert set(raw.columns) == set(ORDERS[0]) | {"more"}
+    by_id = {r.id: r for r in raw.collect()}
+    for k, r in enumerate(rows):
+        columns = ORDERS[k // 10 % 3]
+        assert by_id[r["id"]].asDict() == {c: r[c] if c in columns else None for c in raw.columns}
+    got = {r.station_id: r for r in normalize_history(raw).collect()}
+    assert len(got) == 60 and all(got[r["id"]].num_docks_available == 1000 + int(r["id"]) for r in rows)
+
+
+def test_one_header_needs_no_join(spark, tmp):
+    from conftest import plan_text
+    for k in range(3):
+        write_text(f"{tmp}/h/f{k}.csv", _lines(_history_rows(5, 5 * k), ORDERS[1]))
+    plan = plan_text(read_history(spark, f"{tmp}/h").select("id"))
+    assert "Join" not in plan and "ReadSchema: struct<id:string>" in plan
+
+
+def test_quoted_header_and_large_file_in_splits(spark, tmp):
+    """Only a file's first block has its header."""
+    rows = _history_rows(4000)
+    write_text(f"{tmp}/h/a.csv", _lines(rows, ORDERS[0]))
+    write_text(f"{tmp}/h/b.csv", "|".join(f'"{c}"' for c in ORDERS[1]) + "\n" + _lines(_history_rows(3, 5000), ORDERS[1]).split("\n", 1)[1])
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "16k")
+    try:
+        got = normalize_history(read_history(spark, f"{tmp}/h"))
+        assert got.count() == 4003 and got.agg(F.sum("num_bikes_available")).first()[0] == sum(range(4000)) + 5000 + 5001 + 5002
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_file_without_a_required_column_raises(spark, tmp):
     write_text(f"{tmp}/h/a.csv", HISTORY)
-    swapped = "id|execution_time|available_bikes|available_docks|last_communication_time|extra\n" \
-              "1|2019-07-01 10:05:03|3|4|2019-07-01 10:04:00|z\n"
-    write_text(f"{tmp}/h/b.csv", swapped)
-    with pytest.raises((PySparkException, Py4JJavaError)):
-        normalize_history(read_history(spark, f"{tmp}/h")).collect()
+    write_text(f"{tmp}/h/b.csv", _lines(_history_rows(2), [c for c in ORDERS[0] if c != "available_docks"]))
+    with pytest.raises(ValueError, match="b.csv"):
+        read_history(spark, f"{tmp}/h")
+    write_text(f"{tmp}/twice/a.csv", HISTORY + _lines(_history_rows(2), ORDERS[1]))
+    with pytest.raises(ValueError, match="not one header"):
+        read_history(spark, f"{tmp}/twice")
 
 
 def test_backfill_write_routes_by_hour_and_reads_narrow_files(spark, tmp):
