@@ -25,7 +25,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from pyspark.sql import functions as F  # noqa: E402
 
 from stationlake.functions.time import from_epoch_seconds  # noqa: E402
-from stationlake.operators.maintenance import compact_days, list_days  # noqa: E402
+from stationlake.operators.compaction import compact_days, list_days  # noqa: E402
 from stationlake.operators.query import distinct_keys, recent_status  # noqa: E402
 from stationlake.operators.writer import write_history, write_hourly  # noqa: E402
 from stationlake.plans.derive import (  # noqa: E402

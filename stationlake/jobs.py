@@ -28,14 +28,15 @@ if __package__ in (None, ""):
 from pyspark.sql import functions as F  # noqa: E402
 
 from stationlake.functions.time import from_epoch_seconds, utc_now  # noqa: E402
+from stationlake.operators.cache import publish_cache, read_cache  # noqa: E402
 from stationlake.operators.calendar import day_hours  # noqa: E402
+from stationlake.operators.compaction import TARGET_BYTES, compact_days  # noqa: E402
 from stationlake.operators.maintenance import (  # noqa: E402
-    compact_days,
     create_hour_table,
     migrate_legacy,
     register_hour_partitions,
 )
-from stationlake.operators.query import TRAILING_DAYS, distinct_keys, publish_cache, recent_status  # noqa: E402
+from stationlake.operators.query import TRAILING_DAYS, distinct_keys, recent_status  # noqa: E402
 from stationlake.operators.writer import write_history, write_hourly  # noqa: E402
 from stationlake.schemas import INFO_SCHEMA, INFO_TABLE_SCHEMA, STATUS_TABLE_SCHEMA  # noqa: E402
 from stationlake.session import build_session  # noqa: E402
@@ -91,7 +92,7 @@ def compact(spark, a) -> dict:
     else:
         days = [_day(a.day, -1)]
     report = compact_days(spark, a.table, days, schema=TABLE_SCHEMAS[a.kind],
-                          max_records_per_file=a.max_records_per_file)
+                          target_bytes=a.target_bytes)
     return {"job": "compact", "days": len(days), **report}
 
 
@@ -107,7 +108,7 @@ def fan_out_job(spark, a) -> dict:
     as_of = dt.datetime.fromisoformat(a.as_of) if a.as_of else None
     recent = recent_status(spark.table(a.name), as_of, a.days)
     publish_cache(recent, a.cache)
-    n = distinct_keys(spark.read.option("header", True).csv(a.cache)).count()
+    n = distinct_keys(read_cache(spark, a.cache)).count()
     return {"job": "fan-out", "cache": a.cache, "stations": n}
 
 
@@ -126,7 +127,7 @@ def main(argv=None) -> None:
     s.add_argument("--checkpoint", required=True)
     s.add_argument("--every", default=None, help='e.g. "2 minutes"; omit to process what is there and stop')
     s.add_argument("--multiline", action="store_true")
-    s.add_argument("--partition-time", choices=("document", "processing"), default="document")
+    s.add_argument("--partition-time", choices=("document", "processing"), default="processing")
     s.add_argument("--archive", default=None, help="move processed documents here")
     s.add_argument("--bad-records", default=None, help="divert unparseable documents here")
     s.set_defaults(fn=status_ingest)
@@ -151,7 +152,7 @@ def main(argv=None) -> None:
     s.add_argument("--from", dest="date_from", default=None, help="first day of a range (catch-up)")
     s.add_argument("--to", dest="date_to", default=None, help="last day of the range (default: yesterday)")
     s.add_argument("--kind", choices=sorted(TABLE_SCHEMAS), default="status")
-    s.add_argument("--max-records-per-file", type=int, default=None)
+    s.add_argument("--target-bytes", type=int, default=TARGET_BYTES, help="bytes of a compacted file")
     s.set_defaults(fn=compact)
 
     s = sub.add_parser("register")

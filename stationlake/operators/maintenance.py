@@ -1,34 +1,23 @@
-"""Table maintenance: compaction (K3), retirement (K4), partition
-registration (K6) and concatenation by name (U1).
-
-Compaction is one Spark job for all selected hours; only the file swap at
-the end runs on the driver, over the bounded list of files of those hours.
-"""
+"""Table maintenance: partition registration (K6), concatenation by name
+(U1), and the migration of legacy trees.  Compaction is in ``compaction``."""
 
 from __future__ import annotations
 
-import datetime as dt
-import json
 import re
 import uuid
-from collections.abc import Iterable, Sequence
-from concurrent.futures import ThreadPoolExecutor
+from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stationlake.fs import MOVE_THREADS, HadoopFS
-from stationlake.functions.paths import trash_path_py
-from stationlake.functions.time import partition_hour_start
+from stationlake.fs import HadoopFS
+from stationlake.functions.paths import hive_hour_path
+from stationlake.functions.time import partition_hour_start, with_partition_values
 from stationlake.operators.writer import write_hourly
-from stationlake.schemas import PART_COLS, STATUS_SCHEMA, STATUS_TABLE_SCHEMA
-from stationlake.sources.tables import data_files, files_under, read_legacy_tree, read_table
-
-# Object stores keep the reference's ``bucket/trash/...`` convention; other
-# file systems get a ``_trash`` folder inside the table root (ignored by readers).
-_BUCKET_SCHEMES = ("s3", "s3a", "s3n", "gs", "abfs", "abfss", "wasb", "wasbs", "oss")
+from stationlake.schemas import PART_COLS, STATUS_KEYS, STATUS_SCHEMA, STATUS_TABLE_SCHEMA
+from stationlake.sources.tables import read_legacy_tree
 
 # --------------------------------------------------------------------------- U1
 
@@ -37,237 +26,6 @@ def union_by_name(frames: Sequence[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 
-# --------------------------------------------------------------------------- K4
-
-def trash_location(path: str, root: str, trash_root: str | None = None) -> str:
-    """Where a retired file goes (K4)."""
-    if trash_root:
-        return f"{trash_root.rstrip('/')}/{_relative(path, root)}"
-    scheme = path.split(":", 1)[0].lower() if "://" in path else ""
-    if scheme in _BUCKET_SCHEMES:
-        return trash_path_py(path)
-    return f"{root.rstrip('/')}/_trash/{_relative(path, root)}"
-
-
-def trash_dir(root: str, trash_root: str | None = None) -> str:
-    """Trash folder of a table: ``trash_root``, else ``bucket/trash/<table
-    key>`` on object stores, else ``<root>/_trash``."""
-    if trash_root:
-        return trash_root.rstrip("/")
-    root = root.rstrip("/")
-    scheme = root.split(":", 1)[0].lower() if "://" in root else ""
-    if scheme in _BUCKET_SCHEMES:
-        return trash_path_py(root).rstrip("/")
-    return f"{root}/_trash"
-
-
-def _relative(path: str, root: str) -> str:
-    root = root.rstrip("/") + "/"
-    if not path.startswith(root):
-        raise ValueError(f"{path} is not under {root}")
-    return path[len(root):]
-
-
-# --------------------------------------------------------------------------- K3
-
-def _day_dir(root: str, d: dt.date) -> str:
-    return f"{root}/year={d.year:04d}/month={d.month:02d}/day={d.day:02d}"
-
-
-def list_days(spark: SparkSession, root: str) -> list[dt.date]:
-    """The days that have folders in a ``year=/month=/day=`` table (listing only)."""
-    fs = HadoopFS(spark, root)
-    days = []
-    for d in fs.glob_dirs(f"{root.rstrip('/')}/year=*/month=*/day=*"):
-        m = re.search(r"year=(\d{4})/month=(\d{2})/day=(\d{2})$", d)
-        if m:
-            days.append(dt.date(int(m.group(1)), int(m.group(2)), int(m.group(3))))
-    return days
-
-
-def read_days(spark: SparkSession, root: str, days: Iterable[dt.date],
-              schema: T.StructType = STATUS_TABLE_SCHEMA) -> DataFrame | None:
-    """The given days of a table.  Only those day folders are listed (not
-    the whole table), by Spark's file index (in parallel when there are
-    many); the listing is fixed when the DataFrame is created."""
-    fs = HadoopFS(spark, root)
-    dirs = [p for p in (_day_dir(root, d) for d in sorted(set(days))) if fs.exists(p)]
-    if not dirs:
-        return None
-    return spark.read.schema(schema).option("basePath", root).parquet(*dirs)
-
-
-def _hour_key() -> Column:
-    return F.concat_ws("/", *[F.col(c) for c in PART_COLS])
-
-
-# Days compacted per Spark job (and per journal): bounds the file lists the
-# driver holds when a long range is compacted in one call.
-DAYS_PER_JOB = 31
-
-
-def compact_days(spark: SparkSession, root: str, days: Iterable[dt.date],
-                 schema: T.StructType = STATUS_TABLE_SCHEMA, trash_root: str | None = None,
-                 max_records_per_file: int | None = None, days_per_job: int = DAYS_PER_JOB) -> dict:
-    """K3 + K4 over any number of days, ``days_per_job`` days per run of
-    :func:`compact_run` (each a complete, recoverable compaction)."""
-    days = sorted(set(days))
-    total = {"hours": 0, "files_before": 0, "files_after": 0, "rows": 0}
-    for i in range(0, len(days), max(1, days_per_job)):
-        rep = compact_run(spark, root, days[i:i + days_per_job], schema, trash_root, max_records_per_file)
-        for k in total:
-            total[k] += rep[k]
-    return total
-
-
-def compact_run(spark: SparkSession, root: str, days: Iterable[dt.date],
-                schema: T.StructType = STATUS_TABLE_SCHEMA, trash_root: str | None = None,
-                max_records_per_file: int | None = None) -> dict:
-    """K3 + K4: rewrite each hour of ``days`` that has several files as one
-    file (or several of bounded size for a very large hour), all rows kept.
-
-    Safe order (the reference writes the new file next to the old ones and
-    then moves those, so a crash in between leaves duplicates):
-
-    1. list the files of the selected days *once*; the read below uses that
-       same listing, so files that arrive later are not touched;
-    2. read the hours that have several files and write them to
-       ``_staging/<run>`` in one job (``REBALANCE`` on the partition columns;
-       AQE splits a hot hour), counting rows on the way (``observe``);
-    3. compare that count with the staged files' row count;
-    4. write a journal, swap each hour folder (old folder to trash, staged
-       folder in; see :func:`_swap`), delete the journal.  A crash during 4
-       is finished by :func:`recover_compactions`; readers see a short gap
-       for an hour, never duplicates.
-
-    Hours with one file are left alone, so a second run is a no-op.
-    """
-    fs = HadoopFS(spark, root)
-    root = fs.qualify(root).rstrip("/")
-    recover_compactions(spark, root)
-    report = {"hours": 0, "files_before": 0, "files_after": 0, "rows": 0}
-    listed = read_days(spark, root, days, schema)
-    if listed is None:
-        return report
-    by_hour: dict[str, list[str]] = {}
-    for f in data_files(listed):
-        by_hour.setdefault(f.rsplit("/", 1)[0], []).append(f)
-    by_hour = {h: v for h, v in by_hour.items() if len(v) > 1}
-    old = sorted(f for v in by_hour.values() for f in v)
-    if not old:
-        return report
-    keys = sorted({"/".join(seg.split("=", 1)[1] for seg in h.split("/")[-4:]) for h in by_hour})
-
-    run = uuid.uuid4().hex
-    staging = f"{root}/_staging/compact-{run}"
-    obs = Observation(f"compact_{run}")
-    # Counted after the shuffle, in the writing (result) tasks: a result
-    # partition's metrics are applied once even when tasks are retried or
-    # map output is recomputed after an executor loss.
-    src = (listed.where(_hour_key().isin(keys)).hint("rebalance", *PART_COLS)
-           .observe(obs, F.count(F.lit(1)).alias("rows")))
-    w = (src.write.mode("errorifexists")
-         .partitionBy(*PART_COLS).option("compression", "snappy"))
-    if max_records_per_file:
-        w = w.option("maxRecordsPerFile", int(max_records_per_file))
-    w.parquet(staging)
-    n_src = obs.get["rows"]
-    staged_df = read_table(spark, staging, schema)
-    n_new = staged_df.count()
-    n_files_new = len(data_files(staged_df))
-    if n_new != n_src:
-        fs.delete(staging)
-        raise RuntimeError(f"compaction row count mismatch: {n_src} read, {n_new} staged")
-
-    trash_base = f"{trash_dir(root, trash_root)}/compact-{run}"
-    plan = {"staging": staging, "trash_base": trash_base,
-            "days": sorted({h.rsplit("/", 1)[0] for h in by_hour}),
-            "hours": [{"dir": h, "staged": f"{staging}/{_relative(h, root)}",
-                       "trash": f"{trash_base}/{_relative(h, root)}",
-                       "old": sorted(f.rsplit("/", 1)[1] for f in files)}
-                      for h, files in sorted(by_hour.items())]}
-    journal = f"{root}/_compaction/{run}.json"
-    fs.write_text(journal, json.dumps(plan))
-    _swap(spark, fs, journal, plan)
-    report.update(hours=len(by_hour), files_before=len(old), files_after=n_files_new, rows=n_src)
-    return report
-
-
-def _swap(spark: SparkSession, fs: HadoopFS, journal: str, plan: dict,
-          recovering: bool = False) -> None:
-    """Swap each compacted hour folder; every step can be repeated.
-
-    A. the hour folder (the old files) is renamed into
-       ``<trash>/compact-<run>/year=../hour=..`` - one rename per hour, not
-       per file (S3A copies a folder's objects server-side);
-    B. the staged hour folder is renamed into its place;
-    C. one listing of the touched day folders and of the run's trash: a file
-       that arrived after the listing is moved back from trash, an old file
-       left by an interrupted non-atomic folder rename goes to trash, and a
-       staged folder nested by a concurrently re-created hour is flattened.
-
-    ``recovering`` checks each step's state first (the run may have stopped
-    anywhere); a fresh run knows the targets do not exist yet.
-    """
-    hours = plan["hours"]
-    for parent in sorted({h["trash"].rsplit("/", 1)[0] for h in hours}):
-        fs.mkdirs(parent)
-
-    def swap_hour(h):
-        d, s, t = h["dir"], h["staged"], h["trash"]
-        if not recovering or (not fs.exists(t) and fs.exists(d)):
-            fs.rename(d, t)
-        if recovering and not fs.exists(s):
-            return
-        if recovering and fs.exists(d):
-            fs.move_many((f, f"{d}/{f.rsplit('/', 1)[1]}") for f in fs.list_files_recursive(s))
-        else:
-            fs.rename(s, d)
-
-    with ThreadPoolExecutor(max_workers=MOVE_THREADS) as pool:
-        list(pool.map(swap_hour, hours))
-
-    by_dir: dict[str, list[str]] = {}
-    for f in files_under(spark, [plan["trash_base"], *plan["days"]]):
-        parent, name = f.rsplit("/", 1)
-        by_dir.setdefault(parent, []).append(name)
-    fixes = []
-    for h in hours:
-        d, t, old = h["dir"], h["trash"], set(h["old"])
-        nested = f"{d}/{d.rsplit('/', 1)[1]}"
-        fixes += [(f"{d}/{n}", f"{t}/{n}") for n in by_dir.get(d, []) if n in old]
-        fixes += [(f"{t}/{n}", f"{d}/{n}") for n in by_dir.get(t, []) if n not in old]
-        fixes += [(f"{nested}/{n}", f"{d}/{n}") for n in by_dir.get(nested, [])]
-    fs.move_many(fixes)
-    for h in hours:
-        nested = f"{h['dir']}/{h['dir'].rsplit('/', 1)[1]}"
-        if nested in by_dir:
-            fs.delete(nested)
-    left = [f for f in fs.list_files_recursive(plan["staging"]) if "/_" not in f[len(plan["staging"]):]]
-    if left:  # the journal stays: a later run finishes the swap
-        raise OSError(f"{len(left)} compacted files did not reach the table, among them {left[0]}")
-    fs.delete(plan["staging"])
-    fs.delete(journal, recursive=False)
-
-
-def recover_compactions(spark: SparkSession, root: str) -> int:
-    """Finish compactions interrupted during the folder swap (idempotent)."""
-    fs = HadoopFS(spark, root)
-    n = 0
-    for journal in fs.list_dir(f"{root.rstrip('/')}/_compaction"):
-        if not journal.endswith(".json"):
-            continue
-        _swap(spark, fs, journal, json.loads(fs.read_text(journal)), recovering=True)
-        n += 1
-    return n
-
-
-def compact_yesterday(spark: SparkSession, root: str, as_of: dt.datetime | None = None, **kw) -> dict:
-    """the reference's daily job - the 24 hours of the UTC day before ``as_of``."""
-    now = as_of or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
-    return compact_days(spark, root, [now.date() - dt.timedelta(days=1)], **kw)
-
-
 # --------------------------------------------------------------------------- K6
 
 def _quote(s: str) -> str:
@@ -294,14 +52,17 @@ def register_hour_partitions(spark: SparkSession, table: str, hours: DataFrame,
                              batch: int = 500) -> int:
     """K6: ``ALTER TABLE ... ADD IF NOT EXISTS PARTITION (...) LOCATION ...``.
 
-    ``hours`` has ``year, month, day, hour, location``.  Partition specs are
-    catalog metadata; they reach the driver one Spark partition at a time
-    (``toLocalIterator``) and are added ``batch`` at a time, so the driver
-    never holds the whole list.  Adding a partition twice is a no-op.
+    ``hours`` has ``year, month, day, hour, location``.  Only hours that the
+    catalog does not list are added, so a second registration issues no DDL.
+    Partition specs are catalog metadata; they reach the driver one Spark
+    partition at a time (``toLocalIterator``) and are added ``batch`` at a
+    time, so the driver never holds the whole list.  Returns the number added.
     """
     specs = hours.select(*PART_COLS, "location").distinct()
+    listed = show_partitions(spark, table).select(F.col("partition").alias("_listed"))
+    absent = specs.join(listed, hive_hour_path(*PART_COLS) == F.col("_listed"), "left_anti")
     n, chunk = 0, []
-    for r in specs.toLocalIterator():
+    for r in absent.toLocalIterator():
         chunk.append(r)
         if len(chunk) == batch:
             _add_partitions(spark, table, chunk)
@@ -340,6 +101,27 @@ def file_counts(df: DataFrame) -> DataFrame:
 
 # --------------------------------------------------------------------------- legacy
 
+def write_legacy_tree(df: DataFrame, root: str, ts_col: str, columns: Sequence[str] = STATUS_KEYS) -> None:
+    """Append rows in the reference's bare ``YYYY/MM/DD/HH`` layout.
+
+    The hours are registered (K6) with their bare folders as locations, in a
+    table that exists for the write only, and Spark inserts into these
+    partitions: tasks write the files and the job's commit puts them in place.
+    """
+    spark = df.sparkSession
+    root = HadoopFS(spark, root).qualify(root).rstrip("/")
+    table = f"stationlake_legacy_{uuid.uuid4().hex[:12]}"
+    schema = T.StructType([df.schema[c] for c in columns] + [T.StructField(c, T.StringType()) for c in PART_COLS])
+    rows = with_partition_values(df, ts_col).select(*columns, *PART_COLS)
+    create_hour_table(spark, table, root, schema)
+    try:
+        hours = rows.select(*PART_COLS).distinct()
+        register_hour_partitions(spark, table, hours.withColumn("location", F.concat_ws("/", F.lit(root), *PART_COLS)))
+        rows.hint("rebalance", *PART_COLS).write.insertInto(table)
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {table}")  # external: the files stay
+
+
 def migrate_legacy(spark: SparkSession, legacy_root: str, root: str,
                    schema: T.StructType | None = None) -> None:
     """Copy a bare ``YYYY/MM/DD/HH`` tree into a ``year=/month=/day=/hour=``

@@ -24,15 +24,17 @@ from stationlake.sources.tables import data_files, files_under, read_table
 
 
 def write_hourly(df: DataFrame, root: str, ts_col: str, columns: Sequence[str] = STATUS_KEYS,
-                 mode: str = "append", max_records_per_file: int | None = None) -> None:
+                 mode: str = "append", max_records_per_file: int | None = None, one_hour: bool = False) -> None:
     """K1: append ``columns`` of ``df`` to the table at ``root``, routed by
-    the hour of ``ts_col`` (TIMESTAMP_NTZ, UTC wall clock).
+    the hour of ``ts_col`` (TIMESTAMP_NTZ, UTC wall clock).  ``one_hour``:
+    all rows are of one hour (a live snapshot), which needs no shuffle.
 
     Append only: re-running a load adds rows again (as in the reference);
     the streaming sink adds its own exactly-once bookkeeping.
     """
     out = with_partition_values(df, ts_col).select(*columns, *PART_COLS)
-    out = out.hint("rebalance", *PART_COLS)
+    if not one_hour:
+        out = out.hint("rebalance", *PART_COLS)
     w = (out.write.mode(mode).partitionBy(*PART_COLS)
          .option("compression", "snappy"))
     if max_records_per_file:

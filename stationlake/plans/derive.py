@@ -23,11 +23,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stationlake.fs import HadoopFS
 from stationlake.functions.time import epoch_seconds, partition_values
-from stationlake.operators.writer import write_hourly
 from stationlake.schemas import HISTORY_KEEP, PART_COLS, STATUS_KEYS
-from stationlake.sources.tables import data_files, read_table
 
 # Fixed values for the derivation.
 SNAPSHOT_SECONDS = 120           # the reference's 2-minute status cadence
@@ -124,25 +121,17 @@ def history_lines(events: DataFrame) -> DataFrame:
     )
 
 
-def write_history_csv(events: DataFrame, path: str) -> None:
-    history_lines(events).write.option("sep", "|").option("header", True).csv(path)
-
-
-def write_legacy_tree(df: DataFrame, root: str, ts_col: str) -> None:
-    """Write rows in the reference's bare ``YYYY/MM/DD/HH/`` layout (test
-    fixture for the legacy readers): a normal hourly write to a staging
-    folder, then each file is moved to its bare folder."""
-    fs = HadoopFS(df.sparkSession, root)
-    root = fs.qualify(root).rstrip("/")
-    staging = f"{root}/_staging-legacy"
-    write_hourly(df, staging, ts_col)
-    moves = []
-    for f in data_files(read_table(df.sparkSession, staging)):
-        parts = f[len(staging) + 1:].split("/")
-        bare = "/".join(p.split("=", 1)[1] for p in parts[:4])
-        moves.append((f, f"{root}/{bare}/{parts[-1]}"))
-    fs.move_many(moves)
-    fs.delete(staging)
+def write_history_csv(events: DataFrame, path: str, mixed: bool = False) -> None:
+    """History files with a header.  ``mixed``: those of ``click`` events have
+    their columns in another order, and lack the extra one."""
+    lines = history_lines(events)
+    if not mixed:
+        lines.write.option("sep", "|").option("header", True).csv(path)
+        return
+    click = F.coalesce(F.col("extra") == "click", F.lit(False))
+    other = ["available_bikes", "id", "last_communication_time", "available_docks", "execution_time"]
+    lines.where(~click).write.option("sep", "|").option("header", True).mode("append").csv(path)
+    lines.where(click).select(*other).write.option("sep", "|").option("header", True).mode("append").csv(path)
 
 
 def write_small_files(events: DataFrame, root: str, spread: int | None = None) -> None:

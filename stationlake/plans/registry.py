@@ -10,8 +10,11 @@ tables and that must give the same multiset of rows.
 
 from __future__ import annotations
 
+import datetime as dt
+import json
 import uuid
 from collections.abc import Callable
+from functools import partial
 from typing import Any, Iterator, Tuple
 
 import pandas as pd
@@ -20,22 +23,30 @@ from pyspark.sql import functions as F
 
 from stationlake.fs import HadoopFS
 from stationlake.functions.paths import last_segment, legacy_hour_path, trash_path
-from stationlake.functions.time import from_epoch_seconds, partition_values
+from stationlake.functions.time import from_epoch_seconds, partition_hour_start, partition_values
+from stationlake.operators.cache import publish_cache, read_cache
 from stationlake.operators.calendar import hour_calendar
-from stationlake.operators.maintenance import (
+from stationlake.operators.compaction import (
     compact_days,
+    compact_yesterday,
+    list_days,
+    read_days,
+    sized_files,
+    trash_dir,
+    trash_manifest,
+)
+from stationlake.operators.ledger import RunLedger, call_each
+from stationlake.operators.maintenance import (
     create_hour_table,
     file_counts,
-    list_days,
     register_hour_partitions,
     show_partitions,
     union_by_name,
+    write_legacy_tree,
 )
 from stationlake.operators.query import (
     distinct_keys,
-    fan_out,
     per_station_apply,
-    publish_cache,
     recent_status,
     recent_status_sql,
 )
@@ -47,14 +58,13 @@ from stationlake.plans.derive import (
     status_documents,
     write_history_csv,
     write_landing,
-    write_legacy_tree,
     write_small_files,
 )
-from stationlake.schemas import HISTORY_KEEP, INFO_SCHEMA, INFO_TABLE_SCHEMA, PART_COLS, STATUS_KEYS
+from stationlake.schemas import HISTORY_KEEP, INFO_SCHEMA, INFO_TABLE_SCHEMA, PART_COLS, STATUS_KEYS, STATUS_TABLE_SCHEMA
 from stationlake.session import scratch_dir
 from stationlake.sources.feeds import info_rows, missing_keys, read_feed, status_rows
 from stationlake.sources.history import normalize_history, read_history
-from stationlake.sources.tables import read_cache, read_legacy_tree, read_recent, read_table
+from stationlake.sources.tables import read_legacy_recent, read_legacy_tree, read_recent, read_table
 from stationlake.streaming.ingest import run_available
 
 # Fixed value: the backfill cutoff used by the registered history queries.
@@ -125,7 +135,7 @@ def q_missing_keys(spark, sf_dir):
 
 def _normalized(spark, sf_dir):
     path = scratch_dir(spark, "history")
-    write_history_csv(_events(spark, sf_dir), path)
+    write_history_csv(_events(spark, sf_dir), path, mixed=True)  # two column orders
     return normalize_history(read_history(spark, path), cutoff=HISTORY_CUTOFF)
 
 
@@ -247,13 +257,24 @@ def q_per_station_apply(spark, sf_dir):
     )
 
 
-def _queue_calls(keys: list) -> list:
-    """Stand-in for the per-station call: returns what it would send."""
-    return [f"queued:{k}" for k in keys]
+def send_request(outbox: str, station_id: str) -> str:
+    """The fan-out's call: put a request for the station into the outbox."""
+    payload = json.dumps({"station_id": station_id})
+    RunLedger(outbox).record(uuid.uuid4().hex, [json.loads(payload)])
+    return payload
 
 
 def q_fan_out_calls(spark, sf_dir):
-    return fan_out(station_rows(_events(spark, sf_dir)), _queue_calls)
+    """One call per station, each of which leaves a request file, by a job that
+    is run twice: every station has one request."""
+    events = _events(spark, sf_dir)
+    outbox, ledger = scratch_dir(spark, "outbox"), scratch_dir(spark, "ledger")
+    outbox = HadoopFS(spark, outbox).qualify(outbox)
+    send = partial(send_request, outbox)
+    call_each(station_rows(events.where("event_type = 'click'")), send, ledger, "daily")
+    calls = call_each(station_rows(events), send, ledger, "daily")  # only the stations that are new
+    requests = spark.read.schema("station_id string").json(outbox).groupBy("station_id").agg(F.count("*").alias("n_requests"))
+    return calls.join(requests, "station_id")
 
 
 def q_stream_ingest(spark, sf_dir):
@@ -272,6 +293,74 @@ def q_legacy_layout(spark, sf_dir):
     return read_legacy_tree(spark, root).select(*HISTORY_KEEP, *PART_COLS)
 
 
+def q_legacy_recent(spark, sf_dir):
+    """The trailing window over a bare tree: only its days are listed."""
+    events = _events(spark, sf_dir)
+    root = scratch_dir(spark, "legacy-recent")
+    write_legacy_tree(station_rows(events), root, "ingest_time")
+    as_of = events.agg(F.max("ts")).first()[0]
+    return recent_status(read_legacy_recent(spark, root, as_of), as_of)
+
+
+def q_compact_sized(spark, sf_dir):
+    """Compaction to files of a size that busy hours exceed; a second run
+    rewrites nothing."""
+    root = scratch_dir(spark, "compact-sized")
+    write_small_files(_events(spark, sf_dir), root, spread=4)
+    days = list_days(spark, root)
+    by_hour = {}
+    for path, size in sized_files(spark, [root]):
+        by_hour[path.rsplit("/", 1)[0]] = by_hour.get(path.rsplit("/", 1)[0], 0) + size
+    target = max(by_hour.values()) // 2
+    compact_days(spark, root, days, target_bytes=target)
+    again = compact_days(spark, root, days, target_bytes=target)
+    counts = file_counts(read_table(spark, root)).drop("n_files")
+    return counts.withColumn("rewritten_again", F.lit(again["files_before"]).cast("bigint"))
+
+
+def q_compact_yesterday(spark, sf_dir):
+    """F4 + K4: the daily compaction of the newest event's day, on the next
+    day: live files, and what the trash holds of each hour, by the manifest."""
+    events = _events(spark, sf_dir)
+    root = scratch_dir(spark, "yesterday")
+    for odd in (0, 1):  # two snapshots of every hour
+        write_hourly(station_rows(events.where(F.pmod("event_id", F.lit(2)) == odd)), root, "ingest_time")
+    newest = events.agg(F.max("ts")).first()[0]
+    compact_yesterday(spark, root, as_of=newest + dt.timedelta(days=1))
+    live = file_counts(read_days(spark, root, [newest.date()]))
+    manifest = trash_manifest(spark, root)
+    hour = r"year=(\d+)/month=(\d+)/day=(\d+)/hour=(\d+)/[^/]+$"
+    retired = manifest.select(*[F.regexp_extract("path", hour, k + 1).alias(c) for k, c in enumerate(PART_COLS)],
+                              F.regexp_extract("trash_path", "[^/]+$", 0).alias("file"))
+    base = HadoopFS(spark, root).qualify(root).rstrip("/")
+    held = (spark.read.schema(STATUS_TABLE_SCHEMA).option("basePath", trash_dir(base)).parquet(trash_dir(base))
+            .groupBy(*PART_COLS, F.col("_metadata.file_name").alias("file")).agg(F.count("*").alias("n")))
+    trash = (retired.join(held, [*PART_COLS, "file"]).groupBy(*PART_COLS)
+             .agg(F.count("*").alias("trash_files"), F.sum("n").alias("trash_rows")))
+    return live.join(trash, list(PART_COLS), "left").fillna(0, ["trash_files", "trash_rows"])
+
+
+def q_live_ingest(spark, sf_dir):
+    """X7 + S7: a stream at processing time; every row lands in the UTC hour
+    of the run, whatever the documents say."""
+    landing, root, ckpt = (scratch_dir(spark, x) for x in ("live", "live-table", "live-ckpt"))
+    write_landing(_events(spark, sf_dir), landing)
+    began = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None, minute=0, second=0, microsecond=0)
+    run_available(spark, landing, root, ckpt, partition_time="processing")
+    ended = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+    hour = partition_hour_start()
+    return read_table(spark, root).select(*HISTORY_KEEP, ((hour >= F.lit(began)) & (hour <= F.lit(ended))).alias("in_this_hour"))
+
+
+def q_snapshot_files(spark, sf_dir):
+    """File names are unique: the same snapshot, appended twice, leaves
+    two files in every hour."""
+    root = scratch_dir(spark, "snapshot-files")
+    for _ in range(2):
+        write_hourly(station_rows(_events(spark, sf_dir)), root, "ingest_time")
+    return file_counts(read_table(spark, root))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "recent_status": q_recent_status,
     "snapshot_explode": q_snapshot_explode,
@@ -293,6 +382,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "fan_out_calls": q_fan_out_calls,
     "stream_ingest": q_stream_ingest,
     "legacy_layout": q_legacy_layout,
+    "legacy_recent": q_legacy_recent,
+    "compact_sized": q_compact_sized,
+    "compact_yesterday": q_compact_yesterday,
+    "live_ingest": q_live_ingest,
+    "snapshot_files": q_snapshot_files,
 }
 
 
@@ -394,8 +488,23 @@ ORACLE_SQL: dict[str, str] = {
         "FROM events GROUP BY 1"
     ),
     "fan_out_calls": (
-        f"SELECT DISTINCT {_SID} AS station_id, 'queued:' || {_SID} AS result FROM events"
+        f"SELECT DISTINCT {_SID} AS station_id, '{{\"station_id\": \"' || {_SID} || '\"}}' AS result, "
+        "CAST(1 AS BIGINT) AS n_requests FROM events"
     ),
     "stream_ingest": f"SELECT {_CORE}, {_PARTS} FROM events",
     "legacy_layout": f"SELECT {_CORE}, {_PARTS} FROM events",
+    "legacy_recent": _RECENT,
+    "compact_sized": (
+        f"SELECT {_PARTS}, count(*) AS n_rows, CAST(0 AS BIGINT) AS rewritten_again FROM events GROUP BY ALL"
+    ),
+    "compact_yesterday": (
+        f"SELECT {_PARTS}, count(*) AS n_rows, CAST(1 AS BIGINT) AS n_files, "
+        "CASE WHEN count(DISTINCT event_id % 2) = 2 THEN 2 ELSE 0 END::BIGINT AS trash_files, "
+        "CASE WHEN count(DISTINCT event_id % 2) = 2 THEN count(*) ELSE 0 END AS trash_rows "
+        "FROM events WHERE CAST(ts AS DATE) = (SELECT CAST(max(ts) AS DATE) FROM events) GROUP BY ALL"
+    ),
+    "live_ingest": f"SELECT {_CORE}, true AS in_this_hour FROM events",
+    "snapshot_files": (
+        f"SELECT {_PARTS}, 2 * count(*) AS n_rows, CAST(2 AS BIGINT) AS n_files FROM events GROUP BY ALL"
+    ),
 }

@@ -16,14 +16,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from stationlake.fs import HadoopFS
 from stationlake.functions.time import from_epoch_seconds, utc_now
 from stationlake.operators.writer import publish_staged, write_hourly
-from stationlake.schemas import FEED_SCHEMA, STATUS_KEYS
-from stationlake.sources.feeds import status_rows
+from stationlake.schemas import STATUS_KEYS
+from stationlake.sources.feeds import DOCUMENT, documents, status_rows, unparseable
 
 
 # Column holding the text of a document that could not be parsed (only
@@ -34,26 +33,21 @@ BAD_DOCUMENT = "_bad_document"
 def feed_stream(spark: SparkSession, landing: str, multi_line: bool = False,
                 max_files_per_trigger: int | None = None, archive_dir: str | None = None,
                 divert_bad: bool = False) -> DataFrame:
-    """Streaming feed documents from a landing folder (file source).
+    """Streaming feed documents (JSON text) from a landing folder (file source).
 
-    ``FAILFAST`` by default: a malformed document stops the stream, as a
+    By default a malformed document stops the stream that parses it, as a
     failed parse stops the reference's ingest.  ``divert_bad``: documents
-    that do not parse arrive with their text in ``_bad_document`` instead.
+    that do not parse have their text in ``_bad_document``, too.
     """
-    schema = FEED_SCHEMA
-    reader = spark.readStream.option("multiLine", multi_line)
-    if divert_bad:
-        schema = T.StructType(FEED_SCHEMA.fields + [T.StructField(BAD_DOCUMENT, T.StringType())])
-        reader = reader.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", BAD_DOCUMENT)
-    else:
-        reader = reader.option("mode", "FAILFAST")
+    reader = spark.readStream
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", int(max_files_per_trigger))
     if archive_dir:
         # Processed documents are moved out of the landing folder, so the
         # listing each trigger does stays small (720 new files a day).
         reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
-    return reader.schema(schema).json(landing)
+    docs = documents(reader.text(landing, wholetext=multi_line))
+    return docs.withColumn(BAD_DOCUMENT, unparseable(F.col(DOCUMENT))) if divert_bad else docs
 
 
 def ingest_rows(docs: DataFrame, partition_time: str = "document") -> DataFrame:
@@ -86,8 +80,12 @@ def status_stream(spark: SparkSession, landing: str, multi_line: bool = False,
 def _query_id(spark: SparkSession) -> str:
     """The id of the streaming query whose batch is being written.  It lives
     in the checkpoint: a fresh checkpoint is another query, and a respelled
-    checkpoint path is the same one."""
-    return spark.sparkContext.getLocalProperty("sql.streaming.queryId")
+    checkpoint path is the same one.  Raises where no query is running:
+    batches of no name would be taken for replays of each other."""
+    own = spark.sparkContext.getLocalProperty("sql.streaming.queryId")
+    if not own:
+        raise ValueError("a sink that is called outside a streaming query needs a tag")
+    return own
 
 
 class HourlyBatchSink:
@@ -98,13 +96,14 @@ class HourlyBatchSink:
     """
 
     def __init__(self, root: str, tag: str | None = None, ts_col: str = "ingest_time", columns=STATUS_KEYS,
-                 prepare=None, bad_records_dir: str | None = None):
+                 prepare=None, bad_records_dir: str | None = None, one_hour: bool = False):
         self.root = root.rstrip("/")
         self.tag = tag
         self.ts_col = ts_col
         self.columns = tuple(columns)
         self.prepare = prepare                # batch -> rows to write (None: as given)
         self.bad_records_dir = bad_records_dir  # where unparseable documents go
+        self.one_hour = one_hour              # every batch is of one hour
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         fs = HadoopFS(batch.sparkSession, self.root)
@@ -127,7 +126,7 @@ class HourlyBatchSink:
                 rows = batch.where(F.col(BAD_DOCUMENT).isNull()).drop(BAD_DOCUMENT)
             if self.prepare:
                 rows = self.prepare(rows)
-            write_hourly(rows, staging, self.ts_col, self.columns, mode="errorifexists")
+            write_hourly(rows, staging, self.ts_col, self.columns, mode="errorifexists", one_hour=self.one_hour)
             if self.bad_records_dir:
                 batch.unpersist()
             fs.write_text(staged, "")
@@ -151,7 +150,7 @@ def start_ingest(spark: SparkSession, landing: str, table_root: str, checkpoint:
     docs = feed_stream(spark, landing, multi_line, max_files_per_trigger, archive_dir,
                        divert_bad=bool(bad_records_dir))
     sink = HourlyBatchSink(table_root, prepare=lambda d: ingest_rows(d, partition_time),
-                           bad_records_dir=bad_records_dir)
+                           bad_records_dir=bad_records_dir, one_hour=partition_time == "processing")
     w = (docs.writeStream.foreachBatch(sink)
          .option("checkpointLocation", checkpoint))
     w = w.trigger(processingTime=processing_time) if processing_time else w.trigger(availableNow=True)

@@ -9,18 +9,18 @@ from pyspark.sql import functions as F
 
 from stationlake.fs import HadoopFS
 from stationlake.operators.calendar import day_hours
+from stationlake.operators.cache import publish_cache, read_cache
+from stationlake.operators.compaction import compact_yesterday
 from stationlake.operators.maintenance import (
-    compact_yesterday,
     create_hour_table,
     recover_partitions,
     register_hour_partitions,
     show_partitions,
 )
-from stationlake.operators.query import fan_out, publish_cache, recent_status
+from stationlake.operators.query import fan_out, recent_status
 from stationlake.operators.writer import write_history
 from stationlake.plans.derive import status_documents, write_history_csv
 from stationlake.sources.history import normalize_history, read_history
-from stationlake.sources.tables import read_cache
 from stationlake.streaming.ingest import run_available
 
 

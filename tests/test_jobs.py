@@ -28,7 +28,8 @@ def test_jobs(spark, tmp, capsys):
     assert out["job"] == "backfill"
 
     status_documents(events).write.text(f"{tmp}/landing")
-    _run(capsys, "status-ingest", "--landing", f"{tmp}/landing", "--table", T, "--checkpoint", f"{tmp}/chk")
+    _run(capsys, "status-ingest", "--landing", f"{tmp}/landing", "--table", T, "--checkpoint", f"{tmp}/chk",
+         "--partition-time", "document")
     n = read_table(spark, T).count()
     assert n > events.count()
 
@@ -75,7 +76,8 @@ def test_jobs(spark, tmp, capsys):
 
 
 def test_migrate_job(spark, tmp, capsys):
-    from stationlake.plans.derive import station_rows, write_legacy_tree
+    from stationlake.operators.maintenance import write_legacy_tree
+    from stationlake.plans.derive import station_rows
     events = spark.read.parquet(f"{SF_SMALL}/events.parquet")
     legacy = HadoopFS(spark, f"{tmp}/legacy").qualify(f"{tmp}/legacy")
     write_legacy_tree(station_rows(events), legacy, "ingest_time")

@@ -14,19 +14,16 @@ from stationlake.fs import HadoopFS
 from stationlake.functions.paths import last_segment, trash_path, trash_path_py
 from stationlake.functions.time import partition_values
 from stationlake.operators.calendar import day_hours
+from stationlake.operators.compaction import compact_days, compact_yesterday, recover_compactions, trash_dir, trash_location
 from stationlake.operators.maintenance import (
-    compact_days,
-    compact_yesterday,
     create_hour_table,
-    recover_compactions,
     register_hour_partitions,
     show_partitions,
-    trash_dir,
-    trash_location,
     union_by_name,
+    write_legacy_tree,
 )
 from stationlake.operators.query import recent_status
-from stationlake.plans.derive import station_rows, write_legacy_tree
+from stationlake.plans.derive import station_rows
 from stationlake.schemas import HISTORY_KEEP, PART_COLS, STATUS_KEYS
 from stationlake.sources.tables import read_legacy_tree, read_table
 
@@ -69,7 +66,7 @@ def test_compact_one_day_keeps_rows_and_other_days(spark, tmp):
     for h in glob.glob(f"{root}/year=2024/month=01/day=05/hour=*"):
         assert len(glob.glob(f"{h}/*.parquet")) == 1
     assert sorted(_files(root, "year=2024/month=01/day=06/hour=*/*.parquet")) == other_before
-    trashed = glob.glob(f"{root}/_trash/compact-*/year=2024/month=01/day=05/hour=*/*.parquet")
+    trashed = glob.glob(f"{root}/_trash/year=2024/month=01/day=05/hour=*/*.parquet")
     assert len(trashed) == rep["files_before"]
     # narrow files kept their absent columns as NULL, wide values survived
     t = read_table(spark, root).where("day = '05'")
@@ -97,7 +94,7 @@ def test_recover_interrupted_swap(spark, tmp):
 
     def crash_midway(self, src, dst):
         calls["n"] += 1
-        if calls["n"] > 4:  # some hours trashed, some staged folders moved in
+        if calls["n"] > 40:  # some old files moved to the trash
             raise RuntimeError("driver lost")
         return real(self, src, dst)
 
@@ -107,10 +104,10 @@ def test_recover_interrupted_swap(spark, tmp):
             compact_days(spark, root, [dt.date(2024, 1, 3), dt.date(2024, 1, 4)])
     finally:
         HadoopFS.rename = real
-    assert glob.glob(f"{root}/_compaction/*.json")
+    assert glob.glob(f"{root}/_compaction/journal/*.json")
     assert recover_compactions(spark, root) == 1
     assert _rows(spark, root) == before
-    assert not glob.glob(f"{root}/_compaction/*.json")
+    assert not glob.glob(f"{root}/_compaction/journal/*.json")
     for h in glob.glob(f"{root}/year=2024/month=01/day=0[34]/hour=*"):
         assert len(glob.glob(f"{h}/*.parquet")) == 1
 
@@ -125,7 +122,7 @@ def test_late_file_is_kept(spark, tmp):
     real = HadoopFS.write_text
 
     def add_late_file(self, path, text):  # runs right before the swap
-        if "/_compaction/" in path:
+        if "/_compaction/journal/" in path:
             shutil.copy(late, f"{hour}/late-arrival.parquet")
         return real(self, path, text)
 
@@ -147,6 +144,9 @@ def test_trash_paths():
     assert trash_location("s3a://b/t/year=2024/f.parquet", "s3a://b/t") == "s3a://b/trash/t/year=2024/f.parquet"
     assert trash_location("file:/x/t/year=2024/f.parquet", "file:/x/t") == "file:/x/t/_trash/year=2024/f.parquet"
     assert trash_dir("s3a://b/station_status") == "s3a://b/trash/station_status"
+    # a table that is a whole bucket: readers must not see the trash
+    assert trash_dir("s3a://b") == trash_dir("s3a://b/") == "s3a://b/_trash"
+    assert trash_location("s3a://b/year=2024/f.parquet", "s3a://b/") == "s3a://b/_trash/year=2024/f.parquet"
     assert trash_dir("file:/x/t") == "file:/x/t/_trash"
     assert trash_dir("file:/x/t", "file:/y/bin") == "file:/y/bin"
 
@@ -262,3 +262,40 @@ def test_compact_day_without_files_is_a_no_op(spark, tmp):
     empty = dt.date(2023, 6, 1)  # no folders at all
     assert compact_days(spark, root, [empty]) == {"hours": 0, "files_before": 0, "files_after": 0, "rows": 0}
     assert compact_yesterday(spark, f"{tmp}/nothing_here", as_of=dt.datetime(2024, 1, 2))["hours"] == 0
+
+
+def test_second_registration_issues_no_ddl(spark, tmp, monkeypatch):
+    from stationlake.operators import maintenance as M
+    name, cal = "catalog_diff_test", day_hours(spark, dt.date(2024, 1, 31))
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    create_hour_table(spark, name, f"{tmp}/root")
+    hours = cal.select(*PART_COLS, F.concat_ws("/", F.lit(f"{tmp}/root"), "hive_path").alias("location"))
+    assert register_hour_partitions(spark, name, hours.where("hour < '10'")) == 10
+    added, real = [], M._add_partitions
+    monkeypatch.setattr(M, "_add_partitions", lambda s, t, rows: (added.extend(r.hour for r in rows), real(s, t, rows)))
+    assert register_hour_partitions(spark, name, hours) == 14 and sorted(added) == [f"{h:02d}" for h in range(10, 24)]
+    assert register_hour_partitions(spark, name, hours) == 0 and len(added) == 14
+    assert show_partitions(spark, name).count() == 24
+
+
+def test_legacy_window_lists_only_its_days(spark, tmp):
+    from stationlake.sources.tables import read_legacy_recent
+    root = f"{tmp}/legacy"
+    write_legacy_tree(station_rows(_events(spark)), root, "ingest_time")
+    as_of = dt.datetime(2024, 1, 30, 12)
+    recent = read_legacy_recent(spark, root, as_of)
+    days = {"/".join(f.split("/")[-5:-2]) for f in recent.inputFiles()}
+    assert days == {f"2024/01/{d}" for d in range(22, 31)}
+    assert sorted(recent_status(recent, as_of).collect()) == sorted(recent_status(read_legacy_tree(spark, root), as_of).collect())
+    assert read_legacy_recent(spark, root, dt.datetime(2030, 1, 1)).count() == 0
+
+
+def test_files_outside_the_hours_are_no_part_of_a_legacy_tree(spark, tmp):
+    import shutil
+    root = f"{tmp}/legacy"
+    write_legacy_tree(station_rows(_events(spark)), root, "ingest_time")
+    n = read_legacy_tree(spark, root).count()
+    for odd in ("stray.parquet", "2024/stray.parquet", "2024/01/05/notes/stray.parquet"):
+        os.makedirs(os.path.dirname(f"{root}/{odd}"), exist_ok=True)
+        shutil.copy(glob.glob(f"{root}/2024/01/*/*/*.parquet")[0], f"{root}/{odd}")
+    assert read_legacy_tree(spark, root).count() == n

@@ -10,17 +10,17 @@ import pytest
 from conftest import plan_text
 from pyspark.sql import functions as F
 
+from stationlake.operators.cache import publish_cache, read_cache
 from stationlake.operators.query import (
     distinct_keys,
     fan_out,
     per_station_apply,
-    publish_cache,
     recent_status,
     recent_status_sql,
 )
 from stationlake.operators.writer import write_hourly
 from stationlake.schemas import STATUS_KEYS
-from stationlake.sources.tables import read_cache, read_table
+from stationlake.sources.tables import read_table
 
 
 def _table(spark, root):
@@ -163,31 +163,3 @@ def test_fan_out_calls_run_in_several_tasks(spark):
     df = spark.range(200).select(F.col("id").cast("string").alias("station_id"))
     out = fan_out(df.union(df), _task, parallelism=4).collect()
     assert len(out) == 200 and len({r.result for r in out}) == 4
-
-
-def test_cache_publish_recovers_after_crash_between_renames(spark, tmp):
-    from stationlake.fs import HadoopFS
-    from stationlake.operators.query import recover_cache
-    t = _table(spark, f"{tmp}/t")
-    publish_cache(recent_status(t, dt.datetime(2026, 8, 9)), f"{tmp}/cache")
-    real = HadoopFS.move
-    calls = {"n": 0}
-
-    def crash_on_second_move(self, src, dst):
-        calls["n"] += 1
-        if calls["n"] == 2:
-            raise RuntimeError("driver lost")
-        return real(self, src, dst)
-
-    HadoopFS.move = crash_on_second_move
-    try:
-        try:
-            publish_cache(recent_status(t, dt.datetime(2026, 8, 11)), f"{tmp}/cache")
-        except RuntimeError:
-            pass
-    finally:
-        HadoopFS.move = real
-    import os
-    assert not os.path.exists(f"{tmp}/cache")  # old moved away, new not yet in
-    assert recover_cache(spark, f"{tmp}/cache")
-    assert read_cache(spark, f"{tmp}/cache").count() == 7

@@ -244,3 +244,11 @@ def test_fresh_checkpoint_and_respelled_path(spark, tmp):
     os.rename(f"{tmp}/ckpt", f"{tmp}/old-ckpt")
     run_available(spark, f"{tmp}/land2", root, f"{tmp}/ckpt")
     assert {r.station_id for r in read_table(spark, root).collect()} == {"72", "73"}
+
+
+def test_sink_outside_a_query_needs_a_tag(spark, tmp):
+    land = f"{tmp}/landing"
+    write_text(f"{land}/a.json", _doc(1564685000, "72", 3) + "\n")
+    static = status_rows(read_feed(spark, land)).withColumn("ingest_time", from_epoch_seconds("last_updated"))
+    with pytest.raises(ValueError, match="tag"):
+        HourlyBatchSink(f"{tmp}/table")(static, 0)
