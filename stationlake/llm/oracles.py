@@ -76,3 +76,20 @@ v AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_fail
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
        NOT base_failed AND NOT coalesce(source IN (SELECT source FROM bad), false) AS kept FROM v
 """.replace("RULES", ", ".join(_RULES.values())).replace("NAMES", ", ".join(f"'{r}'" for r in _RULES))
+
+DECONTAMINATION = f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_terms('text')} AS w FROM documents),
+b AS (SELECT CAST(item_id AS VARCHAR) AS item, {_terms('text')} AS w FROM benchmark),
+item AS (SELECT DISTINCT item, n, array_to_string(list_slice(w, i, i + n - 1), ' ') AS span
+         FROM (SELECT item, w, least(len(w), 13) AS n, unnest(generate_series(1, greatest(len(w) - 12, 1))) AS i FROM b WHERE len(w) > 0)),
+span AS (SELECT r, n, i, array_to_string(list_slice(w, i, i + n - 1), ' ') AS span
+         FROM (SELECT r, w, n, unnest(generate_series(1, len(w) - n + 1)) AS i FROM d, (SELECT DISTINCT n FROM item) WHERE len(w) >= n)),
+hit AS (SELECT r, i, n, item FROM span JOIN item USING (n, span)),
+covered AS (SELECT r, count(DISTINCT p) AS n_hit
+            FROM (SELECT r, unnest(generate_series(i, i + n - 1)) AS p FROM (SELECT DISTINCT r, i, n FROM hit)) GROUP BY r),
+named AS (SELECT r, count(DISTINCT item) AS n_items, string_agg(DISTINCT item, ',' ORDER BY item) AS items
+          FROM hit WHERE item IS NOT NULL GROUP BY r)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM d LEFT JOIN covered USING (r) LEFT JOIN named USING (r)
+"""
