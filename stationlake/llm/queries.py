@@ -18,6 +18,7 @@ from stationlake.llm.tokens import default_tokenizer
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {
+    "op3_decontamination": oracles.DECONTAMINATION,
     "op11_quality_rules": oracles.QUALITY_RULES,
     "op12_hard_negatives": oracles.HARD_NEGATIVES,
     "op13_lexical_search": oracles.LEXICAL_SEARCH,
