@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stationlake.llm.common import Workspace, numbered
+from stationlake.llm.common import Workspace, numbered, unused
 from stationlake.llm.components import connected_components
 from stationlake.llm.shingles import mix, shingle_sets
 from stationlake.llm.tokens import slices
@@ -258,12 +258,13 @@ def similar_documents(ws: Workspace, docs: DataFrame, words: int = WORDS, thresh
     heads = of_class.groupBy("root").agg(F.min("first").alias("head"))
     of_class = ws.table(of_class.join(heads, "root").select(
         "key1", "key2", "n", "n_copies", F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"), "head"), "class_heads")
+    head = unused("head", docs.columns)
     of_row = (full.select("row", "key1", "key2", "n").join(of_class, ["key1", "key2", "n"])
-              .select("row", "head", "n_links", "n_copies"))
+              .select("row", F.col("head").alias(head), "n_links", "n_copies"))
     ws.remove("classes", "frequent", "members", "needed", "links", "of_class")
     one, none = F.lit(1).cast("long"), F.lit(0).cast("long")
-    class_id = F.when(F.col("head").isNull(), F.col("doc_id").cast("long")).otherwise(
-        F.when(F.col("head.id") < 2**63 - 1, F.col("head.id")))
+    class_id = F.when(F.col(head).isNull(), F.col("doc_id").cast("long")).otherwise(
+        F.when(F.col(head)["id"] < 2**63 - 1, F.col(head)["id"]))
     return docs.join(of_row, "row", "left").select(
-        *docs.columns, class_id.alias("class_id"), F.coalesce(F.col("head.row") == F.col("row"), F.lit(True)).alias("kept"),
+        *docs.columns, class_id.alias("class_id"), F.coalesce(F.col(head)["row"] == F.col("row"), F.lit(True)).alias("kept"),
         F.coalesce("n_links", none).alias("n_links"), F.coalesce("n_copies", one).alias("n_copies"))

@@ -101,3 +101,14 @@ def test_components(spark, edges):
         for a, b in edges:
             low[a] = low[b] = min(low[a], low[b])
     assert got == {v: r for v, r in low.items() if v != r}
+
+
+def test_columns_named_like_internal_ones(ws, make_docs):
+    text = "one two three four five six seven eight"
+    docs = make_docs([(1, text), (2, text), (3, None)])
+    names = ["head", "HEAD_", "_head", "key1", "key2", "n", "rep", "root", "degree", "id", "bucket", "band", "block", "other", "members", "node", "first"]
+    for name in names:
+        docs = docs.withColumn(name, F.lit(name))
+    rows = {r.doc_id: r for r in nj.similar_documents(ws, docs).collect()}
+    assert [(rows[k].class_id, rows[k].kept) for k in (1, 2, 3)] == [(1, True), (1, False), (3, True)]
+    assert all(r[name] == name for r in rows.values() for name in names)
