@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stationlake.llm.common import empty_if_null, parts_for, text_bytes
+from stationlake.llm.common import empty_if_null, parts_for, text_bytes, unused
 from stationlake.llm.spans import let
 
 K = 128
@@ -109,24 +109,27 @@ def with_next(docs: DataFrame, carried: list[str], bucket_bytes: int = BUCKET_BY
     approximate quantiles; each bucket also gets the first document of the
     following one.  So the texts are shuffled once.  Null ids come first;
     equal ids follow each other in the order of length and hash of their texts.
+    A column ``next`` is replaced, all others pass through.
     """
     spark = docs.sparkSession
+    docs = docs.drop("next")
+    own, bucket, before, borrowed = (unused(c, docs.columns) for c in ("key", "bucket", "before", "borrowed"))
     key = F.coalesce(F.col("doc_id").cast("long"), F.lit(-(2**63)))
     n = min(MAX_BUCKETS, parts_for(text_bytes(docs), bucket_bytes))
     bounds = docs.select(key.alias("key")).agg(
         F.percentile_approx("key", [i / n for i in range(1, n)] or [0.5], 20 * n + 1000).alias("q")).first()["q"] if n > 1 else None
     bounds = sorted(set(bounds or []))
-    rows = docs.withColumn("_key", key).withColumn("_bucket", _bucket(F.col("_key"), bounds))
+    rows = docs.withColumn(own, key).withColumn(bucket, _bucket(F.col(own), bounds))
     # One row per bucket: the first key of the bucket that follows.
-    firsts = sorted((r["_bucket"], r["first"]) for r in rows.groupBy("_bucket").agg(F.min("_key").alias("first")).collect())
+    firsts = sorted((r[bucket], r["first"]) for r in rows.groupBy(bucket).agg(F.min(own).alias("first")).collect())
     follows = [(firsts[(i + 1) % len(firsts)][1], b) for i, (b, _) in enumerate(firsts)]
     heads = F.broadcast(spark.createDataFrame(follows, T.StructType(
-        [T.StructField("_key", T.LongType()), T.StructField("_before", T.IntegerType())])))
-    borrowed = rows.join(heads, "_key").withColumn("_bucket", F.col("_before")).drop("_before").withColumn("_borrowed", F.lit(1))
-    order = "_borrowed, _key, length(text), xxhash64(text)"
-    both = rows.withColumn("_borrowed", F.lit(0)).unionByName(borrowed)
-    following = F.expr(f"lead(struct({', '.join(f'`{c}`' for c in carried)})) over (partition by _bucket order by {order})")
-    return both.withColumn("next", following).where("_borrowed = 0").drop("_key", "_bucket", "_borrowed")
+        [T.StructField(own, T.LongType()), T.StructField(before, T.IntegerType())])))
+    lent = rows.join(heads, own).withColumn(bucket, F.col(before)).drop(before).withColumn(borrowed, F.lit(1))
+    both = rows.withColumn(borrowed, F.lit(0)).unionByName(lent)
+    order = f"`{borrowed}`, `{own}`, length(text), xxhash64(text)"
+    following = F.expr(f"lead(struct({', '.join(f'`{c}`' for c in carried)})) over (partition by `{bucket}` order by {order})")
+    return both.withColumn("next", following).where(F.col(borrowed) == 0).drop(own, bucket, borrowed)
 
 
 def edited_text(text: Column, following: Column) -> Column:

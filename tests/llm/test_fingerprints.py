@@ -64,3 +64,14 @@ def test_merge_containment_and_counts(spark):
 
 def test_empty_table(spark, make_docs):
     assert fp.with_next(make_docs([]).select("doc_id", "text"), ["text"]).collect() == []
+
+
+def test_columns_named_like_internal_ones(spark, make_docs):
+    docs = make_docs([(3, "c"), (1, "a"), (2, "b"), (2, "b"), (None, "n")])
+    names = ["key", "bucket", "before", "borrowed", "_key", "_bucket", "_borrowed", "next"]
+    for name in names:
+        docs = docs.withColumn(name, F.lit(name))
+    rows = fp.with_next(docs, ["text"], bucket_bytes=1).collect()
+    assert [(r.doc_id, r.next.text) for r in sorted(rows, key=lambda r: (r.doc_id is not None, r.doc_id or 0))][0] == (None, "a")
+    assert sorted((r.text, r.next.text) for r in rows) == [("a", "b"), ("b", "b"), ("b", "c"), ("c", "n"), ("n", "a")]
+    assert all(r[n] == n for r in rows for n in names[:-1])
