@@ -74,8 +74,15 @@ def write_shards(docs: DataFrame, root: str, tokenizer_path: str, end_id: int,
     """Write the ids of ``docs`` (doc_id, text) as shards under ``root``/ids.
 
     One shuffle, by ranges of (doc_id, input order): a doc_id that is very
-    often repeated spreads over many shards.
+    often repeated spreads over many shards.  A null or empty text is the end
+    id alone; a null doc_id is marked and comes first; a very long text is one
+    record; repeated rows are records each; other columns are left out.
+
+    The end id is the text writer's line separator, which it writes as UTF-8:
+    ids with a byte of 128 or more would take other bytes and are refused.
     """
+    if not 0 <= end_id <= np.iinfo(ID).max or max(np.array([end_id], ID).tobytes()) > 127:
+        raise ValueError(f"the end id {end_id} cannot be a separator: each of its two bytes must be below 128")
     ship_package(docs.sparkSession)
     n = parts_for(text_bytes(docs), shard_text_bytes)
     order = [F.asc_nulls_first("doc_id"), F.asc("_input")]

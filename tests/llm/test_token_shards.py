@@ -4,6 +4,7 @@ import zlib
 from array import array
 
 import numpy as np
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -73,3 +74,9 @@ def test_empty_table(ws, make_docs):
     docs = make_docs([])
     n = build(ws, docs, 200)
     assert ts.lookup(ts.keys_of(docs), ws.root, n).collect() == []
+
+
+@pytest.mark.parametrize("end_id", [200, 40_000, -1, 70_000, 128])
+def test_end_ids_that_cannot_be_separators_are_refused(ws, make_docs, end_id):
+    with pytest.raises(ValueError, match="separator"):
+        ts.write_shards(make_docs([(1, "a b")]), ws.root, default_tokenizer(), end_id=end_id)
