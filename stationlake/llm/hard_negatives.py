@@ -338,7 +338,7 @@ def mine_hard_negatives(ws: Workspace, rows: DataFrame, is_anchor: Column, n_pos
     forest = build_forest(ws, rows.select("row", "id", "label", "vector"))
     if forest is None:
         return spark.createDataFrame([], result)
-    anchors = rows.where("is_anchor").select("row", "id", "label", "vector")
+    anchors = ws.table(rows.where("is_anchor").select("row", "id", "label", "vector"), "anchors")
     n_batches = parts_for(anchors.count() * forest.dim, ANCHOR_VALUES)
     out = None
     for b in range(n_batches):
