@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stationlake.llm import decontaminate, ngram_join, packing, pii, toxicity
-from stationlake.llm.common import Workspace, read_table
+from stationlake.llm.common import Workspace, read_table, unused
 from stationlake.llm.tokens import default_tokenizer
 
 #: Documents with at least this toxicity score are rejected.
@@ -25,7 +25,8 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rejects documents that score 0.7 or more; learned from the labelled
     documents outside fold 1.  Empty texts and null ids are scored like others."""
     model = toxicity.train(docs, read_table(spark, sf_dir, "labels"), held_out=1)
-    return toxicity.score_toxicity(docs, model, score="_toxicity").where(F.col("_toxicity") < TOXIC).drop("_toxicity")
+    score = unused("toxicity", docs.columns)
+    return toxicity.score_toxicity(docs, model, score=score).where(F.col(score) < TOXIC).drop(score)
 
 
 def drop_similar(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -38,14 +39,16 @@ def drop_similar(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents of whose words a twentieth or more stand in benchmark
     windows; the others stay as they are."""
-    matched = decontaminate.match_benchmark(docs, read_table(spark, sf_dir, "benchmark"), result="_match")
-    return matched.where(~decontaminate.is_contaminated("_match")).drop("_match")
+    match = unused("match", docs.columns)
+    matched = decontaminate.match_benchmark(docs, read_table(spark, sf_dir, "benchmark"), result=match)
+    return matched.where(~decontaminate.is_contaminated(match)).drop(match)
 
 
 def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Replaces personal data by its kind, as in ``[EMAIL]``; n_chars follows the text."""
-    found = pii.find_personal_data(docs, pii.train(docs), base="_base", result="_spans")
-    clean = pii.redact(found, result="_spans").drop("_base", "_spans")
+    base, spans = unused("base", docs.columns), unused("spans", docs.columns)
+    found = pii.find_personal_data(docs, pii.train(docs), base=base, result=spans)
+    clean = pii.redact(found, result=spans).drop(base, spans)
     return clean.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
 
 
