@@ -19,6 +19,7 @@ Only texts enter a score.
 
 from __future__ import annotations
 
+import pickle
 import re
 import zlib
 from collections.abc import Iterator
@@ -35,8 +36,10 @@ from stationlake.llm.common import fold
 from stationlake.llm.tokens import slices
 from stationlake.session import ship_package
 
-#: Training documents per class: the labelled rows with the smallest hashes.
+#: Training documents per class: the labelled rows with the smallest hashes,
+#: as far as a class's texts have no more than SAMPLE_BYTES.
 SAMPLE = {1: 1500, 0: 3000}
+SAMPLE_BYTES = 32_000_000
 #: Bytes of the dictionaries.
 TOXIC_BYTES, ORDINARY_BYTES = 4096, 65536
 LEVEL, REPEATS = 9, 4
@@ -250,23 +253,39 @@ def score_texts(model: Model, texts: pa.Array) -> np.ndarray:
 
 # -- Spark -----------------------------------------------------------------
 
+def _fitted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Fits on all rows (label, text) of one task."""
+    texts, labels, size = [], [], {0: 0, 1: 0}
+    for batch in batches:
+        for text, label in zip(batch.column("text").to_pylist(), batch.column("label").to_pylist()):
+            size[label] += len((text or "").encode())
+            if size[label] <= SAMPLE_BYTES:
+                texts.append(text)
+                labels.append(label)
+    yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(fit(texts, labels))], pa.binary())], ["model"])
+
+
 def train(docs: DataFrame, labels: DataFrame, held_out: int = 1, sample: dict[int, int] = SAMPLE) -> Model:
-    """Fit on labelled documents outside fold ``held_out``.
+    """Fit on labelled documents outside fold ``held_out``, in one task.
 
-    At most ``sample[label]`` of each class, those whose ids hash smallest;
-    a doc_id with several labels is toxic if one says so; rows without label
-    or id are not used.
+    At most ``sample[label]`` of each class, those whose ids hash smallest,
+    and at most SAMPLE_BYTES of their texts; a doc_id with several labels is
+    toxic if one says so, of one with several texts the least is taken; rows
+    without label or id are not used.  Only the model comes to the driver.
     """
+    spark = docs.sparkSession
+    ship_package(spark)
     usable = (labels.where("toxic is not null and doc_id is not null").where(fold() != held_out)
               .groupBy("doc_id").agg(F.max("toxic").cast("int").alias("label")))
     picked = None
     for label, most in sample.items():
         part = usable.where(F.col("label") == label).orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
         picked = part if picked is None else picked.union(part)
-    # The sample is bounded by ``sample``: its ids are broadcast, its texts come to the driver.
-    rows = (docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id")
-            .orderBy("doc_id", "text").limit(2 * sum(sample.values())).select("text", "label").collect())
-    return fit([r["text"] for r in rows], [r["label"] for r in rows])
+    # The sample is bounded by ``sample``: its ids are broadcast, its texts go to one task.
+    rows = (docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id").groupBy("doc_id", "label").agg(F.min("text").alias("text"))
+            .repartition(1).sortWithinPartitions("doc_id").select("label", "text"))
+    found = rows.mapInArrow(_fitted, "model binary").collect()
+    return pickle.loads(found[0]["model"]) if found else fit([], [])
 
 
 def _scores(model, text: str, score: str):
