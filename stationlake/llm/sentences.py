@@ -4,13 +4,13 @@ A text is cut into sentences (at line ends and after words that end in a
 full stop, an exclamation or a question mark); a sentence of more than
 ``LONG`` words is cut further after commas and after words whose hash says
 so, which depends on the words alone, and what is still over twice as long
-every ``LONG`` words.  At every sentence a span starts and one ends: the
-shortest runs of at least two consecutive sentences with at least
-``SPAN_WORDS`` words; so a repeated run of that size is covered from its
-first to its last sentence.  A whole text of several sentences with fewer
-words is one span.  Spans are hashed and joined over all documents; every
-sentence that a repeated span covers goes, except in the span's first
-occurrence.
+every ``LONG`` words.  A span is a run of ``SPAN_SENTENCES`` consecutive
+sentences, and one starts at every sentence: a longer repeated run is
+covered, from its first to its last sentence, by the repeated spans inside
+it.  A whole text of several, but fewer, sentences is one span.  Spans are
+hashed and brought together by hash over all documents, at most one of a
+hash from each slice of texts; every sentence that a repeated span covers
+goes, except in the span's first occurrence.
 """
 
 from __future__ import annotations
@@ -22,14 +22,15 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from stationlake.llm.common import Workspace, numbered
 from stationlake.llm.shingles import mix
 from stationlake.llm.tokens import slices
 
-SPAN_SENTENCES, SPAN_WORDS = 2, 24
+SPAN_SENTENCES = 3
+_SPAN_WORDS = 1 << 16  # more than the words of a span
 LONG, CUT_EVERY = 12, 4
 
 _LINE = "\x1e"  # stands for a line end among the words
@@ -92,37 +93,35 @@ def sentences(texts: pa.Array, long: int = LONG, cut_every: int = CUT_EVERY) ->
     return text[first], place[first], size, mix(value + size.astype(np.uint64))
 
 
-def spans(text: np.ndarray, words: np.ndarray, value: np.ndarray, least: int = SPAN_SENTENCES,
-          least_words: int = SPAN_WORDS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(first sentence, end sentence, hash) of the shortest spans that start or
-    end at a sentence, and of whole texts too short for these; each once."""
+def spans(text: np.ndarray, value: np.ndarray, least: int = SPAN_SENTENCES) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(first sentence, end sentence, hash) of every run of ``least`` sentences
+    of a text, and of whole texts of two sentences or more but fewer."""
     n = len(text)
-    total = np.concatenate(([0], np.cumsum(words)))
     start = np.arange(n)
     first, last = np.searchsorted(text, text), np.searchsorted(text, text, side="right")
-    until = np.maximum(np.searchsorted(total, total[:-1] + least_words, side="left"), start + least)
-    ahead = until <= last
-    end = start + 1
-    begin = np.minimum(np.searchsorted(total, total[1:] - least_words, side="right") - 1, end - least)
-    back = begin >= first
-    whole = (start == first) & (last - first >= least) & (total[last] - total[first] < least_words)
-    pair = np.unique(np.concatenate((start[ahead] * (n + 1) + until[ahead], begin[back] * (n + 1) + end[back],
-                                     start[whole] * (n + 1) + last[whole])))
-    start, until = np.divmod(pair, n + 1)
+    whole = (start == first) & (last - first >= 2) & (last - first < least)
+    start = np.flatnonzero((start + least <= last) | whole)
+    until = np.minimum(start + least, last[start])
     prefix = np.concatenate((np.zeros(1, np.uint64), np.cumsum(value * _powers(_FACTOR, n))))
     h = mix((prefix[until] - prefix[start]) * _powers(_INVERSE, n)[start] + (until - start).astype(np.uint64))
     return start, until, h
 
 
 def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The spans; ``again`` marks those that stand earlier in the same slice,
+    so that a span goes on once a slice however often it is repeated."""
     for batch in batches:
         rows, texts = batch.column("row").to_numpy(), batch.column("text")
         for lo, hi in slices(texts, 4_000_000):
             text, first, words, value = sentences(texts.slice(lo, hi - lo))
-            start, until, h = spans(text, words, value)
+            start, until, h = spans(text, value)
+            size = first[until - 1] + words[until - 1] - first[start]
+            again = np.ones(len(h), bool)
+            again[np.unique(h, return_index=True)[1]] = False
+            h = np.where(again, mix(h + np.arange(len(h), dtype=np.uint64)), h)  # dealt anywhere
             yield pa.RecordBatch.from_arrays(
-                [pa.array(h.view(np.int64)), pa.array(rows[lo + text[start]]), pa.array(first[start].astype(np.int32)),
-                 pa.array((first[until - 1] + words[until - 1]).astype(np.int32))], ["hash", "row", "first", "until"])
+                [pa.array(h.view(np.int64)), pa.array(rows[lo + text[start]]), pa.array(first[start] * _SPAN_WORDS + size), pa.array(again)],
+                ["hash", "row", "place", "again"])
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -166,14 +165,13 @@ def dedup_spans(ws: Workspace, docs: DataFrame) -> DataFrame:
     named removed, row or ranges are replaced.
     """
     docs = numbered(ws, docs.drop("removed", "row", "ranges"))
-    runs = ws.table(docs.select("row", "text").mapInArrow(_runs, "hash long, row long, first int, until int")
-                    .withColumn("run", F.monotonically_increasing_id()), "runs")
-    # Aggregated before the shuffle; what is joined back is only what repeats.
-    repeated = ws.table(runs.groupBy("hash").agg(F.min("run").alias("kept"), F.count("*").alias("n"))
-                        .where("n > 1").select("hash", "kept"), "repeated")
-    ranges = ws.table(runs.join(repeated, "hash").where("run != kept").groupBy("row")
-                      .agg(F.collect_list(F.struct("first", "until")).alias("ranges")), "ranges")  # at most a text's sentences
-    ws.remove("runs", "repeated")
+    runs = docs.select("row", "text").mapInArrow(_runs, "hash long, row long, place long, again boolean")
+    # One shuffle of the spans, three numbers each.
+    order = Window.partitionBy("hash", "again").orderBy("row", "place")
+    first = F.floor(F.col("place") / _SPAN_WORDS).cast("int")
+    repeated = runs.withColumn("n", F.row_number().over(order)).where("again or n > 1").select(
+        "row", F.struct(first.alias("first"), (first + F.col("place") % _SPAN_WORDS).cast("int").alias("until")).alias("range"))
+    ranges = ws.table(repeated.groupBy("row").agg(F.collect_list("range").alias("ranges")), "ranges")  # at most a text's sentences
     joined = docs.join(ranges, "row", "left").drop("row")
     fields = {f.name: f.dataType.simpleString() for f in joined.schema if f.name != "ranges"}
     schema = ", ".join(f"`{c}` {t}" for c, t in fields.items())

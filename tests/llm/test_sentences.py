@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import random
+
 from llm_fixtures import SF_MID, make_docs, ws  # noqa: F401
 from pyspark.sql import functions as F
 
@@ -77,5 +79,39 @@ def test_last_sentences_of_a_repeated_run_go(ws, make_docs):
         "Own one here. And this ends it.", "Other two there. Something else follows."]
 
 
+def test_short_runs_inside_longer_texts_go(ws, make_docs):
+    """Three short sentences, far fewer words than a passage, in five documents."""
+    notice = "All rights reserved. Do not copy. Ask first."
+    rows = [(i, f"Document {i} begins in its own words here. {notice} Then document {i} ends in others.") for i in range(5)]
+    got = {r.doc_id: r.text for r in se.dedup_spans(ws, make_docs(rows, parts=1)).collect()}
+    assert sum("rights reserved" in t for t in got.values()) == 1
+    assert all(got[i].startswith(f"Document {i} begins in its own words here.") and got[i].endswith(f"Then document {i} ends in others.") for i in got)
+
+
+def brute(rows, k=se.SPAN_SENTENCES):
+    """Sentences left of each text: those of no repeated run of k but its first."""
+    seen, out = set(), []
+    for text in rows:
+        s = [x.strip(" .").lower() for x in text.split(".") if x.strip()]
+        size = k if len(s) >= k else len(s)
+        gone = set()
+        if size > 1:
+            for i in range(len(s) - size + 1):
+                run = tuple(s[i:i + size])
+                if run in seen:
+                    gone |= set(range(i, i + size))
+                seen.add(run)
+        out.append([x for i, x in enumerate(s) if i not in gone])
+    return out
+
+
+def test_equals_brute_force(spark, ws):
+    rng = random.Random(3)
+    texts = [" ".join(f"{rng.choice('abcd')} {rng.choice('xy')}." for _ in range(rng.randrange(12))) for _ in range(150)]
+    texts += [texts[5], texts[5], "a x. b y.", "a x. b y."]
+    got = {r.doc_id: r.text for r in se.dedup_spans(ws, spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)).collect()}
+    assert [[x.strip() for x in got[i].split(".") if x.strip()] for i in range(len(texts))] == brute(texts)
+
+
 def test_empty_table(ws, make_docs):
     assert se.dedup_spans(ws, make_docs([])).collect() == []
