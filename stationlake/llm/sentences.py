@@ -31,6 +31,7 @@ from stationlake.llm.tokens import slices
 
 SPAN_SENTENCES = 3
 _SPAN_WORDS = 1 << 16  # more than the words of a span
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 LONG, CUT_EVERY = 12, 4
 
 _LINE = "\x1e"  # stands for a line end among the words
@@ -171,7 +172,14 @@ def dedup_spans(ws: Workspace, docs: DataFrame) -> DataFrame:
     first = F.floor(F.col("place") / _SPAN_WORDS).cast("int")
     repeated = runs.withColumn("n", F.row_number().over(order)).where("again or n > 1").select(
         "row", F.struct(first.alias("first"), (first + F.col("place") % _SPAN_WORDS).cast("int").alias("until")).alias("range"))
-    ranges = ws.table(repeated.groupBy("row").agg(F.collect_list("range").alias("ranges")), "ranges")  # at most a text's sentences
+    grouped = repeated.groupBy("row").agg(F.collect_list("range").alias("ranges"))  # at most a text's sentences
+    # Once the ranges are written, nothing reads the spans' shuffle files again.
+    conf, kept = ws.spark.conf, ws.spark.conf.get(_CLEANUP)
+    conf.set(_CLEANUP, "true")
+    try:
+        ranges = ws.table(grouped, "ranges")
+    finally:
+        conf.set(_CLEANUP, kept)
     joined = docs.join(ranges, "row", "left").drop("row")
     fields = {f.name: f.dataType.simpleString() for f in joined.schema if f.name != "ranges"}
     schema = ", ".join(f"`{c}` {t}" for c, t in fields.items())
