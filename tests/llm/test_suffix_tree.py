@@ -47,6 +47,22 @@ def test_odd_rows(ws, make_docs):
     assert len({r.score for r in got if r.doc_id == 3}) == 1 and all(math.isfinite(r.score) for r in got)
 
 
+def test_large_ids_beside_a_null_one(spark, ws):
+    """Ids beyond 2 ** 53 in one part with a null id."""
+    rows = [(k, f"a b {k}") for k in (2**53 + 1, 2**62 + 1, 2**63 - 1, -2**63, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    check_base(pst.score_documents(ws, docs, fold(folds=10) == 0).collect(), rows)
+
+
+def test_long_texts_are_summed_exactly(ws, make_docs):
+    """One text of six million tokens: rounding errors stay below 1e-6."""
+    got = {r.doc_id: r for r in pst.score_documents(ws, make_docs([(1, "a b " * 3_000_000), (3, "a c")]), F.lit(False)).collect()}
+    n, total = {"a": 3_000_001, "b": 3_000_000, "end": 2}, 6_000_004
+    p = {k: math.log10((c + 0.1) / (total + 0.1 * 5)) for k, c in n.items()}
+    want = math.fsum([3_000_000 * p["a"], 3_000_000 * p["b"], p["end"]])
+    assert got[1].train_tokens == total and abs(got[1].base_score - want) < 1e-6
+
+
 def test_empty_table_and_nothing_to_learn_from(ws, make_docs):
     assert pst.score_documents(ws, make_docs([]), F.lit(False)).collect() == []
 
