@@ -2,9 +2,10 @@
 
 Generators propose spans of high recall: the four fixed patterns (kinds
 email, ip, card, phone) and looser ones of the same kinds, which overlap.
-A gradient-boosted classifier (Spark ML) learns from a bounded sample of
-candidates which of them pass their kind's rule, from format and context
-alone; its trees become one SQL expression, so scoring runs in the scan.
+A gradient-boosted classifier (Spark ML) learns from all candidates, counted
+by their features, which of them pass their kind's rule, from format and
+context alone; its trees become one SQL expression, so scoring runs in the
+scan.
 Fixed-pattern spans that pass the rule always stay.  Of what overlaps none of
 them, looser candidates that pass their own rule are added, and those above
 their kind's calibrated threshold, the best of overlapping ones.
@@ -12,6 +13,7 @@ their kind's calibrated threshold, the best of overlapping ones.
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 from pyspark.ml.classification import GBTClassifier
@@ -52,9 +54,9 @@ _DOMAINS = "com|org|net|edu|gov|mil|info|io|de|fr|uk|nl|es|eu|ch|pl|se|ca|au|jp|
 _NEEDS = {"email": "@", "ip": r"[0-9]\.[0-9]", "card": r"[0-9][\x20-]?[0-9]", "phone": r"\+[0-9]"}
 _LOOSE_NEEDS = {"email": r"@|\bat\b", "ip": "[0-9A-Fa-f]:", "card": "[0-9]{3}[.\x20/-]", "phone": r"[0-9]{2}[)\x20.-]"}
 
-#: Candidates that the classifier learns from, those with the smallest hashes.
-SAMPLE = 20_000
 TREES, DEPTH, STEP = 12, 3, 0.3
+#: Split points per feature, at least.
+LEAST_BINS = 100
 #: Least share of valid candidates above a kind's threshold, on the held-out part.
 PRECISION = 0.99
 _CONTEXT = 24
@@ -204,32 +206,41 @@ def _overlap(a: Column, b: Column) -> Column:
     return (a["start"] < b["end"]) & (b["start"] < a["end"])
 
 
-def train(docs: DataFrame, sample: int = SAMPLE, precision: float = PRECISION) -> Model | None:
-    """Learn from at most ``sample`` candidates of all documents.
+def _counted(docs: DataFrame) -> DataFrame:
+    """How many candidates of ``docs`` (``n``) have the same features, label
+    (valid by the rule of their patterns), kind, ``open`` (no fixed span
+    overlaps them) and ``held`` (in the fifth that sets the thresholds)."""
+    c = F.col("c")
+    open_ = ~F.exists(F.col("base"), lambda b: _overlap(b, c))
+    found = docs.select(base_spans().alias("base"), F.explode(candidates()).alias("c")).select(
+        features(c).alias("f"), _passes(c).cast("double").alias("label"), c["kind"].alias("kind"),
+        open_.alias("open"), (F.pmod(F.xxhash64("c"), F.lit(5)) == 0).alias("held"))
+    return found.groupBy("f", "label", "kind", "open", "held").agg(F.count("*").cast("double").alias("n"))
+
+
+def train(docs: DataFrame, precision: float = PRECISION) -> Model | None:
+    """Learn from all candidates of all documents.
 
     Each is valid by the rule of its patterns.  Four fifths train the trees;
     on those of the rest that overlap no fixed span (which scoring asks about)
     every kind's threshold is set: the least tenth of a per cent above which
-    at least ``precision`` of the candidates are valid.  None if the sample
-    shows one class only.
+    at least ``precision`` of the candidates are valid.  Candidates of equal
+    features are one weighted row, so what is learned from grows with the
+    different forms alone.  None if the four fifths show one class only.
     """
-    c = F.col("c")
-    open_ = ~F.exists(F.col("base"), lambda b: _overlap(b, c))
-    found = (docs.select(base_spans().alias("base"), F.explode(candidates()).alias("c"))
-             .select(features(c).alias("f"), _passes(c).cast("double").alias("label"), c["kind"].alias("kind"),
-                     open_.alias("open"), F.xxhash64("c").alias("h"))
-             .orderBy("h").limit(sample))
-    rows = found.select("f", "label", "kind", "open", (F.pmod("h", F.lit(5)) == 0).alias("held")).persist()
+    rows = _counted(docs).persist()
     try:
-        classes = {r["label"] for r in rows.where("not held").select("label").distinct().collect()}
-        if len(classes) < 2:
+        forms = {r["label"]: r["n"] for r in rows.where("not held").groupBy("label").agg(F.count("*").alias("n")).collect()}
+        if len(forms) < 2:
             return None
-        booster = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, stepSize=STEP, maxBins=16, seed=7)
-        fitted = booster.fit(rows.where("not held").select(array_to_vector("f").alias("features"), "label"))
+        # Split points come from all rows: Spark ML would draw maxBins squared of them if there were more.
+        bins = max(LEAST_BINS, math.isqrt(sum(forms.values())) + 1)
+        booster = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, stepSize=STEP, maxBins=bins, weightCol="n", seed=7)
+        fitted = booster.fit(rows.where("not held").select(array_to_vector("f").alias("features"), "label", "n"))
         trees = tuple((float(w), _node(t._java_obj.rootNode())) for w, t in zip(fitted.treeWeights, fitted.trees))
         model = Model(trees, {})
         steps = (rows.where("held and open").groupBy("kind", F.floor(model.probability(F.col("f")) * 1000).alias("step"))
-                 .agg(F.sum("label").alias("good"), F.count("*").alias("n")).collect())  # at most 4004 rows
+                 .agg(F.sum(F.col("label") * F.col("n")).alias("good"), F.sum("n").alias("n")).collect())  # at most 4004 rows
     finally:
         rows.unpersist()
     for kind in KINDS:

@@ -151,6 +151,21 @@ def test_planted_loose_ones_are_added(spark, make_docs, model):
         assert [got[len(LOOSE_ONES) + i] for i in ((1, 2) if m is learned else range(len(ORDINARY_ONES)))] == [[]] * (2 if m is learned else 4)
 
 
+def test_all_candidates_are_learned_from(spark, make_docs):
+    """4,096 copies of every text, 81,920 candidates, teach what one copy teaches."""
+    texts = ["paid by 4111 1111 1111 1111 then", "paid by 4111 1111 1111 1112 then", "mail a@b.cd now", "look at the dot matrix",
+             "tom at acme dot com", "phone 020 7946 0018 please", "runs 020 7946 0019 pages", "ip 10.0.0.300 here", "ip 10.0.0.7 here"]
+    docs = make_docs(list(enumerate(texts)))
+    copies = docs.crossJoin(F.broadcast(spark.range(4096)))
+    one, many = pii.train(docs), pii.train(copies)
+    assert one is not None and many is not None and many.thresholds == one.thresholds
+    flat = lambda node: [node] if isinstance(node, float) else [*node[:2], *flat(node[2]), *flat(node[3])]
+    for (v, a), (w, b) in zip(one.trees, many.trees, strict=True):
+        assert [v, *flat(a)] == pytest.approx([w, *flat(b)])
+    total = lambda d: pii._counted(d).agg(F.sum("n")).first()[0]
+    assert total(copies) == 4096 * total(docs) == 4096 * 20
+
+
 def test_boosted_expression_equals_the_classifier(spark, model):
     """The SQL expression of a stump and a tree, by hand."""
     m = pii.Model(((1.0, (0, 1.5, -1.0, (1, 0.5, 0.0, 2.0))), (0.5, 1.0)), 0.5)
