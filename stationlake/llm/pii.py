@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stationlake.llm import spans as S
-from stationlake.llm.common import empty_if_null
+from stationlake.llm.common import empty_if_null, parts_for
 
 KINDS = ["email", "ip", "card", "phone"]
 
@@ -57,6 +57,7 @@ _LOOSE_NEEDS = {"email": r"@|\bat\b", "ip": "[0-9A-Fa-f]:", "card": "[0-9]{3}[.\
 TREES, DEPTH, STEP = 12, 3, 0.3
 #: Split points per feature, at least.
 LEAST_BINS = 100
+FORMS_PER_TASK = 20_000
 #: Least share of valid candidates above a kind's threshold, on the held-out part.
 PRECISION = 0.99
 _CONTEXT = 24
@@ -234,9 +235,12 @@ def train(docs: DataFrame, precision: float = PRECISION) -> Model | None:
         if len(forms) < 2:
             return None
         # Split points come from all rows: Spark ML would draw maxBins squared of them if there were more.
-        bins = max(LEAST_BINS, math.isqrt(sum(forms.values())) + 1)
+        n_forms = sum(forms.values())
+        bins = max(LEAST_BINS, math.isqrt(n_forms) + 1)
         booster = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, stepSize=STEP, maxBins=bins, weightCol="n", seed=7)
-        fitted = booster.fit(rows.where("not held").select(array_to_vector("f").alias("features"), "label", "n"))
+        # The dozens of jobs of a fit would each have a task per shuffle partition, most of them empty.
+        fitted = booster.fit(rows.where("not held").select(array_to_vector("f").alias("features"), "label", "n")
+                             .coalesce(parts_for(n_forms, FORMS_PER_TASK)))
         trees = tuple((float(w), _node(t._java_obj.rootNode())) for w, t in zip(fitted.treeWeights, fitted.trees))
         model = Model(trees, {})
         steps = (rows.where("held and open").groupBy("kind", F.floor(model.probability(F.col("f")) * 1000).alias("step"))

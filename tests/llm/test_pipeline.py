@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import corpus_pipeline
 from llm_fixtures import SF_MID, make_docs, ws  # noqa: F401
+from pyspark.sql import functions as F
 from test_ngram_join import brute
 from test_pii import PII, by_rule
 from test_decontaminate import expected
@@ -32,6 +33,15 @@ def test_stages_hold_against_brute_force(spark, ws):
             assert out["pii"][k] == old
 
 
+def test_redaction_learns_from_all_candidates(spark, make_docs):
+    """25,000 copies of one text, a candidate of which has a very small hash, do not hide the others."""
+    few = [(1, "reach tom at acme dot com soon"), *((k, f"run{k} order 4111.1111.1111.1112 shipped") for k in range(2, 12))]
+    many = make_docs([(100, "mail a852@b.cd now")]).crossJoin(F.broadcast(spark.range(25_000))).drop("id")
+    docs = make_docs(few).unionByName(many)
+    out = corpus_pipeline.redact_personal_data(spark, docs, "").where("doc_id < 100").collect()
+    assert {r.doc_id: r.text for r in out} == {**dict(few), 1: "reach [EMAIL] soon"}
+
+
 def test_names_and_order():
     assert [n for n, _ in corpus_pipeline.STAGES] == ["toxicity", "ngram_join", "decontamination", "pii", "packing"]
 
