@@ -46,8 +46,9 @@ LEVEL, REPEATS = 9, 4
 #: What a window needs to enter the toxic dictionary: documents, and standard
 #: deviations over the expected share of toxic ones.
 LEAST_DOCS, LEAST_DEVIATIONS = 4, 5.0
-#: Words that a worker remembers.
-CACHE_WORDS = 500_000
+#: Words that a worker remembers, and text bytes that are split into windows at
+#: once: they bound a worker's memory and change no score.
+CACHE_WORDS, SLICE_BYTES = 200_000, 2_000_000
 #: A longer word is cut into windows of at most so many bytes, each half over the one before.
 WORD_BYTES = 32
 
@@ -107,6 +108,17 @@ def _words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
     return doc, word, list(number)
 
 
+def _sample_words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
+    """``_words`` of many texts, slice by slice."""
+    docs, words, number = [np.zeros(0, np.int32)], [np.zeros(0, np.int32)], {}
+    for lo, hi in slices(texts, SLICE_BYTES):
+        doc, word, windows = _words(texts.slice(lo, hi - lo))
+        own = np.fromiter((number.setdefault(w, len(number)) for w in windows), np.int32, len(windows))
+        docs.append((doc + lo).astype(np.int32))
+        words.append(own[word])
+    return np.concatenate(docs), np.concatenate(words), list(number)
+
+
 def _runs(texts: list[str | None], y: np.ndarray, windows: _Windows, n_cells: int) -> list[np.ndarray]:
     """How often each cell is seen in toxic and in ordinary texts written without spaces."""
     seen = [np.zeros(n_cells, np.int64), np.zeros(n_cells, np.int64)]
@@ -204,7 +216,7 @@ def _logistic(x: np.ndarray, y: np.ndarray) -> np.ndarray:
 def fit(texts: list[str | None], labels: list[int]) -> Model:
     """Train on a bounded sample of labelled texts."""
     y = np.array(labels, np.int64)
-    doc, word, windows = _words(pa.array(texts, pa.string()))
+    doc, word, windows = _sample_words(pa.array(texts, pa.string()))
     toxic = np.bincount(word[y[doc] == 1], minlength=len(windows))
     ordinary = np.bincount(word[y[doc] == 0], minlength=len(windows))
     share = y.mean() if len(y) else 0.0
@@ -236,7 +248,7 @@ def fit(texts: list[str | None], labels: list[int]) -> Model:
     return Model(*content, ratio, weights, zlib.crc32(b"".join([*content, ratio.tobytes(), weights.tobytes()])))
 
 
-@lru_cache(maxsize=2)
+@lru_cache(maxsize=1)
 def _windows(model: Model) -> _Windows:
     return _Windows(model.toxic, model.ordinary)
 
@@ -244,10 +256,11 @@ def _windows(model: Model) -> _Windows:
 def score_texts(model: Model, texts: pa.Array) -> np.ndarray:
     """The probability that each text is toxic."""
     out = []
-    for lo, hi in slices(texts):
+    for lo, hi in slices(texts, SLICE_BYTES):
         doc, word, windows = _words(texts.slice(lo, hi - lo))
         value = model.ratio[_windows(model).cells(windows)][word] if len(word) else np.zeros(0)
-        out.append(_sigmoid(_features(doc, value, hi - lo) @ model.weights))
+        # Row by row: how a matrix product rounds a row hangs on its place in the slice.
+        out.append(_sigmoid((_features(doc, value, hi - lo) * model.weights).sum(1)))
     return np.concatenate(out) if out else np.zeros(0)
 
 

@@ -79,3 +79,17 @@ def test_training_ignores_the_held_out_fold_and_odd_labels(spark, make_docs):
     got = toxicity.score_toxicity(docs.withColumn("toxicity", F.lit("old")), one)
     assert got.columns.count("toxicity") == 1 and got.count() == 82 and got.where("toxicity is null").count() == 0
     assert toxicity.score_toxicity(make_docs([]), one).collect() == []
+
+
+def test_a_worker_splits_few_bytes_at_a_time(monkeypatch):
+    """In fitting as in scoring, however much text there is; the model and the scores are those of all at once."""
+    texts, labels = sample()
+    texts, labels = [t + " " + t[::-1] for t in texts * 20], labels * 20
+    whole = toxicity.fit(texts, labels)
+    scores = toxicity.score_texts(whole, pa.array(texts))
+    seen, words = [], toxicity._words
+    monkeypatch.setattr(toxicity, "SLICE_BYTES", 10_000)
+    monkeypatch.setattr(toxicity, "_words", lambda x: seen.append(sum(map(len, x.to_pylist()))) or words(x))
+    assert toxicity.fit(texts, labels) == whole
+    assert (toxicity.score_texts(whole, pa.array(texts)) == scores).all()
+    assert max(seen) <= 10_000 and len(seen) > 20
