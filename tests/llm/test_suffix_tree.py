@@ -10,7 +10,7 @@ from llm_fixtures import SF_SMALL, make_docs, ws  # noqa: F401
 from pyspark.sql import functions as F
 
 from stationlake.llm import suffix_tree as pst
-from stationlake.llm.common import fold
+from stationlake.llm.common import Workspace, fold
 from stationlake.llm.queries import QUERIES
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -80,3 +80,63 @@ def test_every_state_is_a_distribution_and_learns_order():
         assert abs(p.sum() - 1) < 1e-9 and (p > 0).all()
     assert tree.probability(np.array([4]), np.array([3]), np.array([0]))[0] > 0.8
     assert tree.probability(np.array([5]), np.array([3]), np.array([4]))[0] > 0.9
+
+
+def test_rare_contexts_are_states_however_large_the_table(ws, make_docs):
+    """A text that occurs twice among 800,000 other tokens is foreseen, whatever its share."""
+    rare = " ".join(f"x{k}" for k in range(50))
+    got = {r.doc_id: r for r in pst.score_documents(
+        ws, make_docs([(1, "a b " * 400_000), (2, rare), (3, rare), (4, " ".join(rare.split()[::-1]))]), F.col("doc_id") == 4).collect()}
+    assert got[2].score == got[3].score > -51 * 0.35 and got[4].score < -51 * 4
+
+
+def brute_force(rows, held):
+    """The scores by counters and the tree in memory."""
+    texts = [(k, k in held, re.findall(r"[^\x20\x09-\x0D]+", t.translate(LOWER))) for k, t in rows]
+    train = [w for _, h, w in texts if not h]
+    seen = collections.Counter(x for w in train for x in w)
+    number = {x: k for k, x in enumerate(dict.fromkeys(x for _, _, w in texts for x in w), pst.FIRST_WORD)}
+    once, twice = (sum(n == m for n in seen.values()) for m in (1, 2))
+    words = pst.Words(sum(seen.values()) + len(train), len(seen) + 1, len(train), min(0.95, max(0.05, once / (once + 2 * twice) if once else 0.5)))
+    root = np.r_[1, words.probability(np.array([len(train), *(seen[x] for x in number)]))]
+    pairs = collections.defaultdict(collections.Counter)
+
+    def symbols(w):
+        return np.array([pst.START, pst.START, *(number[x] for x in w), pst.END])
+
+    for s in map(symbols, train):
+        for a, b, x in zip(s, s[1:], s[2:]):
+            pairs[int(b) + 1][int(x)] += 1
+            pairs[(int(a) + 1) << 20 | int(b) + 1][int(x)] += 1
+    tree = pst.grow(root, {c: sum(own.values()) for c, own in pairs.items()}, {c: sorted(own.items()) for c, own in pairs.items()})
+    assert 0 < len(tree.states) < len(pairs)
+    return {k: np.log10(tree.probability(s[2:], s[1:-1], s[:-2])).sum() for k, _, w in texts for s in [symbols(w)]}
+
+
+def test_scores_are_those_of_the_whole_tree(spark, make_docs, monkeypatch):
+    """Over several parts and buckets; also where frequent contexts are dealt over several buckets."""
+    rng, rows = np.random.default_rng(7), []
+    for k in range(400):
+        w, at = [], 0
+        for _ in range(int(rng.integers(0, 60))):
+            at = (at * 7 + 3) % 90 if rng.random() < 0.4 else int(rng.zipf(1.3)) % 3000
+            w.append(f"W{at}")
+        rows.append((k, " ".join(w)))
+    held = set(range(0, 400, 9))
+    want = brute_force(rows, held)
+    for hot in (pst.HOT, 40):
+        monkeypatch.setattr(pst, "HOT", hot)
+        got = pst.score_documents(Workspace(spark, "test"), make_docs(rows, parts=7), F.col("doc_id").isin(*held)).collect()
+        assert len(got) == 400 and max(abs(r.score - want[r.doc_id]) for r in got) < 1e-9
+        assert all(r.held_out == (r.doc_id in held) for r in got)
+
+
+def test_without_training_documents_scores_are_zero(ws, make_docs):
+    assert {(r.score, r.base_score) for r in pst.score_documents(ws, make_docs([(1, "a b"), (2, None)]), F.lit(True)).collect()} == {(0.0, 0.0)}
+
+
+def test_every_part_of_a_large_batch_keeps_its_words(ws, make_docs):
+    """Texts of more than a part in one batch: those after the first part, too."""
+    rows = [(k, f"A{k} b c " * 600_000) for k in range(4)] + [(9, "D e f")]
+    assert sum(len(t) for _, t in rows) > 2 * pst.PART_BYTES
+    check_base(pst.score_documents(ws, make_docs(rows, parts=1), fold(folds=10) == 0).collect(), rows)
