@@ -21,16 +21,17 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-#: Words a worker remembers; beyond this the cache starts anew (about 100 MB).
-CACHE_WORDS = 500_000
+#: Words a worker remembers; beyond this the cache starts anew (about 50 MB).
+CACHE_WORDS = 250_000
 #: Texts are encoded in slices of about so many bytes (one text is never split).
-SLICE_BYTES = 8_000_000
+SLICE_BYTES = 4_000_000
 
 # ASCII punctuation that the vocabulary's pre-tokenizer splits
 # from a letter or digit before it (the apostrophe starts contractions and
 # is left out), and what special-token strings start with.
 _TAIL = b".,!?*#&$%;:"
 _SPECIAL = b"<|"
+_TAIL_AFTER_WORD = rf"([A-Za-z0-9])([{_TAIL.decode()}]+)(\s|$)"
 
 
 def default_tokenizer() -> str:
@@ -109,21 +110,29 @@ class WordEncoder:
         self._learn([w for w in words if w not in self._cache])
         return list(map(self._cache.__getitem__, words))
 
+    @staticmethod
+    def _folded(texts: pa.Array) -> pa.Array:
+        """What ``_learn`` does to single words, done to whole texts: fewer
+        different words are left.  The regex comes first, as its result is a
+        new array: Arrow's ascii_lower misplaces texts where the first offset
+        is not 0."""
+        folded = pc.ascii_lower(pc.replace_substring_regex(texts, _TAIL_AFTER_WORD, r"\1 \2\3"))
+        special = pc.match_substring(texts, _SPECIAL.decode())
+        return pc.if_else(special, texts, folded) if pc.any(special).as_py() else folded
+
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, where each text's ids start; one longer than
         ``texts``).  A null text has no ids."""
         texts = pc.fill_null(texts.cast(pa.large_string()), "")
-        lists = pc.ascii_split_whitespace(texts)
+        lists = pc.ascii_split_whitespace(self._folded(texts))
         coded = lists.flatten().dictionary_encode()
-        per_word = self._words(coded.dictionary.cast(pa.large_binary()).to_pylist())
-        sizes = np.fromiter((len(x) >> 2 for x in per_word), np.int64, len(per_word))
-        pool = np.frombuffer(b"".join(per_word), "<u4")
-        starts = np.concatenate(([0], np.cumsum(sizes)))
-        words = coded.indices.to_numpy(zero_copy_only=False)
-        ends = np.concatenate(([0], np.cumsum(sizes[words])))
-        pick = np.repeat(starts[words] - ends[:-1], sizes[words]) + np.arange(ends[-1])
+        # Not to_pylist, which makes an Arrow scalar of each word.
+        per_word = self._words(coded.dictionary.cast(pa.large_binary()).to_numpy(zero_copy_only=False).tolist())
+        found = pa.array(per_word, pa.large_binary()).take(coded.indices)
+        _, ends, ids = found.buffers()
+        ends = np.frombuffer(ends, np.int64, len(found) + 1) >> 2 if len(found) else np.zeros(1, np.int64)
         bounds = lists.offsets.to_numpy() - lists.offsets[0].as_py()
-        return pool[pick], ends[bounds]
+        return np.frombuffer(ids or b"", "<u4", ends[-1]), ends[bounds]
 
 
 def slices(texts: pa.Array, slice_bytes: int = SLICE_BYTES) -> Iterator[tuple[int, int]]:

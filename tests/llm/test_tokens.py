@@ -21,6 +21,18 @@ def test_ids_equal_those_of_the_whole_tokenizer(texts):
         assert ids[at[k]:at[k + 1]].tolist() == ENC._tokenizer.encode(t or "", add_special_tokens=False).ids
 
 
+def test_words_of_other_case_or_with_a_tail_are_looked_up_once(monkeypatch):
+    texts, seen = ["skipped", "The the. THE, the\tthe!\vthe", "THE.<|endoftext|> THE.", None], []
+    words = ENC._words
+    monkeypatch.setattr(ENC, "_words", lambda w: seen.append(w) or words(w))
+    ids, at = ENC.encode(pa.array(texts[:2]).slice(1))
+    assert set(seen[0]) == {b"the", b".", b",", b"the!"}  # \v is no white space of the regex
+    assert ids.tolist() == ENC._tokenizer.encode(texts[1], add_special_tokens=False).ids
+    ids, at = ENC.encode(pa.array(texts).slice(1))
+    for k, t in enumerate(texts[1:]):
+        assert ids[at[k]:at[k + 1]].tolist() == ENC._tokenizer.encode(t or "", add_special_tokens=False).ids
+
+
 def test_slices_cover_all_rows_once():
     a = pa.array(["x" * n for n in (5, 100, 1, 1, 30)] + [None])
     got = list(slices(a, 32))
