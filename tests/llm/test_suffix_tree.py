@@ -140,3 +140,16 @@ def test_every_part_of_a_large_batch_keeps_its_words(ws, make_docs):
     rows = [(k, f"A{k} b c " * 600_000) for k in range(4)] + [(9, "D e f")]
     assert sum(len(t) for _, t in rows) > 2 * pst.PART_BYTES
     check_base(pst.score_documents(ws, make_docs(rows, parts=1), fold(folds=10) == 0).collect(), rows)
+
+
+def test_words_and_parts_are_not_shuffled_in_one_job(ws, make_docs, monkeypatch):
+    """Together their shuffle files were the most that is on disk at once."""
+    plans, table = {}, Workspace.table
+
+    def seen(self, df, name):
+        plans[name] = df._jdf.queryExecution().executedPlan().toString()
+        return table(self, df, name)
+
+    monkeypatch.setattr(Workspace, "table", seen)
+    assert pst.score_documents(ws, make_docs([(i, f"a b c{i}") for i in range(20)]), fold(folds=10) == 0).count() == 20
+    assert "FlatMapCoGroupsInArrow" in plans["numbered"] and "Join" not in plans["numbered"]
