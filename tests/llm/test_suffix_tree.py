@@ -153,3 +153,32 @@ def test_words_and_parts_are_not_shuffled_in_one_job(ws, make_docs, monkeypatch)
     monkeypatch.setattr(Workspace, "table", seen)
     assert pst.score_documents(ws, make_docs([(i, f"a b c{i}") for i in range(20)]), fold(folds=10) == 0).count() == 20
     assert "FlatMapCoGroupsInArrow" in plans["numbered"] and "Join" not in plans["numbered"]
+
+
+def test_one_row_a_part_and_bucket_and_no_context_seen_once(ws, make_docs, monkeypatch):
+    """Words go in blocks, not one by one; what follows a context seen once is not asked for."""
+    got, table = {}, Workspace.table
+
+    def seen(self, df, name):
+        out = table(self, df, name)
+        if name == "of_part":
+            got[name] = out.where("part >= 0").count()
+        if name in ("one", "two"):
+            got[name] = out.where("part >= 0").agg(F.sum("m")).first()[0]
+        return out
+
+    monkeypatch.setattr(Workspace, "table", seen)
+    rows = [(1, "a b c"), (2, "A b d"), (3, "x y")]
+    check_base(pst.score_documents(ws, make_docs(rows, parts=1), fold(folds=10) == 0).collect(), rows)
+    # Start a, start x, a b, b c, b d; the same after start start, start a and a b.
+    assert got == {"of_part": 1, "one": 5, "two": 5}
+
+
+def test_numbers_are_packed_and_sorted_whatever_their_size():
+    for x in ([], [0, 0], [5], [255, 256, 0], [2**40, 3, 2**64 - 1, 3, 0]):
+        x = np.array(x, np.uint64)
+        assert pst._spread(pst._squeezed(x), len(x)).tolist() == x.tolist()
+        order, key = pst._sorted(x)
+        assert order.tolist() == np.argsort(x, kind="stable").tolist() and key.tolist() == sorted(x.tolist())
+        order, first, rank = pst._ranked(x)
+        assert x[order][first].tolist() == sorted(set(x.tolist())) and x[order][first][rank].tolist() == x.tolist()
