@@ -182,3 +182,17 @@ def test_numbers_are_packed_and_sorted_whatever_their_size():
         assert order.tolist() == np.argsort(x, kind="stable").tolist() and key.tolist() == sorted(x.tolist())
         order, first, rank = pst._ranked(x)
         assert x[order][first].tolist() == sorted(set(x.tolist())) and x[order][first][rank].tolist() == x.tolist()
+
+
+def test_blocks_of_unlike_widths_and_sizes_become_columns():
+    """One block a part and bucket, compressed only if it is large."""
+    rng = np.random.default_rng(3)
+    parts = [[rng.integers(0, top, n).astype(np.uint64) for top in tops] for n, tops in ((3, (1, 2**63)), (0, (5, 5)), (20_000, (300, 7)), (2, (2**40, 1)), (9, (300, 7)))]
+    blocks = [pst._blocks(columns, [0, len(columns[0])])[0] for columns in parts]
+    assert len(blocks[4]) < 9 * 3 + 4 and len(blocks[2]) < 20_000 * 3
+    got = pst._columns(blocks, [len(columns[0]) for columns in parts], 2)
+    assert all(x.tolist() == np.concatenate([columns[c] for columns in parts]).tolist() for c, x in enumerate(got))
+    a, b = np.arange(50_000, dtype=np.uint64), np.arange(50_000, dtype=np.uint64) % np.uint64(3)
+    at = [0, 10, 40_000, 50_000]
+    both = pst._columns(pst._blocks([a, b], at), [10, 39_990, 10_000], 2)
+    assert both[0].tolist() == a.tolist() and both[1].tolist() == b.tolist()
